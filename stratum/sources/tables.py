@@ -60,8 +60,10 @@ def _root(spark: SparkSession, t: Target) -> str:
 
 
 def ensure_schema(spark: SparkSession, schema: str | None) -> None:
-    if schema:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    """CREATE SCHEMA IF NOT EXISTS, located under the shared folder (not the driver's working dir)."""
+    if schema and not spark.catalog.databaseExists(schema):
+        loc = f"{shared_dir(spark)}/stratum/schemas/{schema.replace('.', '/')}.db"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{loc}'")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
