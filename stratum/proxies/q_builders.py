@@ -1 +1,196 @@
-"""placeholder"""
+"""Table builders (K1-K27): build, guard non-empty, load through automated_load, read back."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratum.functions.audit import with_audit_columns
+from stratum.plans import gold, silver
+from stratum.proxies import testdata as td
+from stratum.proxies.q_predicates import CLASS_PROXY_SQL, classe_risco
+from stratum.proxies.q_relational import CAL_SQL, orders_calendar
+from stratum.proxies.q_sources import fresh
+from stratum.proxies.registry import query
+from stratum.proxies.sql import AUDIT, FACT, HIS, with_ctes
+from stratum.session import scratch_path
+from stratum.sources import files
+from stratum.sources import tables as tb
+
+T = td.table
+TS1 = f"TIMESTAMP '{td.RUN_TS_1}'"
+STAMP = f", {TS1} AS insert_date, {TS1} AS update_date"
+
+
+class EmptySource(RuntimeError):
+    pass
+
+
+def build_and_load(spark, name: str, df: DataFrame, keys, drop_hash: bool = True) -> DataFrame:
+    """The builder body: a non-empty guard (B19), then automated_load (A22) into a fresh table."""
+    if df.isEmpty():
+        raise EmptySource(f"{name}: source frame is empty, nothing to load")
+    t = tb.Target(f"{fresh('gold')}.{name}", "external")
+    out = tb.load(spark, df, t, "merge", keys=keys, run_ts=td.RUN_TS_1)
+    return out.drop("hash_row") if drop_hash else out
+
+
+@query("k1_dim_risk_class", with_ctes(CLASS_PROXY_SQL) + f"""
+SELECT Id, Peso, ClasseAceitavel, Inicio, Fim, CorFundo, CorTexto{STAMP},
+       md5(concat_ws('|', coalesce(CAST(Id AS VARCHAR), ''), coalesce(CAST(Peso AS VARCHAR), ''),
+           coalesce(CAST(ClasseAceitavel AS VARCHAR), ''), coalesce(CAST(Inicio AS VARCHAR), ''),
+           coalesce(CAST(Fim AS VARCHAR), ''), coalesce(CorFundo, ''), coalesce(CorTexto, ''))) AS hash_row
+FROM classe_risco WHERE PSR = 'R' AND Modulo = 1""")
+def k1(spark, d):
+    return build_and_load(spark, "dim_risk_class", gold.dim_risk_class(classe_risco(spark, d)), "Id", drop_hash=False)
+
+
+@query("k2_dim_unit", """
+WITH paths AS (
+  SELECT c.c_custkey AS Id, concat_ws(' > ', r.r_name, n.n_name, c.c_name) AS path
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE c.c_acctbal >= 0)
+SELECT c.c_custkey AS UnitId, CAST(c.c_nationkey AS BIGINT) AS HigherUnitId, """ + ", ".join(
+    f"trim(string_split(p.path, '>')[{i}]) AS Level{i}" for i in range(1, 9)) + f""",
+       c.c_acctbal AS Latitude, CAST(NULL AS DOUBLE) AS Longitude, c.c_nationkey AS LOTOMapExpired,
+       0 AS SecurityMapExpired, length(c.c_mktsegment) AS RiskWithoutAction{STAMP}
+FROM customer c LEFT JOIN paths p ON c.c_custkey = p.Id""")
+def k2(spark, d):
+    return build_and_load(spark, "dim_unit", gold.dim_unit(td.unidade(spark, d), td.unidade_idioma(spark, d)), "UnitId")
+
+
+@query("k3_dim_calendar", with_ctes(CAL_SQL) + f"""
+SELECT DateRef, day(DateRef) AS DayNumber, month(DateRef) AS MonthNumber, year(DateRef) AS Year,
+       quarter(DateRef) AS Quarter, CASE WHEN month(DateRef) <= 6 THEN 1 ELSE 2 END AS Semester,
+       strftime(DateRef, '%Y%m%d') AS YearMonthDay, dayofweek(DateRef) + 1 AS DayOfWeekNumber,
+       dayofyear(DateRef) AS DayOfYear{STAMP} FROM cal""")
+def k3(spark, d):
+    return build_and_load(spark, "dim_calendar", orders_calendar(spark, d), "DateRef")
+
+
+@query("k4_fact_occupational_risk", with_ctes(FACT) + f"SELECT *{STAMP} FROM fact")
+def k4(spark, d):
+    fact = gold.fact_occupational_risk(td.risco_ocupacional(spark, d))
+    # Id is not unique in the stand-in data, so the fact is loaded with overwrite, not merge.
+    t = tb.Target(f"{fresh('gold')}.fact_occupational_risk", "external")
+    return tb.load(spark, fact, t, "overwrite", run_ts=td.RUN_TS_1).drop("hash_row")
+
+
+@query("k5_fact_occupational_risk_his", with_ctes(HIS) + f"SELECT *{STAMP} FROM his")
+def k5(spark, d):
+    audit = silver.enrich_audit(td.risco_auditoria(spark, d), td.risk_lookup(spark, d))
+    his = gold.fact_occupational_risk_his(audit)
+    return build_and_load(spark, "fact_occupational_risk_his", his, "OccupationalRiskHisId")
+
+
+LANG_ROWS_SQL = """
+SELECT n_nationkey AS Id, 1 AS IdiomaId, n_name AS Descricao, 'criterion' AS Criterio, n_nationkey AS ClasseRiscoIdiomaId FROM nation
+UNION ALL SELECT n_nationkey, 2, lower(n_name), 'criterion', n_nationkey FROM nation
+UNION ALL SELECT n_nationkey, 3, n_name || ' (es)', 'criterion', n_nationkey FROM nation"""
+
+# Stand-in source of each pass-through builder: (test table or None for the language rows, keys).
+PASS_SOURCES = {
+    "dim_language_risk_class": (None, "Id, IdiomaId"),
+    "fact_action": ("orders", "o_orderkey"),
+    "fact_risk_action": ("events", "event_id"),
+    "dim_characterization": ("documents", "doc_id"),
+    "dim_option_characterization": ("part", "p_partkey"),
+    "dim_language_option_characterization": ("labels", "doc_id"),
+    "dim_control": ("supplier", "s_suppkey"),
+    "dim_language_category_control": ("conversations", "conv_id, turn"),
+    "fact_lottery": ("pages", "page_id"),
+    "fact_block_lottery": ("benchmark", "item_id"),
+    "fact_occupational_safety_map": ("customer", "c_custkey"),
+    "fact_occupational_risk_safety_map": ("nation", "n_nationkey"),
+    "fact_control_measure": ("region", "r_regionkey"),
+    "dim_danger": ("part", "p_partkey"),
+    "dim_danger_class": ("customer", "c_custkey"),
+    "dim_language_danger": (None, "Id, IdiomaId"),
+}
+K_IDS = {spec.gold: f"k{i}" for i, spec in zip([6, 7, 8, 9, 10, 11, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22],
+                                                 gold.PASS_THROUGH)}
+
+
+def _pass_query(gold_name: str):
+    table, keys = PASS_SOURCES[gold_name]
+    spec = gold.PASS_THROUGH_BY_GOLD[gold_name]
+    sql = (f"SELECT *{STAMP} FROM ({LANG_ROWS_SQL})" if table is None else f"SELECT *{STAMP} FROM {table}")
+
+    def run(spark, d):
+        src = td.classe_risco_idioma(spark, d) if table is None else T(spark, d, table)
+        return build_and_load(spark, gold_name, gold.pass_through(src, spec), keys)
+
+    query(f"{K_IDS[gold_name]}_{gold_name}", sql)(run)
+
+
+for _g in PASS_SOURCES:
+    _pass_query(_g)
+
+
+@query("k23_language_riskclass", """
+WITH src AS (SELECT l_linenumber + 8 AS Id,
+                    CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS IdiomaId,
+                    l_linestatus || '-' || CAST(l_partkey AS VARCHAR) AS Descricao FROM lineitem)
+SELECT Id, max(CASE WHEN IdiomaId = 1 THEN Descricao END) AS ptBR, max(CASE WHEN IdiomaId = 2 THEN Descricao END) AS enUS,
+       max(CASE WHEN IdiomaId = 3 THEN Descricao END) AS esES,
+       CASE WHEN Id IN (13, 14, 15) THEN 'Unacceptable' ELSE 'Acceptable' END AS Tolerability
+FROM src WHERE Id IN (9, 12, 13, 14, 15) GROUP BY Id""")
+def k23(spark, d):
+    li = T(spark, d, "lineitem")
+    src = li.select((F.col("l_linenumber") + 8).alias("Id"),
+                    F.when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "R", 2).otherwise(3).alias("IdiomaId"),
+                    F.concat(F.col("l_linestatus"), F.lit("-"), F.col("l_partkey").cast("string")).alias("Descricao"))
+    return gold.language_riskclass(src)
+
+
+@query("k24_silver_generic_load", f"SELECT DISTINCT *{STAMP} FROM part")
+def k24(spark, d):
+    p = T(spark, d, "part")
+    bronze_path = scratch_path(spark, "bronze", "part_spaced")
+    spaced = p.unionAll(p).toDF(*[c.replace("_", " ") for c in p.columns])
+    files.write_bronze(spaced, bronze_path)
+    silver_df = silver.bronze_to_silver(files.read_parquet(spark, bronze_path), apply_distinct=True)
+    t = tb.Target(f"{fresh('silver')}.part", "external")
+    return tb.load(spark, silver_df, t, "merge", keys="p_partkey", run_ts=td.RUN_TS_1).drop("hash_row")
+
+
+def _k25_sql() -> str:
+    cols = ["e.event_id AS Id", "e.user_id AS RiscoOcupacional", "c.c_nationkey AS UnitId",
+            "CAST(NULL AS INTEGER) AS RiscoAmbiental", "e.ts AS Datahora", "e.ts AS DataCriacao", "'system' AS Usuario",
+            "CAST(NULL AS VARCHAR) AS Justificativa", "e.event_type AS Diff",
+            "CAST(floor(k / 4) AS INTEGER) + 1 AS ClasseLinearId", "CAST(NULL AS INTEGER) AS ClasseLinearPosControleId",
+            "CAST(trunc(e.value) AS INTEGER) AS RiscoLinear", "CAST(NULL AS INTEGER) AS RiscoLinearPosControle",
+            "CAST(floor(k / 4) AS INTEGER) AS ClasseId", "CAST(floor(k / 4) AS INTEGER) AS ClassePosControleId"]
+    cols += [f"e.event_type AS {c}" for c in ("ProbabilidadeAntes", "SeveridadeAntes", "ClasseRiscoAntes",
+                                              "ProbabilidadeDepois", "SeveridadeDepois", "ClasseRiscoDepois")]
+    cols += ["CAST(NULL AS INTEGER) AS EvidenciaId", "1 AS Tipo", "e.event_type = 'signup' AS Deletado",
+             "CASE WHEN e.event_type = 'error' THEN -1 ELSE 1 END AS Status", "e.ts AS SYNC_DATE",
+             "CAST(NULL AS VARCHAR) AS MobileId", "CAST(NULL AS VARCHAR) AS Motivo", "k AS v1"]
+    cols += [f"CAST(NULL AS INTEGER) AS v{i}" for i in range(2, 16)]
+    cols += ["CAST(trunc(e.value) AS INTEGER) AS c1"] + [f"CAST(NULL AS INTEGER) AS c{i}" for i in range(2, 41)]
+    return ("SELECT " + ", ".join(cols) + " FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k "
+            "FROM events) e LEFT JOIN customer c ON e.user_id = c.c_custkey")
+
+
+@query("k25_audit_enriched", _k25_sql())
+def k25(spark, d):
+    return silver.enrich_audit(td.risco_auditoria(spark, d), td.risk_lookup(spark, d))
+
+
+@query("k26_unit_path", """
+SELECT n.n_nationkey AS Id, 1 AS IdiomaId, n.n_name AS Descricao, concat_ws(' > ', r.r_name, n.n_name) AS Hierarquia
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def k26(spark, d):
+    n, r = T(spark, d, "nation"), T(spark, d, "region")
+    ui = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
+        F.col("n_nationkey").alias("Id"), F.lit(1).alias("IdiomaId"), F.col("n_name").alias("Descricao"), "r_name")
+    derived = silver.unit_paths(ui, ["r_name", "Descricao"]).drop("r_name")
+    return tb.replace_table(spark, derived, tb.Target(f"{fresh('silver')}.unidade_idioma_path", "external"))
+
+
+@query("k27_status_json", "SELECT doc_id, lang, source FROM documents")
+def k27(spark, d):
+    docs = T(spark, d, "documents").select("doc_id", "lang", "source")
+    path = scratch_path(spark, "json", "status")
+    files.write_json_arrays(docs, path, rows_per_file=20_000)
+    st = silver.status_table(spark, path)
+    return st.select("doc_id", "lang", "source")
