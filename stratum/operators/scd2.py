@@ -14,19 +14,21 @@ from stratum.operators.sequence import with_successor, with_successor_window
 
 def close_intervals(df: DataFrame, key: str, order: list[str], start: str = "StartDate",
                     active: str = "Active", end: str = "EndDate", active_only: bool = False,
-                    skew_safe: bool = True) -> DataFrame:
+                    skew_safe: bool = True, partitions: int | None = None) -> DataFrame:
     """Set ``active``/``end`` from the successor's ``start``.
 
     ``active_only=True`` reproduces the as-written variant: only rows currently active take part in
     the ordering, inactive rows are left as they are."""
     cols = df.columns
-    succ = with_successor if skew_safe else with_successor_window
     if active_only and active in cols:
         live = df.filter(F.col(active) == 1)
         rest = df.filter(~(F.col(active) == 1) | F.col(active).isNull())
     else:
         live, rest = df, None
-    nxt = succ(live, key, order, [start], prefix="__next_")
+    if skew_safe:
+        nxt = with_successor(live, key, order, [start], prefix="__next_", partitions=partitions)
+    else:
+        nxt = with_successor_window(live, key, order, [start], prefix="__next_")
     ns = F.col(f"__next_{start}")
     closes = ns.isNotNull() & (ns >= F.col(start))
     closed = nxt.select(*[c for c in cols if c not in (active, end)],
