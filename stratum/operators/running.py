@@ -21,18 +21,37 @@ def _axis(date_col, period: str) -> Column:
 
 def _carry(counts: DataFrame, groups: list[str], axis: str, value: str, out: str,
            fill_until: Column | None, step: str) -> DataFrame:
-    w = Window.partitionBy(*groups).orderBy(axis).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if fill_until is None:
+        w = Window.partitionBy(*groups).orderBy(axis).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return counts.select(*groups, axis, F.sum(value).over(w).alias(out))
-    # Periods without rows still show the carried total: generate each group's periods from its
-    # first period to the end (a per-group sequence, not a join with the calendar).
-    interval = F.expr("interval 1 day") if step == "day" else F.expr("interval 1 month")
-    first = counts.groupBy(*groups).agg(F.min(axis).alias("__first"))
-    grid = first.select(*groups, F.explode(F.sequence("__first", fill_until, interval)).alias(axis))
+    # periods without rows still show the carried total
+    end = F.last_day(fill_until) if step == "month" else fill_until
+    return carry_forward(counts, groups, axis, value, out, end, step=step)
+
+
+def carry_forward(counts: DataFrame, groups: list[str], axis: str, value: str, out: str, end: Column,
+                  start: Column | None = None, step: str = "month") -> DataFrame:
+    """Running total per group over month ends, carried through months without rows, up to ``end``.
+
+    One pass over the (small) per-period counts: a running sum and the next period with rows, then each
+    row expands to the months until that next period. With ``start``, a group's months before its first
+    row are emitted with 0 (zero rows from the start of the axis). No grid is joined back."""
+    w = Window.partitionBy(*groups).orderBy(axis)
+    c = counts.select(*groups, axis,
+                      F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__total"),
+                      F.lead(axis).over(w).alias("__next"), F.lag(axis).over(w).alias("__prev"),
+                      end.alias("__end"), (start if start is not None else F.lit(None).cast("date")).alias("__start"))
     if step == "month":
-        grid = grid.withColumn(axis, F.last_day(axis))
-    full = grid.join(counts, [*groups, axis] if groups else [axis], "left").fillna(0, [value])
-    return full.select(*groups, axis, F.sum(value).over(w).alias(out))
+        prev_of_next, interval, norm = F.last_day(F.add_months("__next", -1)), F.expr("interval 1 month"), F.last_day
+    else:
+        prev_of_next, interval, norm = F.date_sub("__next", 1), F.expr("interval 1 day"), (lambda x: x)
+    stop = F.coalesce(prev_of_next, F.col("__end"))
+    begin = F.when(F.col("__prev").isNull() & F.col("__start").isNotNull() & (F.col("__start") < F.col(axis)),
+                   F.col("__start")).otherwise(F.col(axis))
+    e = c.select(*groups, axis, "__total", F.explode(F.sequence(begin, stop, interval)).alias("__m"))
+    m = norm(F.col("__m"))
+    return e.select(*groups, m.alias(axis),
+                    F.when(m < F.col(axis), F.lit(0)).otherwise(F.col("__total")).cast("long").alias(out))
 
 
 def running_count(df: DataFrame, groups: list[str], date_col: str, out: str = "running_count",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.intervals import covered_month_ends
+from stratum.operators.running import carry_forward
 from stratum.operators.joins import broadcast_bounded
 from stratum.plans.star import Relationship, StarModel
 
@@ -91,25 +92,6 @@ def active_risks_rrn_mitigated(model, by=("ptBR",), **kw) -> DataFrame:
     return _rows(model, "LinearMitigatedClassId", by, "active_risks_rrn_mitigated", **kw)
 
 
-def _month_grid(model: StarModel, members: DataFrame) -> DataFrame:
-    """Every (member, calendar month) pair: each member row expands the calendar's month ends
-    (bounds are scalar subqueries over the calendar; no join)."""
-    cal = model.table(CAL)
-    first = cal.agg(F.last_day(F.min("DateRef"))).scalar()
-    last = cal.agg(F.last_day(F.max("DateRef"))).scalar()
-    return members.select(*members.columns, F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("__m")) \
-        .select(*members.columns, F.last_day("__m").alias("month_end"))
-
-
-def _left_fill(grid: DataFrame, counts: DataFrame, by) -> DataFrame:
-    """grid LEFT JOIN counts on (by..., month_end), NULL-safe on the attributes; missing counts are 0."""
-    g, c = grid.alias("__gr"), counts.alias("__ct")
-    cond = [F.col(f"__gr.{x}").eqNullSafe(F.col(f"__ct.{x}")) for x in by] + \
-        [F.col("__gr.month_end") == F.col("__ct.month_end")]
-    return g.join(c, cond, "left").select(*[F.col(f"__gr.{x}").alias(x) for x in by], F.col("__gr.month_end"),
-                                          F.coalesce(F.col("__ct.__n"), F.lit(0)).alias("__n"))
-
-
 def active_risks_rrn_acumulative(model: StarModel, by=("ptBR",)) -> DataFrame:
     """L4: rows up to each month's last calendar date, by class (LinearClassId role) and month, +0.
 
@@ -124,12 +106,15 @@ def active_risks_rrn_acumulative(model: StarModel, by=("ptBR",)) -> DataFrame:
     dim = model.table(CLASS).select(F.col(rel.to_col).alias("__dkey"), *by).distinct()
     keyed = per.join(broadcast_bounded(dim), per["__fkey"] == dim["__dkey"], "left")
     counts = keyed.groupBy(*by, "month_end").agg(F.sum("__n").alias("__n"))
-    members = dim.select(*by).unionByName(counts.select(*by)).distinct()
-    grid = _month_grid(model, members)
-    w = Window.partitionBy(*by).orderBy("month_end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    full = _left_fill(grid, counts, by)
-    return full.select(*by, F.year("month_end").alias("Year"), F.month("month_end").alias("MonthNumber"),
-                       F.sum("__n").over(w).cast("long").alias("active_risks_rrn_acumulative"))
+    cal = model.table(CAL)
+    first = cal.agg(F.last_day(F.min("DateRef"))).scalar()
+    last = cal.agg(F.last_day(F.max("DateRef"))).scalar()
+    # +0: every dimension member starts at the first calendar month with a zero row
+    zeros = dim.select(*by).distinct().select(*by, first.alias("month_end"), F.lit(0).cast("long").alias("__n"))
+    rows = counts.unionByName(zeros).groupBy(*by, "month_end").agg(F.sum("__n").alias("__n"))
+    out = carry_forward(rows, list(by), "month_end", "__n", "active_risks_rrn_acumulative", last, start=first)
+    return out.select(*by, F.year("month_end").alias("Year"), F.month("month_end").alias("MonthNumber"),
+                      "active_risks_rrn_acumulative")
 
 
 def _his_rows(model: StarModel, point_in_time: bool) -> DataFrame:
@@ -190,10 +175,6 @@ def historicals_acumulative(model: StarModel, by=("ptBR",)) -> DataFrame:
     first = keyed.groupBy(*by, "OccupationalRiskId").agg(F.last_day(F.min("__s")).alias("month_end"))
     counts = first.groupBy(*by, "month_end").agg(F.count(F.lit(1)).alias("__n"))
     cal_end = model.table(CAL).agg(F.last_day(F.max("DateRef"))).scalar()
-    starts = counts.groupBy(*by).agg(F.min("month_end").alias("__s"))
-    grid = starts.select(*by, F.explode(F.sequence("__s", cal_end, F.expr("interval 1 month"))).alias("__m")) \
-        .select(*by, F.last_day("__m").alias("month_end"))
-    w = Window.partitionBy(*by).orderBy("month_end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    full = _left_fill(grid, counts, by)
-    return full.select(*by, F.year("month_end").alias("Year"), F.month("month_end").alias("MonthNumber"),
-                       F.sum("__n").over(w).cast("long").alias("historicals_acumulative"))
+    out = carry_forward(counts, list(by), "month_end", "__n", "historicals_acumulative", cal_end)
+    return out.select(*by, F.year("month_end").alias("Year"), F.month("month_end").alias("MonthNumber"),
+                      "historicals_acumulative")

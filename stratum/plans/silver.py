@@ -9,6 +9,7 @@ from stratum.functions.json import generated_fields, json_select
 from stratum.functions.names import clean_column_names
 from stratum.operators import hierarchy as hier
 from stratum.operators.joins import lookup
+from stratum.operators.partitioning import spread
 from stratum.sources import files
 
 # Typed fields read from the audit document, and its generated field families.
@@ -47,7 +48,7 @@ def enrich_audit(risco_auditoria: DataFrame, risco_ocupacional: DataFrame, doc:
     The three language-description joins of the source are dropped: their columns are removed
     before the write, so they only could multiply rows (Q17)."""
     units = risco_ocupacional.select(F.col("Id").alias("__rid"), F.col("UnidadeId").alias("UnitId"))
-    with_unit = lookup(risco_auditoria, units, F.col("RiscoOcupacional") == F.col("__rid"), "left",
+    with_unit = lookup(spread(risco_auditoria), units, F.col("RiscoOcupacional") == F.col("__rid"), "left",
                        distinct_right=True).drop("__rid")
     fields = audit_fields()
     keep = [c for c in with_unit.columns if c not in ("RegistroAntes", "RegistroDepois", "Detalhes")]

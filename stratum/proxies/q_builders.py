@@ -77,8 +77,8 @@ def k4(spark, d):
 
 @query("k5_fact_occupational_risk_his", with_ctes(HIS) + f"SELECT *{STAMP} FROM his")
 def k5(spark, d):
-    audit = silver.enrich_audit(td.risco_auditoria(spark, d), td.risk_lookup(spark, d))
-    his = gold.fact_occupational_risk_his(audit)
+    from stratum.proxies.q_reports import enriched_audit_table
+    his = gold.fact_occupational_risk_his(enriched_audit_table(spark, d))
     return build_and_load(spark, "fact_occupational_risk_his", his, "OccupationalRiskHisId")
 
 

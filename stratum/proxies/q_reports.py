@@ -1,6 +1,8 @@
 """Star model, measures and report queries (A21, C6-C9, L1-L15) on the test-table star."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stratum.operators.joins import broadcast_bounded
@@ -8,6 +10,7 @@ from stratum.plans import gold, measures as M, reports as R
 from stratum.plans import silver
 from stratum.proxies import testdata as td
 from stratum.proxies.registry import query
+from stratum.sources import tables as tb
 from stratum.proxies.sql import CAL, FACT, HIS, LANG, STAR, count_by_role, with_ctes
 
 # Report parameters of the registered queries.
@@ -16,9 +19,16 @@ TIME_CHART_YEAR = 2024
 EXPIRY_DATE = "1997-03-15"
 
 
-def history(spark, d):
+def enriched_audit_table(spark, d):
+    """Silver step: the enriched audit rows written as a table of their own (as the silver layer does),
+    so the gold history build reads Parquet instead of re-parsing every JSON document."""
     audit = silver.enrich_audit(td.risco_auditoria(spark, d), td.risk_lookup(spark, d))
-    return gold.fact_occupational_risk_his(audit)
+    t = tb.Target(f"silver_{uuid.uuid4().hex[:8]}.risco_auditoria_enriched", "external")
+    return tb.create_table(spark, audit, t)
+
+
+def history(spark, d):
+    return gold.fact_occupational_risk_his(enriched_audit_table(spark, d))
 
 
 def star(spark, d, with_history: bool = True):

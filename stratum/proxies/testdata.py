@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.joins import lookup
+from stratum.operators.partitioning import spread
 from stratum.operators.pivot import LANGUAGES, tolerability
 
 # Run parameters used by the registered queries.
@@ -26,7 +27,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def risco_ocupacional(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     sup = table(spark, d, "supplier").select(F.col("s_suppkey"), F.col("s_nationkey"))
-    j = lookup(li, sup, li["l_suppkey"] == sup["s_suppkey"], "left")
+    j = lookup(li, sup, li["l_suppkey"] == sup["s_suppkey"], "left", distinct_right=True)
     upd = F.when(F.col("l_linestatus") == "F", F.col("l_shipdate") + F.expr("interval 30 days"))
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Id"),
@@ -54,7 +55,7 @@ def props_k() -> F.Column:
 def risco_auditoria(spark: SparkSession, d: str) -> DataFrame:
     """Raw audit rows: one per event, with an after-image JSON document (numbers, text numbers,
     decimals and booleans mixed so the lenient conversion is exercised)."""
-    ev = table(spark, d, "events")
+    ev = spread(table(spark, d, "events"))
     k = props_k()
     doc = F.to_json(F.struct(
         F.floor(k / 4).cast("int").alias("classeId"),

@@ -78,3 +78,27 @@ def test_running_distinct_equals_range_join(spark):
         key = (r["event_type"], r["period"])
         if key in fast:
             assert fast[key] == r["n"]
+
+
+def test_running_fill_carries_empty_periods(spark):
+    import datetime as dt
+    rows = [("a", dt.date(2024, 1, 3)), ("a", dt.date(2024, 1, 3)), ("a", dt.date(2024, 1, 6)), ("b", dt.date(2024, 1, 5))]
+    df = spark.createDataFrame(rows, "g string, d date")
+    out = running.running_count(df, ["g"], "d", fill_until=F.lit("2024-01-07").cast("date"))
+    got = {(r["g"], r["period"].day): r["running_count"] for r in out.collect()}
+    assert got == {("a", 3): 2, ("a", 4): 2, ("a", 5): 2, ("a", 6): 3, ("a", 7): 3, ("b", 5): 1, ("b", 6): 1, ("b", 7): 1}
+    monthly = running.running_count(df, ["g"], "d", period="month", fill_until=F.lit("2024-03-15").cast("date"))
+    got = {(r["g"], r["period"].month): r["running_count"] for r in monthly.collect()}
+    assert got == {("a", 1): 3, ("a", 2): 3, ("a", 3): 3, ("b", 1): 1, ("b", 2): 1, ("b", 3): 1}
+
+
+def test_json_select_matches_column_path(spark):
+    from stratum.functions.json import json_select
+    docs = ['{"a": 7, "b": "12", "c": 12.5, "d": true}', '{"a": "-3.9", "b": "1e2", "c": " 4 ", "d": "x"}',
+            '{"a": null}', '{broken', None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id int, doc string")
+    fields = {"a": "int", "b": "int", "c": "int", "d": "boolean"}
+    wide = {r["id"]: tuple(r)[1:] for r in json_select(df, "doc", fields, keep=["id"]).collect()}
+    narrow = {r["id"]: tuple(r)[1:] for r in df.select("id", *json_fields("doc", fields)).collect()}
+    assert wide == narrow
+    assert wide[0] == (7, 12, 12, True) and wide[1] == (-3, None, 4, None)
