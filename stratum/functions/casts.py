@@ -40,8 +40,12 @@ def infinity_to_null(c) -> Column:
     return F.when(F.lower(F.trim(s)).isin(*INFINITY_TEXTS), F.lit(None)).otherwise(c)
 
 
-def money_to_decimal(c) -> Column:
+def money_to_decimal(c, text: bool = False) -> Column:
+    """Money to numeric(38,2). ``text=True`` for money arriving as text ('$1,234.56', '-1,000.00'):
+    currency symbols, spaces and thousands separators are removed before the cast."""
     c = F.col(c) if isinstance(c, str) else c
+    if text:
+        c = F.regexp_replace(c.cast("string"), r"[^0-9.+-]", "")
     return c.try_cast(MONEY_TYPE)
 
 

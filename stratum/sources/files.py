@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.operators.partitioning import spread
+
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
@@ -15,7 +17,7 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Bronze sink: snappy Parquet, the whole table replaced (a directory of files, one per task)."""
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
+    spread(df).write.mode(mode).option("compression", "snappy").parquet(path)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

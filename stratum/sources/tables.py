@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from stratum.functions.audit import with_audit_columns
 from stratum.operators.merge import change_feed, merge_plan
+from stratum.operators.partitioning import spread
 from stratum.session import shared_dir
 
 # Load modes and table types the loader accepts; 'N/A' means no partition columns.
@@ -172,10 +173,10 @@ def load(spark: SparkSession, df: DataFrame, t: Target, mode: str, keys=None, ru
     if mode not in LOAD_MODES:
         raise UnknownLoadMode(f"mode {mode!r} not in {LOAD_MODES}")
     if not table_exists(spark, t.name):
-        return create_table(spark, with_audit_columns(df, run_ts, add_hash, hash_mode), t)
+        return create_table(spark, with_audit_columns(spread(df), run_ts, add_hash, hash_mode), t)
     if mode == "merge":
         return merge(spark, df, t, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
-    stamped = with_audit_columns(df, run_ts, add_hash, hash_mode)
+    stamped = with_audit_columns(spread(df), run_ts, add_hash, hash_mode)
     if mode == "overwrite":
         return overwrite(spark, stamped, t)
     return append(spark, stamped, t)

@@ -102,3 +102,13 @@ def test_json_select_matches_column_path(spark):
     narrow = {r["id"]: tuple(r)[1:] for r in df.select("id", *json_fields("doc", fields)).collect()}
     assert wide == narrow
     assert wide[0] == (7, 12, 12, True) and wide[1] == (-3, None, 4, None)
+
+
+def test_money_and_infinity(spark):
+    from stratum.functions.casts import infinity_to_null, money_to_decimal
+    df = spark.createDataFrame([("$1,234.56", "infinity"), ("-1,000.00", "2024-01-02 03:04:05"), (None, "-infinity")],
+                               "m string, ts string")
+    out = df.select(money_to_decimal("m", text=True).alias("m"),
+                    infinity_to_null("ts").try_cast("timestamp_ntz").alias("ts")).collect()
+    assert [str(r["m"]) for r in out] == ["1234.56", "-1000.00", "None"]
+    assert out[0]["ts"] is None and out[2]["ts"] is None and out[1]["ts"].day == 2
