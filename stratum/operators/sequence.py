@@ -24,8 +24,10 @@ def with_successor(df: DataFrame, key: str, order: list[str], carry: list[str],
     NULL keys are not chained unless ``chain_nulls``."""
     spark = df.sparkSession
     shared_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, F.col(key).asc_nulls_first(), *[F.col(o).asc_nulls_first() for o in order])
+    keys = [F.col(key).asc_nulls_first(), *[F.col(o).asc_nulls_first() for o in order]]
+    # without an explicit count the session's shuffle partitions apply and AQE may resize them
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ordered = (ranged
                  .sortWithinPartitions(F.col(key).asc_nulls_first(), *[F.col(o).asc_nulls_first() for o in order])
                  .withColumn(_POS, F.monotonically_increasing_id()))
     # Pin the numbering: recomputation after a lost executor must see the same positions.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.audit import with_audit_columns
 from stratum.plans import gold, silver
+from stratum.operators.joins import lookup
 from stratum.proxies import testdata as td
 from stratum.proxies.q_predicates import CLASS_PROXY_SQL, classe_risco
 from stratum.proxies.q_relational import CAL_SQL, orders_calendar
@@ -147,7 +148,7 @@ def k24(spark, d):
     p = T(spark, d, "part")
     bronze_path = scratch_path(spark, "bronze", "part_spaced")
     spaced = p.unionAll(p).toDF(*[c.replace("_", " ") for c in p.columns])
-    files.write_bronze(spaced, bronze_path)
+    files.write_bronze(spaced, bronze_path, spread_scan=True)
     silver_df = silver.bronze_to_silver(files.read_parquet(spark, bronze_path), apply_distinct=True)
     t = tb.Target(f"{fresh('silver')}.part", "external")
     return tb.load(spark, silver_df, t, "merge", keys="p_partkey", run_ts=td.RUN_TS_1).drop("hash_row")
@@ -181,7 +182,7 @@ SELECT n.n_nationkey AS Id, 1 AS IdiomaId, n.n_name AS Descricao, concat_ws(' >
 FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def k26(spark, d):
     n, r = T(spark, d, "nation"), T(spark, d, "region")
-    ui = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
+    ui = lookup(n, r, n["n_regionkey"] == r["r_regionkey"], "left").select(
         F.col("n_nationkey").alias("Id"), F.lit(1).alias("IdiomaId"), F.col("n_name").alias("Descricao"), "r_name")
     derived = silver.unit_paths(ui, ["r_name", "Descricao"]).drop("r_name")
     return tb.replace_table(spark, derived, tb.Target(f"{fresh('silver')}.unidade_idioma_path", "external"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratum.functions.casts import conform
 from stratum.functions.dates import look_back
 from stratum.operators.merge import change_feed, merge_plan
+from stratum.operators.joins import lookup
 from stratum.proxies import testdata as td
 from stratum.proxies.registry import query
 from stratum.session import scratch_path
@@ -38,7 +39,7 @@ def a3(spark, d):
 @query("a4_bronze_sink", "SELECT * FROM part")
 def a4(spark, d):
     path = scratch_path(spark, "bronze", "part")
-    files.write_bronze(T(spark, d, "part"), path)
+    files.write_bronze(T(spark, d, "part"), path, spread_scan=True)
     return files.read_parquet(spark, path)
 
 
@@ -268,7 +269,7 @@ SELECT n.n_nationkey, n.n_name, n.n_regionkey, concat_ws(' > ', r.r_name, n.n_na
 FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def a18(spark, d):
     n, r = T(spark, d, "nation"), T(spark, d, "region")
-    derived = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
+    derived = lookup(n, r, n["n_regionkey"] == r["r_regionkey"], "left").select(
         "n_nationkey", "n_name", "n_regionkey", F.concat_ws(" > ", "r_name", "n_name").alias("path"))
     return tb.replace_table(spark, derived, tb.Target(f"{fresh('silver_a18')}.nation_path", "external"))
 

@@ -15,9 +15,10 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Bronze sink: snappy Parquet, the whole table replaced (a directory of files, one per task)."""
-    spread(df).write.mode(mode).option("compression", "snappy").parquet(path)
+def write_bronze(df: DataFrame, path: str, mode: str = "overwrite", spread_scan: bool = False) -> None:
+    """Bronze sink: snappy Parquet, the whole table replaced (a directory of files, one per task).
+    ``spread_scan`` spreads a few-partition source scan over the cluster first."""
+    (spread(df) if spread_scan else df).write.mode(mode).option("compression", "snappy").parquet(path)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -35,7 +36,9 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 50_000, buc
     n = df.count()
     files = max(1, math.ceil(n / rows_per_file))
     cols = bucket_cols or df.columns
-    bucketed = df.withColumn("__file", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(files)))
+    # the row position joins the hash, so many identical rows still spread over all files
+    salt = F.monotonically_increasing_id()
+    bucketed = df.withColumn("__file", F.pmod(F.xxhash64(*[F.col(c) for c in cols], salt), F.lit(files)))
     docs = bucketed.groupBy("__file").agg(
         F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("value"))
     docs.write.mode("errorifexists").partitionBy("__file").text(path)
