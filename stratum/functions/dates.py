@@ -48,3 +48,17 @@ def shift_hours(ts, hours: int) -> Column:
 def look_back(ts, run_ts, delta_days: int) -> Column:
     """``ts > run_ts + delta_days`` (delta negative: a sliding look-back window)."""
     return as_col(ts) > (ts_lit(run_ts) + F.make_interval(days=F.lit(int(delta_days))))
+
+
+def format_ntz(c, pattern: str) -> Column:
+    """Format a wall-clock (timestamp_ntz) value without passing through the session time zone.
+
+    ``date_format`` converts through the session zone, so in a zone with a daylight-saving gap a
+    midnight that does not exist there would print as 01:00. Date-only patterns go through the date;
+    'yyyy-MM-dd HH:mm:ss' is the value's own text to the second."""
+    c = as_col(c)
+    if pattern == "yyyy-MM-dd HH:mm:ss":
+        return F.substring(c.cast("timestamp_ntz").cast("string"), 1, 19)
+    if not any(ch in pattern for ch in "HhmsSaKk"):
+        return F.date_format(F.to_date(c), pattern)
+    raise ValueError(f"pattern {pattern!r} needs a time zone; format a timestamp with date_format instead")

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.dates import date_lit, semester, year_end
+from stratum.functions.dates import date_lit, format_ntz, semester, year_end
 
 
 def calendar_columns(d: Column) -> list[Column]:
@@ -14,7 +14,7 @@ def calendar_columns(d: Column) -> list[Column]:
             F.year(d).alias("Year"),
             F.quarter(d).alias("Quarter"),
             semester(d).alias("Semester"),
-            F.date_format(d, "yyyyMMdd").alias("YearMonthDay"),
+            format_ntz(d, "yyyyMMdd").alias("YearMonthDay"),
             F.dayofweek(d).alias("DayOfWeekNumber"),
             F.dayofyear(d).alias("DayOfYear")]
 

@@ -304,8 +304,8 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS YearMonthDay, strftime(o_o
 FROM orders""")
 def h10(spark, d):
     o = T(spark, d, "orders")
-    return o.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("YearMonthDay"),
-                    F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("stamp"))
+    return o.select("o_orderkey", dates.format_ntz("o_orderdate", "yyyyMMdd").alias("YearMonthDay"),
+                    dates.format_ntz("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("stamp"))
 
 
 @query("h11_last_day_make_date", """
@@ -374,7 +374,7 @@ def h17(spark, d):
     o = T(spark, d, "orders")
     text = F.when(F.col("o_orderstatus") == "P",
                   F.when(F.col("o_orderpriority") < "3", F.lit("infinity")).otherwise(F.lit("-infinity"))) \
-            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+            .otherwise(dates.format_ntz("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     return o.select("o_orderkey", casts.infinity_to_null(text).try_cast("timestamp_ntz").alias("valid_from"))
 
 

@@ -50,7 +50,8 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 and sys.argv[1].startswith("/") else "/root/testdata/sf0.01"
     prefixes = [a for a in sys.argv[1:] if not a.startswith("/")]
     queries, oracle = load_all()
-    spark = build_session("local[8]", 8)
+    extra = {"spark.sql.session.timeZone": os.environ["CHECK_TZ"]} if os.environ.get("CHECK_TZ") else None
+    spark = build_session("local[8]", 8, extra=extra)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
