@@ -9,6 +9,7 @@ from stratum.operators.joins import broadcast_bounded
 from stratum.plans import gold, measures as M, reports as R
 from stratum.plans import silver
 from stratum.proxies import testdata as td
+from stratum.proxies.layers_cache import materialized
 from stratum.proxies.registry import query
 from stratum.sources import tables as tb
 from stratum.proxies.sql import CAL, FACT, HIS, LANG, STAR, count_by_role, with_ctes
@@ -32,15 +33,16 @@ def history(spark, d):
 
 
 def star(spark, d, with_history: bool = True):
-    """The test star; the history fact (which checkpoints while closing intervals) only when asked for."""
+    """The test star over written gold tables (built once per session and input, see layers_cache);
+    the history fact only when asked for."""
     risk = td.risco_ocupacional(spark, d)
     tables = {
-        M.FACT: gold.fact_occupational_risk(risk),
+        M.FACT: materialized(spark, d, "fact_occupational_risk", lambda: gold.fact_occupational_risk(risk)),
         M.CAL: gold.dim_calendar(risk, td.MODEL_RUN_DATE),
         M.CLASS: gold.language_riskclass_all(td.classe_risco_idioma(spark, d)),
     }
     if with_history:
-        tables[M.HIS] = history(spark, d)
+        tables[M.HIS] = materialized(spark, d, "fact_occupational_risk_his", lambda: history(spark, d))
     return M.risk_model(tables)
 
 
