@@ -35,10 +35,11 @@ def history(spark, d):
 def star(spark, d, with_history: bool = True):
     """The test star over written gold tables (built once per session and input, see layers_cache);
     the history fact only when asked for."""
-    risk = td.risco_ocupacional(spark, d)
+    fact = materialized(spark, d, "fact_occupational_risk",
+                        lambda: gold.fact_occupational_risk(td.risco_ocupacional(spark, d)))
     tables = {
-        M.FACT: materialized(spark, d, "fact_occupational_risk", lambda: gold.fact_occupational_risk(risk)),
-        M.CAL: gold.dim_calendar(risk, td.MODEL_RUN_DATE),
+        M.FACT: fact,
+        M.CAL: gold.dim_calendar(fact, td.MODEL_RUN_DATE, date_col="CreationDate"),
         M.CLASS: gold.language_riskclass_all(td.classe_risco_idioma(spark, d)),
     }
     if with_history:

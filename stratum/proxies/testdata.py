@@ -25,7 +25,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def risco_ocupacional(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem")
+    li = spread(table(spark, d, "lineitem"))
     sup = table(spark, d, "supplier").select(F.col("s_suppkey"), F.col("s_nationkey"))
     j = lookup(li, sup, li["l_suppkey"] == sup["s_suppkey"], "left", distinct_right=True)
     upd = F.when(F.col("l_linestatus") == "F", F.col("l_shipdate") + F.expr("interval 30 days"))
