@@ -137,9 +137,54 @@ def append(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     return spark.table(t.name)
 
 
+# Table formats whose catalog executes MERGE INTO natively.
+NATIVE_MERGE_PROVIDERS = ("delta", "iceberg")
+
+
+def provider(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Provider").collect()
+    return rows[0]["data_type"].lower() if rows else ""
+
+
+def native_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
+                 hash_mode: str = "compat", **kw) -> DataFrame:
+    """MERGE INTO for table formats that support it: only files holding touched rows are rewritten.
+    Same rules as the snapshot merge: update (hash included) when the hash differs, insert when
+    absent, keep target-only rows."""
+    from stratum.functions.audit import run_timestamp
+    from stratum.operators.merge import check_keys, latest_per_key, parse_keys
+    keys = parse_keys(keys)
+    if kw.get("on_duplicate") == "latest":
+        df = latest_per_key(df, keys, kw["order_by"])
+    src = with_audit_columns(df, run_ts, add_hash, hash_mode)
+    target_cols = spark.table(t.name).columns
+    if {c.lower() for c in target_cols} != {c.lower() for c in src.columns}:
+        from stratum.operators.merge import SchemaMismatch
+        raise SchemaMismatch(f"column sets differ between {t.name} and the source")
+    check_keys(src, keys)
+    view = register_view(src, "merge_src")
+    on = " AND ".join(f"tgt.`{k}` = src.`{k}`" for k in keys)
+    if add_hash:
+        changed = "NOT (tgt.hash_row <=> src.hash_row)"
+    else:
+        data = [c for c in target_cols if c.lower() not in ("insert_date", "update_date", "hash_row")
+                and c.lower() not in {k.lower() for k in keys}]
+        changed = "NOT (" + " AND ".join(f"tgt.`{c}` <=> src.`{c}`" for c in data) + ")" if data else "false"
+    sets = ", ".join(f"tgt.`{c}` = src.`{c}`" for c in target_cols if c.lower() != "insert_date")
+    spark.sql(f"MERGE INTO {t.name} AS tgt USING {view} AS src ON {on} "
+              f"WHEN MATCHED AND {changed} THEN UPDATE SET {sets} "
+              f"WHEN NOT MATCHED THEN INSERT *")
+    spark.catalog.dropTempView(view)
+    return spark.table(t.name)
+
+
 def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
           hash_mode: str = "compat", with_changes: bool = False, **kw):
-    """Hash-compared upsert into the table (A15); returns the new table (and the change feed)."""
+    """Hash-compared upsert into the table (A15); returns the new table (and the change feed).
+
+    Delta/Iceberg tables get a native MERGE INTO; plain Parquet tables get the merged snapshot."""
+    if not with_changes and provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
+        return native_merge(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
     target = spark.table(t.name)
     plan = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
     changes = None
