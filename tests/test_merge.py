@@ -106,3 +106,16 @@ def test_load_modes(spark):
     assert out.columns[:2] == ["id", "name"] and out.count() == 1
     with pytest.raises(tb.UnknownLoadMode):
         tb.load(spark, df, t, "upsert", run_ts=T3)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(row, max_size=8), st.lists(row, max_size=8))
+def test_merge_is_source_plus_target_only_rows(spark, t_rows, s_rows):
+    """A full reload merged into a target equals the source rows plus the target rows it does not mention."""
+    t_rows, s_rows = dedup(t_rows), dedup(s_rows)
+    tgt = with_audit_columns(spark.createDataFrame(t_rows, SCHEMA), T1)
+    src = spark.createDataFrame(s_rows, SCHEMA)
+    merged = sorted(tuple(r) for r in merge_frames(tgt, src, "id", T2).select("id", "name", "score").collect())
+    src_keys = {r[0] for r in s_rows}
+    expected = sorted([tuple(r) for r in s_rows] + [tuple(r) for r in t_rows if r[0] not in src_keys])
+    assert merged == expected
