@@ -10,7 +10,7 @@ from stratum.functions.dates import look_back
 from stratum.operators.merge import change_feed, merge_plan
 from stratum.operators.joins import lookup
 from stratum.proxies import testdata as td
-from stratum.proxies.registry import query
+from stratum.proxies.registry import ORACLE, query
 from stratum.session import scratch_path
 from stratum.sources import files, jdbc
 from stratum.sources import tables as tb
@@ -203,6 +203,14 @@ def a15(spark, d):
     return tb.load(spark, src, t, "merge", keys="o_orderkey", run_ts=td.RUN_TS_2)
 
 
+def a15_partitioned(spark, d):
+    """The same upsert into a table partitioned by order status: only touched partitions are rewritten."""
+    tgt, src = merge_inputs(spark, d)
+    t = tb.Target(f"{fresh('silver_a15p')}.orders", "external", partition_columns="o_orderstatus")
+    tb.load(spark, tgt, t, "merge", keys="o_orderkey", run_ts=td.RUN_TS_1)
+    return tb.load(spark, src, t, "merge", keys="o_orderkey", run_ts=td.RUN_TS_2)
+
+
 @query("a20_change_feed", MERGE_CTE + f"""
 SELECT sk AS o_orderkey, sc AS o_custkey, ss AS o_orderstatus, sp AS o_orderpriority, sd AS o_orderdate,
        {TS2} AS insert_date, {TS2} AS update_date, shash AS hash_row, 'insert' AS _change_type FROM j WHERE action = 'insert'
@@ -297,3 +305,6 @@ def a22(spark, d):
     tb.load(spark, first, t, "merge", keys="s_suppkey", run_ts=td.RUN_TS_1)
     out = tb.load(spark, second, t, "merge", keys="s_suppkey", run_ts=td.RUN_TS_2)
     return out.drop("hash_row")
+
+
+query("a15_merge_upsert_partitioned", ORACLE["a15_merge_upsert"])(a15_partitioned)

@@ -178,6 +178,47 @@ def native_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, ad
     return spark.table(t.name)
 
 
+def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
+                     hash_mode: str = "compat", **kw) -> DataFrame:
+    """Merge into a partitioned Parquet table rewriting only the partitions it touches.
+
+    Touched partitions: those of the source rows, plus those currently holding any source key (a key
+    may move to another partition). Their target rows are merged with the source, staged under the
+    shared folder, and written back with a dynamic partition overwrite; other partitions keep their
+    files. The touched set has one row per partition value, so it is broadcast after a size check."""
+    from stratum.operators.joins import broadcast_bounded
+    from stratum.operators.merge import parse_keys
+    pcols = list(t.partition_columns)
+    target = spark.table(t.name)
+    key_list = parse_keys(keys)
+    src_parts = df.select(*pcols)
+    moved = target.join(df.select(*key_list).distinct(), key_list, "left_semi").select(*pcols)
+    touched = src_parts.unionByName(moved).distinct()
+    tgt_touched = target.join(broadcast_bounded(touched), [target[c].eqNullSafe(touched[c]) for c in pcols],
+                              "left_semi")
+    plan = merge_plan(tgt_touched, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
+    stage = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
+    plan.select(*target.columns).write.mode("errorifexists").parquet(stage)
+    staged = spark.read.parquet(stage).select(*target.columns)
+    # A dynamic overwrite cannot empty a partition: if a touched partition has no rows left (its keys all
+    # moved away), fall back to writing a complete new snapshot.
+    remaining = staged.select(*pcols).distinct()
+    emptied = touched.join(remaining, [touched[c].eqNullSafe(remaining[c]) for c in pcols], "left_anti")
+    if not emptied.isEmpty():
+        full = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
+        loc = write_snapshot(spark, full.select(*target.columns), t)
+        _register(spark, t, loc, target.schema)
+        return spark.table(t.name)
+    with_dynamic = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        staged.write.insertInto(t.name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_dynamic)
+    spark.catalog.refreshTable(t.name)
+    return spark.table(t.name)
+
+
 def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
           hash_mode: str = "compat", with_changes: bool = False, **kw):
     """Hash-compared upsert into the table (A15); returns the new table (and the change feed).
@@ -185,6 +226,8 @@ def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash:
     Delta/Iceberg tables get a native MERGE INTO; plain Parquet tables get the merged snapshot."""
     if not with_changes and provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
         return native_merge(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
+    if not with_changes and t.partition_columns:
+        return merge_partitions(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
     target = spark.table(t.name)
     plan = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
     changes = None
