@@ -1,5 +1,16 @@
 """Interval coverage at month ends.
 
+Two ways to count members covering each month end:
+
+* ``active_by_sweep`` (default for closed histories): +1 at a row's first covered month end, -1 after its
+  last, summed per (group, month) and carried forward. Work is proportional to the rows, not rows x
+  months. It counts covering rows, which equals the distinct member count when one member's intervals
+  never overlap (what history closing produces). NULL members count as one value whenever any of their
+  rows covers.
+* ``distinct_active``: expands every row to the month ends it covers and counts distinct members
+  exactly, for histories without that guarantee (work grows with rows x covered months).
+
+
 A row counts at date d when ``start <= d`` and (``end`` is NULL or ``end >= last_day(d)``). At month
 ends the row therefore covers the month ends from last_day(start) up to its last covered month end;
 each row is expanded to those month ends (bounded by the calendar's month count) and members are
@@ -29,4 +40,22 @@ def distinct_active(df: DataFrame, groups: list[str], start_col: str, end_col: s
     """DISTINCTCOUNT(member) of rows covering each month end; a NULL member counts as one value."""
     exp = covered_month_ends(df, start_col, end_col, horizon, axis)
     return exp.groupBy(*groups, axis).agg(
-        (F.countDistinct(member) + F.max(F.col(member).isNull().cast("int"))).alias(out))
+        (F.countDistinct(member) + F.max(F.col(member).isNull().cast("int"))).cast("long").alias(out))
+
+
+def active_by_sweep(df: DataFrame, groups: list[str], start_col: str, end_col: str, member: str,
+                    horizon: Column, out: str = "active", axis: str = "month_end") -> DataFrame:
+    from stratum.operators.running import carry_forward
+    first = F.last_day(F.col(start_col))
+    last = F.least(last_covered_month_end(end_col, horizon), horizon)
+    live = df.select(*groups, first.alias("__f"), last.alias("__l"), F.col(member).isNull().alias("__z")) \
+             .filter(F.col("__f") <= F.col("__l"))
+    n = F.when(F.col("__z"), 0).otherwise(1)
+    z = F.when(F.col("__z"), 1).otherwise(0)
+    opens = live.select(*groups, F.col("__f").alias(axis), n.alias("__dn"), z.alias("__dz"))
+    closes = live.filter(F.col("__l") < horizon).select(
+        *groups, F.last_day(F.add_months("__l", 1)).alias(axis), (-n).alias("__dn"), (-z).alias("__dz"))
+    deltas = opens.unionByName(closes).groupBy(*groups, axis).agg(F.sum("__dn").alias("__dn"), F.sum("__dz").alias("__dz"))
+    carried = carry_forward(deltas, list(groups), axis, ["__dn", "__dz"], ["__n", "__nz"], horizon)
+    total = F.col("__n") + F.when(F.col("__nz") > 0, 1).otherwise(0)
+    return carried.select(*groups, axis, total.cast("long").alias(out)).filter(F.col(out) > 0)

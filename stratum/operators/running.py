@@ -29,16 +29,19 @@ def _carry(counts: DataFrame, groups: list[str], axis: str, value: str, out: str
     return carry_forward(counts, groups, axis, value, out, end, step=step)
 
 
-def carry_forward(counts: DataFrame, groups: list[str], axis: str, value: str, out: str, end: Column,
+def carry_forward(counts: DataFrame, groups: list[str], axis: str, value, out, end: Column,
                   start: Column | None = None, step: str = "month") -> DataFrame:
     """Running total per group over month ends, carried through months without rows, up to ``end``.
 
     One pass over the (small) per-period counts: a running sum and the next period with rows, then each
     row expands to the months until that next period. With ``start``, a group's months before its first
     row are emitted with 0 (zero rows from the start of the axis). No grid is joined back."""
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     w = Window.partitionBy(*groups).orderBy(axis)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = counts.select(*groups, axis,
-                      F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__total"),
+                      *[F.sum(v).over(upto).alias(f"__total{i}") for i, v in enumerate(values)],
                       F.lead(axis).over(w).alias("__next"), F.lag(axis).over(w).alias("__prev"),
                       end.alias("__end"), (start if start is not None else F.lit(None).cast("date")).alias("__start"))
     if step == "month":
@@ -48,10 +51,12 @@ def carry_forward(counts: DataFrame, groups: list[str], axis: str, value: str, o
     stop = F.coalesce(prev_of_next, F.col("__end"))
     begin = F.when(F.col("__prev").isNull() & F.col("__start").isNotNull() & (F.col("__start") < F.col(axis)),
                    F.col("__start")).otherwise(F.col(axis))
-    e = c.select(*groups, axis, "__total", F.explode(F.sequence(begin, stop, interval)).alias("__m"))
+    totals = [f"__total{i}" for i in range(len(values))]
+    e = c.select(*groups, axis, *totals, F.explode(F.sequence(begin, stop, interval)).alias("__m"))
     m = norm(F.col("__m"))
     return e.select(*groups, m.alias(axis),
-                    F.when(m < F.col(axis), F.lit(0)).otherwise(F.col("__total")).cast("long").alias(out))
+                    *[F.when(m < F.col(axis), F.lit(0)).otherwise(F.col(t)).cast("long").alias(o)
+                      for t, o in zip(totals, outs)])
 
 
 def running_count(df: DataFrame, groups: list[str], date_col: str, out: str = "running_count",

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators.intervals import covered_month_ends
+from stratum.operators.intervals import active_by_sweep, distinct_active
 from stratum.operators.running import carry_forward
 from stratum.operators.joins import broadcast_bounded
 from stratum.plans.star import Relationship, StarModel
@@ -142,19 +142,20 @@ def historicals(model: StarModel, by=("ptBR",), as_of=None, active_only: bool =
         HIS, CLASS, list(by), "OccupationalRiskId", "historicals", role=rel.from_col)
 
 
-def historicals_by_month(model: StarModel, by=("ptBR",)) -> DataFrame:
-    """Point-in-time L6 at every calendar month end (interval coverage, C9): each row expands to the
-    month ends it covers (bounded by the calendar's month count), then an equi-aggregation counts
-    distinct risks per (class attribute, month end)."""
+def historicals_by_month(model: StarModel, by=("ptBR",), disjoint: bool = True) -> DataFrame:
+    """Point-in-time L6 at every calendar month end (interval coverage, C9), by class attribute.
+
+    ``disjoint=True`` (histories closed by ``close_intervals``): a sweep over interval starts and ends,
+    linear in the rows. ``disjoint=False``: exact distinct count by expanding rows to covered months."""
     rel = model.relationship(HIS, CLASS, "MitigatedClassId")
     horizon = model.table(CAL).agg(F.last_day(F.max("DateRef"))).scalar()
     h = _his_rows(model, True).select(F.col(rel.from_col).alias("__fkey"), "OccupationalRiskId", "StartDate", "EndDate")
-    exp = covered_month_ends(h, "StartDate", "EndDate", horizon)
     dim = model.table(CLASS).select(F.col(rel.to_col).alias("__dkey"), *by).distinct()
-    keyed = exp.join(broadcast_bounded(dim), exp["__fkey"] == dim["__dkey"], "left")
-    out = keyed.groupBy(*by, "month_end").agg(
-        (F.countDistinct("OccupationalRiskId") + F.max(F.col("OccupationalRiskId").isNull().cast("int")))
-        .cast("long").alias("historicals"))
+    keyed = h.join(broadcast_bounded(dim), h["__fkey"] == dim["__dkey"], "left")
+    if disjoint:
+        out = active_by_sweep(keyed, list(by), "StartDate", "EndDate", "OccupationalRiskId", horizon, "historicals")
+    else:
+        out = distinct_active(keyed, list(by), "StartDate", "EndDate", "OccupationalRiskId", horizon, "historicals")
     return out.select(*by, F.year("month_end").alias("Year"), F.month("month_end").alias("MonthNumber"), "historicals")
 
 

@@ -69,7 +69,7 @@ def events_history(spark, d):
 
 @query("c5_merge_self_update", CLOSE_SQL)
 def c5(spark, d):
-    h = close_intervals(events_history(spark, d), "user_id", ["ts", "event_id"], skew_safe=False)
+    h = close_intervals(events_history(spark, d), "user_id", ["ts", "event_id"])
     return h.select("event_id", "user_id", "StartDate", "Active", "EndDate")
 
 

@@ -85,3 +85,12 @@ def test_active_only_variant_leaves_inactive_rows(spark):
     assert full[1] == (0, D(2024, 1, 4))          # closed by the next row of the whole history
     assert live[1] == (0, D(2024, 1, 8))          # as written: closed by the next *active* row
     assert live[2] == (0, None)                   # inactive rows are left as they are
+
+
+def test_sweep_equals_exact_expansion(spark):
+    m = star(spark)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(M.historicals_by_month(m, disjoint=True)) == rows(M.historicals_by_month(m, disjoint=False))
+    from stratum.proxies.q_reports import star as test_star
+    big = test_star(spark, "/root/testdata/sf0.001")
+    assert rows(M.historicals_by_month(big, disjoint=True)) == rows(M.historicals_by_month(big, disjoint=False))
