@@ -10,8 +10,12 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain count is a two-phase aggregate (per-partition counts, then a sum), so checking a large
+    dimension is one distributed scan. ``limit(n).count()`` would instead funnel up to n rows from
+    every partition into a single task before counting."""
+    return df.count() <= max_rows
 
 
 def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
