@@ -31,7 +31,7 @@ def main():
     queries, _ = load_all()
     names = sorted(queries) if os.environ.get("BENCH_ALL") == "1" else [n for n in HEADLINE if n in queries]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="stratum-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     spark.range(1000).selectExpr("sum(id)").collect()   # JVM warm-up, not timed
     times = {}
     for n in names:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stratum.functions import audit, casts, dates, json as fjson, names
 from stratum.operators import hierarchy as hier
 from stratum.operators.joins import broadcast_bounded, lookup
+from stratum.operators.partitioning import spread
 from stratum.plans import gold, measures as M, silver
 from stratum.proxies import testdata as td
 from stratum.proxies.q_reports import history, star
@@ -158,7 +159,7 @@ def _json_family_sql() -> str:
 
 @query("b15_generate_columns", _json_family_sql())
 def b15(spark, d):
-    ev = T(spark, d, "events")
+    ev = spread(T(spark, d, "events"))
     fields = {"k": "int", **fjson.generated_fields("v", 15), **fjson.generated_fields("c", 40)}
     return fjson.json_select(ev, "props", fields, keep=["event_id"])
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratum.functions.casts import conform
 from stratum.functions.dates import look_back
 from stratum.operators.merge import change_feed, merge_plan
+from stratum.operators.partitioning import spread
 from stratum.operators.joins import lookup
 from stratum.proxies import testdata as td
 from stratum.proxies.registry import ORACLE, query
@@ -252,7 +253,7 @@ def c4(spark, d):
 @query("a16_write_partitioned", "SELECT * FROM lineitem")
 def a16(spark, d):
     t = tb.Target(f"{fresh('bronze_a16')}.lineitem", "external", partition_columns="l_returnflag")
-    return tb.create_table(spark, T(spark, d, "lineitem"), t)
+    return tb.create_table(spark, spread(T(spark, d, "lineitem")), t)
 
 
 @query("a17_table_exists", """
