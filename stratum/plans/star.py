@@ -87,11 +87,8 @@ class StarModel:
         got = keyed.groupBy(*by, *extra).agg(agg(keyed).alias(out))
         if not zero_fill or extra:
             return got.filter(F.col(out) > 0) if not extra else got
-        # +0: every member of the filtered dimension, zero where it has no rows
-        members = dim.select(*by).distinct().alias("__m")
-        got = got.alias("__g")
-        cond = [F.col(f"__m.{c}").eqNullSafe(F.col(f"__g.{c}")) for c in by]
-        filled = members.join(got, cond, "full_outer").select(
-            *[F.coalesce(F.col(f"__m.{c}"), F.col(f"__g.{c}")).alias(c) for c in by],
-            F.coalesce(F.col(f"__g.{out}"), F.lit(0)).cast("long").alias(out))
-        return filled
+        # +0: every member of the filtered dimension, zero where it has no rows. A union with zero rows and
+        # one aggregate (NULL attributes group with the blank member) instead of a full outer join.
+        members = dim.select(*by).distinct().select(*by, F.lit(0).cast("long").alias(out))
+        return members.unionByName(got.select(*by, F.col(out).cast("long").alias(out))) \
+                      .groupBy(*by).agg(F.sum(out).cast("long").alias(out))
