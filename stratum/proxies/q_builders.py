@@ -53,17 +53,17 @@ WITH paths AS (
 SELECT c.c_custkey AS UnitId, CAST(c.c_nationkey AS BIGINT) AS HigherUnitId, """ + ", ".join(
     f"trim(string_split(p.path, '>')[{i}]) AS Level{i}" for i in range(1, 9)) + f""",
        c.c_acctbal AS Latitude, CAST(NULL AS DOUBLE) AS Longitude, c.c_nationkey AS LOTOMapExpired,
-       0 AS SecurityMapExpired, length(c.c_mktsegment) AS RiskWithoutAction{STAMP}
+       0 AS SecurityMapExpired, CAST(length(c.c_mktsegment) AS INTEGER) AS RiskWithoutAction{STAMP}
 FROM customer c LEFT JOIN paths p ON c.c_custkey = p.Id""")
 def k2(spark, d):
     return build_and_load(spark, "dim_unit", gold.dim_unit(td.unidade(spark, d), td.unidade_idioma(spark, d)), "UnitId")
 
 
 @query("k3_dim_calendar", with_ctes(CAL_SQL) + f"""
-SELECT DateRef, day(DateRef) AS DayNumber, month(DateRef) AS MonthNumber, year(DateRef) AS Year,
-       quarter(DateRef) AS Quarter, CASE WHEN month(DateRef) <= 6 THEN 1 ELSE 2 END AS Semester,
-       strftime(DateRef, '%Y%m%d') AS YearMonthDay, dayofweek(DateRef) + 1 AS DayOfWeekNumber,
-       dayofyear(DateRef) AS DayOfYear{STAMP} FROM cal""")
+SELECT DateRef, CAST(day(DateRef) AS INTEGER) AS DayNumber, CAST(month(DateRef) AS INTEGER) AS MonthNumber, CAST(year(DateRef) AS INTEGER) AS Year,
+       CAST(quarter(DateRef) AS INTEGER) AS Quarter, CASE WHEN month(DateRef) <= 6 THEN 1 ELSE 2 END AS Semester,
+       strftime(DateRef, '%Y%m%d') AS YearMonthDay, CAST(dayofweek(DateRef) + 1 AS INTEGER) AS DayOfWeekNumber,
+       CAST(dayofyear(DateRef) AS INTEGER) AS DayOfYear{STAMP} FROM cal""")
 def k3(spark, d):
     return build_and_load(spark, "dim_calendar", orders_calendar(spark, d), "DateRef")
 

@@ -197,7 +197,7 @@ def b19(spark, d):
 
 
 @query("b20_slicer_filter", """
-SELECT month(o_orderdate) AS MonthNumber, CAST(count(*) AS BIGINT) AS n_orders FROM orders
+SELECT CAST(month(o_orderdate) AS INTEGER) AS MonthNumber, CAST(count(*) AS BIGINT) AS n_orders FROM orders
 WHERE year(o_orderdate) = 1997 GROUP BY 1""")
 def b20(spark, d):
     o = T(spark, d, "orders").filter(F.year("o_orderdate") == 1997)
@@ -290,9 +290,9 @@ def h8(spark, d):
 
 
 @query("h9_date_parts", """
-SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, day(o_orderdate) AS DayNumber, month(o_orderdate) AS MonthNumber,
-       year(o_orderdate) AS Year, quarter(o_orderdate) AS Quarter, dayofweek(o_orderdate) + 1 AS DayOfWeekNumber,
-       dayofyear(o_orderdate) AS DayOfYear FROM orders""")
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, CAST(day(o_orderdate) AS INTEGER) AS DayNumber, CAST(month(o_orderdate) AS INTEGER) AS MonthNumber,
+       CAST(year(o_orderdate) AS INTEGER) AS Year, CAST(quarter(o_orderdate) AS INTEGER) AS Quarter, CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS DayOfWeekNumber,
+       CAST(dayofyear(o_orderdate) AS INTEGER) AS DayOfYear FROM orders""")
 def h9(spark, d):
     o = T(spark, d, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
     return o.select("d", F.dayofmonth("d").alias("DayNumber"), F.month("d").alias("MonthNumber"), F.year("d").alias("Year"),

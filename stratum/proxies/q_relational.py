@@ -195,13 +195,13 @@ def orders_calendar(spark, d):
 
 
 @query("d10_max_in_context", with_ctes(CAL_SQL) + """
-SELECT year(DateRef) AS Year, month(DateRef) AS MonthNumber, max(DateRef) AS max_date FROM cal GROUP BY 1, 2""")
+SELECT CAST(year(DateRef) AS INTEGER) AS Year, CAST(month(DateRef) AS INTEGER) AS MonthNumber, max(DateRef) AS max_date FROM cal GROUP BY 1, 2""")
 def d10(spark, d):
     return orders_calendar(spark, d).groupBy("Year", "MonthNumber").agg(F.max("DateRef").alias("max_date"))
 
 
 @query("f2_sort_multi_asc", with_ctes(CAL_SQL) + """
-SELECT DISTINCT year(DateRef) AS Year, month(DateRef) AS MonthNumber FROM cal ORDER BY 1, 2""")
+SELECT DISTINCT CAST(year(DateRef) AS INTEGER) AS Year, CAST(month(DateRef) AS INTEGER) AS MonthNumber FROM cal ORDER BY 1, 2""")
 def f2(spark, d):
     return orders_calendar(spark, d).select("Year", "MonthNumber").distinct().orderBy("Year", "MonthNumber")
 

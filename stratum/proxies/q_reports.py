@@ -95,7 +95,7 @@ h AS (SELECT * FROM his WHERE coalesce(Status, 0) <> -1 AND NOT coalesce(Elimina
 cov AS (SELECT l.ptBR, m.month_end, h.OccupationalRiskId
         FROM h JOIN months m ON h.StartDate <= m.month_end AND (h.EndDate IS NULL OR h.EndDate >= m.month_end)
         LEFT JOIN lang l ON h.MitigatedClassId = l.Id)
-SELECT ptBR, year(month_end) AS Year, month(month_end) AS MonthNumber,
+SELECT ptBR, CAST(year(month_end) AS INTEGER) AS Year, CAST(month(month_end) AS INTEGER) AS MonthNumber,
        CAST(count(DISTINCT OccupationalRiskId) + max(CASE WHEN OccupationalRiskId IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS historicals
 FROM cov GROUP BY ptBR, month_end""")
 def c9(spark, d):
@@ -130,7 +130,7 @@ def l5(spark, d):
 members AS (SELECT DISTINCT ptBR FROM lang UNION SELECT DISTINCT ptBR FROM per),
 months AS (SELECT DISTINCT last_day(DateRef) AS month_end FROM cal),
 grid AS (SELECT m.ptBR, mo.month_end FROM members m CROSS JOIN months mo)
-SELECT g.ptBR, year(g.month_end) AS Year, month(g.month_end) AS MonthNumber,
+SELECT g.ptBR, CAST(year(g.month_end) AS INTEGER) AS Year, CAST(month(g.month_end) AS INTEGER) AS MonthNumber,
        CAST(sum(coalesce(p.n, 0)) OVER (PARTITION BY g.ptBR ORDER BY g.month_end
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS active_risks_rrn_acumulative
 FROM grid g LEFT JOIN per p ON g.ptBR IS NOT DISTINCT FROM p.ptBR AND g.month_end = p.month_end""")
@@ -166,7 +166,7 @@ acc AS (SELECT g.ptBR, g.month_end,
 
 
 @query("l7_historicals_acumulative", L7_SQL + """
-SELECT ptBR, year(month_end) AS Year, month(month_end) AS MonthNumber, historicals_acumulative FROM acc""")
+SELECT ptBR, CAST(year(month_end) AS INTEGER) AS Year, CAST(month(month_end) AS INTEGER) AS MonthNumber, historicals_acumulative FROM acc""")
 def l7(spark, d):
     return M.historicals_acumulative(star(spark, d), ("ptBR",))
 
@@ -198,7 +198,7 @@ def l9(spark, d):
 
 
 @query("l10_time_chart", L7_SQL + f"""
-SELECT year(month_end) AS Year, month(month_end) AS MonthNumber, ptBR AS class_name, historicals_acumulative
+SELECT CAST(year(month_end) AS INTEGER) AS Year, CAST(month(month_end) AS INTEGER) AS MonthNumber, ptBR AS class_name, historicals_acumulative
 FROM acc WHERE year(month_end) = {TIME_CHART_YEAR}""")
 def l10(spark, d):
     return R.time_chart(star(spark, d), TIME_CHART_YEAR)

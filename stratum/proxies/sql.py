@@ -66,7 +66,7 @@ LANG = """lang AS (
   FROM nation)"""
 
 CAL = f"""cal AS (
-  SELECT CAST(d AS DATE) AS DateRef, year(d) AS Year, month(d) AS MonthNumber
+  SELECT CAST(d AS DATE) AS DateRef, CAST(year(d) AS INTEGER) AS Year, CAST(month(d) AS INTEGER) AS MonthNumber
   FROM (SELECT unnest(generate_series(CAST((SELECT min(l_shipdate) FROM lineitem) AS DATE),
                                       DATE '{MODEL_RUN_DATE[:4]}-12-31', INTERVAL 1 DAY)) AS d))"""
 

@@ -4,7 +4,7 @@ import pytest
 
 from stratum.proxies.registry import load_all
 from tests.conftest import SMOKE
-from tools.check_oracle import TABLES, canon
+from tools.check_oracle import TABLES, canon, type_diffs
 
 QUERIES, ORACLE = load_all()
 
@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_diffs(df, res.description) == {}
     assert canon(df.columns, rows) == canon(ocols, orows)
 
 

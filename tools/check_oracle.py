@@ -40,6 +40,23 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def spark_type(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(t, t.upper())
+
+
+def type_diffs(df, description):
+    st = {n: spark_type(t) for n, t in df.dtypes}
+    dt_ = {d[0]: str(d[1]).replace(" ", "") for d in description}
+    return {n: (st[n], dt_.get(n)) for n in st if n in dt_ and st[n].replace(" ", "") != dt_[n]}
+
+
 def canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
@@ -82,6 +99,9 @@ def main():
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             continue
         msgs = []
+        td = type_diffs(df, r.description)
+        if td:
+            msgs.append(f"types {td}")
         if sorted(cols) != sorted(ocols):
             msgs.append(f"columns spark={sorted(cols)} oracle={sorted(ocols)}")
         if len(rows) != len(orows):
