@@ -41,3 +41,29 @@ def test_upsert_stream(spark):
                       checkpoint=tempfile.mkdtemp(prefix="stream-ckpt-"))
     q.awaitTermination(120)
     assert spark.table(target.name).count() == orders.filter("o_orderstatus = 'F'").count()
+
+
+def test_run_gold_levels(spark):
+    order = []
+    nation = spark.read.parquet(f"{SMOKE}/nation.parquet")
+
+    def dim():
+        order.append("dim")
+        return nation.select("n_nationkey", "n_name"), "n_nationkey"
+
+    def fact():
+        order.append("fact")
+        return spark.read.parquet(f"{SMOKE}/customer.parquet").select("c_custkey", "c_nationkey"), "c_custkey"
+
+    def empty():
+        order.append("empty")
+        return nation.filter("n_nationkey < 0"), "n_nationkey"
+
+    cfg = spark.createDataFrame([("1", "fact_c", "2", "merge"), ("1", "dim_n", "1", "merge"), ("1", "dim_e", "1", "merge"),
+                                 ("0", "off", "1", "merge")],
+                                "enable_etl string, notebook_name string, notebook_level string, write_table_model string")
+    res = layers.run_gold(spark, cfg, {"fact_c": fact, "dim_n": dim, "dim_e": empty}, "test_gold_run", T1, parallel=2)
+    assert order.index("fact") > max(order.index("dim"), order.index("empty"))     # level 2 after level 1
+    assert all(r.status == "succeeded" for r in res)
+    assert spark.table("test_gold_run.dim_n").count() == 25
+    assert not spark.catalog.tableExists("test_gold_run.dim_e")                     # empty source: skipped
