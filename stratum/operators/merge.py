@@ -29,15 +29,17 @@ def parse_keys(keys) -> list[str]:
 
 
 def check_keys(source: DataFrame, keys: list[str]) -> None:
-    """NULL keys never match (Q7) and duplicate source keys are ambiguous (Q8): both raise."""
+    """NULL keys never match (Q7) and duplicate source keys are ambiguous (Q8): both raise.
+    One grouped aggregate (combined map-side) finds either."""
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    if source.filter(any_null).limit(1).count():
-        raise KeyViolation(f"NULL in merge key {keys}")
-    dup = source.groupBy(*keys).count().filter("count > 1").limit(1).collect()
-    if dup:
-        raise KeyViolation(f"duplicate source key {keys}: {dup[0].asDict()}")
+    bad = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                 .filter((F.col("__n") > 1) | any_null).limit(1).collect())
+    if bad:
+        row = bad[0].asDict()
+        kind = "NULL in merge key" if any(row[k] is None for k in keys) else "duplicate source key"
+        raise KeyViolation(f"{kind} {keys}: {row}")
 
 
 def latest_per_key(source: DataFrame, keys: list[str], order_by: str) -> DataFrame:

@@ -192,8 +192,11 @@ def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts
     target = spark.table(t.name)
     key_list = parse_keys(keys)
     src_parts = df.select(*pcols)
-    moved = target.join(df.select(*key_list).distinct(), key_list, "left_semi").select(*pcols)
-    touched = src_parts.unionByName(moved).distinct()
+    if {c.lower() for c in pcols} <= {k.lower() for k in key_list}:
+        touched = src_parts.distinct()          # partition columns are part of the key: keys cannot move
+    else:
+        moved = target.join(df.select(*key_list).distinct(), key_list, "left_semi").select(*pcols)
+        touched = src_parts.unionByName(moved).distinct()
     tgt_touched = target.join(broadcast_bounded(touched), [target[c].eqNullSafe(touched[c]) for c in pcols],
                               "left_semi")
     plan = merge_plan(tgt_touched, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
