@@ -66,3 +66,22 @@ def test_jdbc_select_list(spark):
     import datetime as dt
     q = jdbc.source_query("public", "t", sl, "updated_at", dt.datetime(2024, 1, 10), -7)
     assert q.endswith("WHERE \"updated_at\" > '2024-01-03 00:00:00'")
+
+
+def test_history_close_has_no_window_per_key(spark):
+    for name in ["e2_scd2_close", "c5_merge_self_update"]:
+        text = QUERIES[name](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+        assert "windowspecdefinition(user_id" not in text, name      # no key sits whole in one window task
+
+
+def test_json_arrays_spread_identical_rows(spark):
+    import glob
+    from pyspark.sql import functions as F
+    from stratum.session import scratch_path
+    from stratum.sources import files
+    same = spark.range(0, 3000).select(F.lit(7).alias("k"), F.lit("x").alias("v"))      # one group of copies
+    path = scratch_path(spark, "json_copies")
+    files.write_json_arrays(same, path, rows_per_file=500)
+    parts = glob.glob(f"{path}/__file=*/*.txt")
+    assert len(parts) >= 4
+    assert files.read_json_arrays(spark, path, same.schema).count() == 3000
