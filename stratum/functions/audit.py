@@ -6,8 +6,10 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Control columns every silver/gold table carries.
+# Control columns every silver/gold table carries, and the offset of the wall clock the
+# audit columns use (UTC minus three hours).
 CONTROL_COLUMNS = ("insert_date", "update_date", "hash_row")
+LOCAL_OFFSET_HOURS = -3
 
 
 def hash_expr(columns, mode: str = "compat") -> Column:
@@ -27,6 +29,13 @@ def with_row_hash(df: DataFrame, mode: str = "compat", exclude=CONTROL_COLUMNS)
     return df.withColumn("hash_row", hash_expr(cols, mode))
 
 
+def load_clock(offset_hours: int = LOCAL_OFFSET_HOURS, now: _dt.datetime | None = None) -> str:
+    """The one clock of a load: UTC now shifted to the local wall clock, to the second. Taken once on the
+    driver and passed as ``run_ts`` to every write of the load (so inserts and updates agree, Q4)."""
+    now = now or _dt.datetime.now(_dt.timezone.utc)
+    return (now + _dt.timedelta(hours=offset_hours)).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def run_timestamp(run_ts) -> Column:
     """One clock for the whole load: the given wall-clock time, truncated to the second."""
     if isinstance(run_ts, _dt.datetime):

@@ -112,3 +112,10 @@ def test_money_and_infinity(spark):
                     infinity_to_null("ts").try_cast("timestamp_ntz").alias("ts")).collect()
     assert [str(r["m"]) for r in out] == ["1234.56", "-1000.00", "None"]
     assert out[0]["ts"] is None and out[2]["ts"] is None and out[1]["ts"].day == 2
+
+
+def test_load_clock():
+    import datetime as dt
+    from stratum.functions.audit import load_clock
+    now = dt.datetime(2024, 3, 1, 2, 30, 15, 999, tzinfo=dt.timezone.utc)
+    assert load_clock(now=now) == "2024-02-29 23:30:15"
