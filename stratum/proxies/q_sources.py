@@ -309,3 +309,15 @@ def a22(spark, d):
 
 
 query("a15_merge_upsert_partitioned", ORACLE["a15_merge_upsert"])(a15_partitioned)
+
+
+def a15_bucketed(spark, d):
+    """The same upsert into a table bucketed by its key: the merge join reads the target in place and
+    shuffles only the source into the target's buckets."""
+    tgt, src = merge_inputs(spark, d)
+    t = tb.Target(f"{fresh('silver_a15b')}.orders", "external", buckets=16, bucket_keys=["o_orderkey"])
+    tb.load(spark, tgt, t, "merge", keys="o_orderkey", run_ts=td.RUN_TS_1)
+    return tb.load(spark, src, t, "merge", keys="o_orderkey", run_ts=td.RUN_TS_2)
+
+
+query("a15_merge_upsert_bucketed", ORACLE["a15_merge_upsert"])(a15_bucketed)

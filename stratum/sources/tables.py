@@ -37,6 +37,8 @@ class Target:
     table_type: str = "external"
     root: str | None = None
     partition_columns: list[str] = field(default_factory=list)
+    buckets: int | None = None                 # bucket by the merge keys: merges then shuffle only the source
+    bucket_keys: list[str] = field(default_factory=list)
 
     def __post_init__(self):
         if isinstance(self.partition_columns, str):
@@ -109,8 +111,22 @@ def write_snapshot(spark: SparkSession, df: DataFrame, t: Target) -> str:
     return loc
 
 
+def _write_bucketed(spark: SparkSession, df: DataFrame, t: Target) -> None:
+    """A fresh snapshot written as a bucketed table (bucketing is recorded in the catalog entry)."""
+    ensure_schema(spark, t.schema)
+    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    loc = f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("errorifexists").format("parquet").option("compression", "snappy").option("path", loc)
+    if t.partition_columns:
+        w = w.partitionBy(*t.partition_columns)
+    w.bucketBy(t.buckets, *t.bucket_keys).sortBy(*t.bucket_keys).saveAsTable(t.name)
+
+
 def create_table(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     """CREATE SCHEMA IF NOT EXISTS + a fresh table with ``df``'s columns (A11 managed, A12 external)."""
+    if t.buckets:
+        _write_bucketed(spark, df, t)
+        return spark.table(t.name)
     loc = write_snapshot(spark, df, t)
     _register(spark, t, loc, df.schema)
     return spark.table(t.name)
@@ -229,7 +245,7 @@ def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash:
     Delta/Iceberg tables get a native MERGE INTO; plain Parquet tables get the merged snapshot."""
     if not with_changes and provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
         return native_merge(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
-    if not with_changes and t.partition_columns:
+    if not with_changes and t.partition_columns and not t.buckets:
         return merge_partitions(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
     target = spark.table(t.name)
     plan = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
@@ -237,8 +253,15 @@ def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash:
     if with_changes:
         changes = change_feed(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
         changes = changes.checkpoint(eager=True)
-    loc = write_snapshot(spark, plan.select(*target.columns), t)
-    _register(spark, t, loc, target.schema)
+    if t.buckets:
+        # the merged rows come out of a join on the bucket keys; stage them (the new snapshot must not be
+        # written while its own input table is replaced), then write the bucketed snapshot
+        stage = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
+        plan.select(*target.columns).write.mode("errorifexists").parquet(stage)
+        _write_bucketed(spark, spark.read.parquet(stage), t)
+    else:
+        loc = write_snapshot(spark, plan.select(*target.columns), t)
+        _register(spark, t, loc, target.schema)
     out = spark.table(t.name)
     return (out, changes) if with_changes else out
 

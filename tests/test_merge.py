@@ -145,3 +145,17 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark):
     # moving the last key out of a partition empties it: the exact full-snapshot path takes over
     out = tb.load(spark, spark.createDataFrame([(6, "f", 6, "x")], schema), t, "merge", keys="id", run_ts=T3)
     assert sorted((r["id"], r["part"]) for r in out.collect()) == [(1, "x"), (2, "x"), (3, "x"), (4, "z"), (5, "x"), (6, "x")]
+
+
+def test_bucketed_target_merge_shuffles_only_the_source(spark):
+    from stratum.operators.merge import merge_plan
+    t = tb.Target("test_bucketed.orders", "external", buckets=8, bucket_keys=["o_orderkey"])
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderstatus")
+    tb.load(spark, orders.filter("o_orderstatus <> 'P'"), t, "merge", keys="o_orderkey", run_ts=T1)
+    src = orders.filter("o_orderstatus <> 'O'")
+    plan = merge_plan(spark.table(t.name), src, "o_orderkey", T2, validate=False)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1            # the source only; the target is read in place
+    out = tb.load(spark, src, t, "merge", keys="o_orderkey", run_ts=T2)
+    assert out.count() == orders.count()
+    assert "Bucket" in " ".join(r[0] + str(r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").collect())
