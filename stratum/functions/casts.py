@@ -58,5 +58,9 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     cols = []
     for f in schema.fields:
         src = F.col(f.name)
-        cols.append(src.try_cast(f.dataType).alias(f.name))
+        numeric_target = isinstance(f.dataType, T.NumericType)
+        if numeric_target and isinstance(df.schema[f.name].dataType, T.BooleanType):
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))      # booleans are not numbers
+        else:
+            cols.append(src.try_cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -119,3 +119,10 @@ def test_load_clock():
     from stratum.functions.audit import load_clock
     now = dt.datetime(2024, 3, 1, 2, 30, 15, 999, tzinfo=dt.timezone.utc)
     assert load_clock(now=now) == "2024-02-29 23:30:15"
+
+
+def test_conform_copy_conversion(spark):
+    from stratum.functions.casts import conform
+    df = spark.createDataFrame([(12.9, True, "7", -3.5)], "a double, b boolean, c string, d double")
+    r = conform(df, "a int, b int, c bigint, d int").first()
+    assert (r["a"], r["b"], r["c"], r["d"]) == (12, None, 7, -3)
