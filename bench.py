@@ -33,14 +33,20 @@ def main():
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="stratum-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     spark.range(1000).selectExpr("sum(id)").collect()   # JVM warm-up, not timed
-    times = {}
+    times, errors = {}, {}
     for n in names:
         t0 = time.perf_counter()
-        queries[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[n] = round(time.perf_counter() - t0, 3)
+        try:
+            queries[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[n] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - reported, the other queries still run
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_wall_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+    out = {"metric": "total_wall_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": sf, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
