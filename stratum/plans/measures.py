@@ -42,6 +42,13 @@ def risk_model(tables: dict[str, DataFrame]) -> StarModel:
     return StarModel(t, list(RELATIONSHIPS))
 
 
+def broadcast_calendar(days: DataFrame) -> DataFrame:
+    """Calendar rows are days, one per date: at most 366 per year of the calendar's span (and never more
+    than the ~3.65 million dates of years 1-9999), so the calendar has a size bound by construction and
+    is broadcast without a counting job."""
+    return F.broadcast(days)
+
+
 def not_eliminated(col: str = "Eliminated") -> Column:
     return ~F.coalesce(F.col(col), F.lit(False))
 
@@ -56,7 +63,7 @@ def _fact_with_calendar(model: StarModel, fact: str, cal_filter: Column | None)
     rel = model.relationship(fact, CAL)
     days = model.table(CAL).filter(cal_filter).select(F.col(rel.to_col).alias("__d"))
     f = model.table(fact)
-    kept = f.join(broadcast_bounded(days), f[rel.from_col] == F.col("__d"), "left_semi")
+    kept = f.join(broadcast_calendar(days), f[rel.from_col] == F.col("__d"), "left_semi")
     t = dict(model.tables)
     t[fact] = kept
     return StarModel(t, model.relationships, model.dim_max_rows)
@@ -100,7 +107,7 @@ def active_risks_rrn_acumulative(model: StarModel, by=("ptBR",)) -> DataFrame:
     rel = model.relationship(FACT, CLASS, "LinearClassId")
     cal_days = model.table(CAL).select(F.col("DateRef").alias("__d"))
     f = model.table(FACT).filter(not_eliminated())
-    f = f.join(broadcast_bounded(cal_days), f[rel_cal.from_col] == F.col("__d"), "left_semi")
+    f = f.join(broadcast_calendar(cal_days), f[rel_cal.from_col] == F.col("__d"), "left_semi")
     per = f.groupBy(F.col(rel.from_col).alias("__fkey"), F.last_day(F.col(rel_cal.from_col)).alias("month_end")) \
            .agg(F.count(F.lit(1)).alias("__n"))
     dim = model.table(CLASS).select(F.col(rel.to_col).alias("__dkey"), *by).distinct()
@@ -169,7 +176,7 @@ def historicals_acumulative(model: StarModel, by=("ptBR",)) -> DataFrame:
     rel_cal = model.relationship(HIS, CAL)
     rel = model.relationship(HIS, CLASS, "MitigatedClassId")
     cal_days = model.table(CAL).select(F.col("DateRef").alias("__d"))
-    h = h.join(broadcast_bounded(cal_days), h[rel_cal.from_col] == F.col("__d"), "left_semi")
+    h = h.join(broadcast_calendar(cal_days), h[rel_cal.from_col] == F.col("__d"), "left_semi")
     dim = model.table(CLASS).select(F.col(rel.to_col).alias("__dkey"), *by).distinct()
     keyed = h.select(F.col(rel.from_col).alias("__fkey"), "OccupationalRiskId", F.col(rel_cal.from_col).alias("__s"))
     keyed = keyed.join(broadcast_bounded(dim), keyed["__fkey"] == dim["__dkey"], "left")
