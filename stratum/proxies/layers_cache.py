@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.sources import tables as tb
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()   # re-entrant: a layer build may need another layer
 _TABLES: dict[tuple, str] = {}
 
 

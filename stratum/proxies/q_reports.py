@@ -1,7 +1,6 @@
 """Star model, measures and report queries (A21, C6-C9, L1-L15) on the test-table star."""
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +10,6 @@ from stratum.plans import silver
 from stratum.proxies import testdata as td
 from stratum.proxies.layers_cache import materialized
 from stratum.proxies.registry import query
-from stratum.sources import tables as tb
 from stratum.proxies.sql import CAL, FACT, HIS, LANG, STAR, count_by_role, with_ctes
 
 # Report parameters of the registered queries.
@@ -21,11 +19,10 @@ EXPIRY_DATE = "1997-03-15"
 
 
 def enriched_audit_table(spark, d):
-    """Silver step: the enriched audit rows written as a table of their own (as the silver layer does),
-    so the gold history build reads Parquet instead of re-parsing every JSON document."""
-    audit = silver.enrich_audit(td.risco_auditoria(spark, d), td.risk_lookup(spark, d))
-    t = tb.Target(f"silver_{uuid.uuid4().hex[:8]}.risco_auditoria_enriched", "external")
-    return tb.create_table(spark, audit, t)
+    """Silver step: the enriched audit rows written as a table of their own (as the silver layer does, once
+    per session and input), so gold history builds read Parquet instead of re-parsing every JSON document."""
+    return materialized(spark, d, "risco_auditoria_enriched",
+                        lambda: silver.enrich_audit(td.risco_auditoria(spark, d), td.risk_lookup(spark, d)))
 
 
 def history(spark, d):
