@@ -67,3 +67,33 @@ def test_run_gold_levels(spark):
     assert all(r.status == "succeeded" for r in res)
     assert spark.table("test_gold_run.dim_n").count() == 25
     assert not spark.catalog.tableExists("test_gold_run.dim_e")                     # empty source: skipped
+
+
+def test_ingest_with_stubbed_source(spark, monkeypatch):
+    """K28 orchestration without a database: the JDBC read is replaced by a stub that records the query."""
+    import datetime as dt
+    from stratum.sources import jdbc
+    seen = {}
+
+    def fake_read(spark_, url, query, properties=None, **kw):
+        seen[query.split(" FROM ")[1].split(" ")[0]] = query
+        return spark.read.parquet(f"{SMOKE}/nation.parquet")
+
+    monkeypatch.setattr(jdbc, "read_jdbc", fake_read)
+    catalogue = spark.createDataFrame([
+        ("public", "nation", "n_nationkey", "integer", 1), ("public", "nation", "updated", "timestamp with time zone", 3),
+        ("public", "nation", "n_name", "text", 2), ("public", "orders", "o_totalprice", "money", 1)],
+        "table_schema string, table_name string, column_name string, data_type string, ordinal_position int")
+    cfg = spark.createDataFrame([
+        ("1", "public", "nation", "incremental", "updated", "-7", "cad", "nation"),
+        ("1", "public", "orders", "full", "", "0", "cad", "orders"),
+        ("0", "public", "skipped", "full", "", "0", "cad", "skipped")],
+        "enable_etl string, source_schema_name string, source_table_name string, load_type string, "
+        "watermark_column string, delta_days string, directory_target string, file_target string")
+    root = scratch_path(spark, "bronze_ingest")
+    res = layers.ingest(spark, cfg, "jdbc:none", catalogue, root, dt.datetime(2024, 1, 10))
+    assert [r.status for r in res] == ["succeeded", "succeeded"]
+    assert seen['"public"."nation"'].startswith('SELECT "n_nationkey", "n_name", CASE WHEN "updated"::text IN')
+    assert seen['"public"."nation"'].endswith("WHERE \"updated\" > '2024-01-03 00:00:00'")
+    assert seen['"public"."orders"'] == 'SELECT "o_totalprice"::NUMERIC(38,2) AS "o_totalprice" FROM "public"."orders"'
+    assert spark.read.parquet(f"{root}/cad/nation").count() == 25
