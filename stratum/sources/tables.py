@@ -143,6 +143,19 @@ def append(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
         return create_table(spark, df, t)
     cur = spark.table(t.name)
     cur_names = {c.lower() for c in cur.columns}
+    if t.buckets:
+        if {c.lower() for c in df.columns} <= cur_names:
+            w = df.select(*[c for c in cur.columns if c.lower() in {x.lower() for x in df.columns}]) \
+                  .write.mode("append").format("parquet")
+            if t.partition_columns:
+                w = w.partitionBy(*t.partition_columns)
+            w.bucketBy(t.buckets, *t.bucket_keys).sortBy(*t.bucket_keys).saveAsTable(t.name)
+            return spark.table(t.name)
+        # new columns: a widened bucketed snapshot (bucket files cannot take extra columns in place)
+        stage = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
+        cur.unionByName(df, allowMissingColumns=True).write.mode("errorifexists").parquet(stage)
+        _write_bucketed(spark, spark.read.parquet(stage), t)
+        return spark.table(t.name)
     loc = location(spark, t.name)
     w = df.write.mode("append").option("compression", "snappy")
     if t.partition_columns:

@@ -159,3 +159,15 @@ def test_bucketed_target_merge_shuffles_only_the_source(spark):
     out = tb.load(spark, src, t, "merge", keys="o_orderkey", run_ts=T2)
     assert out.count() == orders.count()
     assert "Bucket" in " ".join(r[0] + str(r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").collect())
+
+
+def test_bucketed_append(spark):
+    t = tb.Target("test_bucketed_append.people", "external", buckets=4, bucket_keys=["id"])
+    tb.load(spark, spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA), t, "merge", keys="id", run_ts=T1)
+    out = tb.load(spark, spark.createDataFrame([(3, "c", 3)], SCHEMA), t, "append", run_ts=T2)
+    assert sorted(r["id"] for r in out.collect()) == [1, 2, 3]
+    wide = spark.createDataFrame([(4, "d", 4, True)], SCHEMA + ", flag boolean")
+    out = tb.load(spark, wide, t, "append", run_ts=T3)
+    assert sorted((r["id"], r["flag"]) for r in out.collect()) == [(1, None), (2, None), (3, None), (4, True)]
+    desc = " ".join(str(r[0]) + str(r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").collect())
+    assert "Bucket" in desc
