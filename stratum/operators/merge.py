@@ -120,8 +120,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys, run_ts, **kw) -> Da
 def change_feed(target: DataFrame, source: DataFrame, keys, run_ts, **kw) -> DataFrame:
     """Rows a change-data feed would report for this merge, from one pass over the join:
     insert, update_preimage, update_postimage (noop and kept rows report nothing)."""
-    plan = merge_plan(target, source, keys, run_ts, **kw)
-    cols = target.columns
+    return changes_from_plan(merge_plan(target, source, keys, run_ts, **kw), target.columns)
+
+
+def changes_from_plan(plan: DataFrame, cols: list[str]) -> DataFrame:
+    """The change feed of an already computed ``merge_plan`` (so one join serves snapshot and feed)."""
     new = F.struct(*[F.col(c).alias(c) for c in cols], F.lit("insert").alias("_change_type"))
     post = F.struct(*[F.col(c).alias(c) for c in cols], F.lit("update_postimage").alias("_change_type"))
     pre = F.struct(*[F.col(f"t__{c}").alias(c) for c in cols], F.lit("update_preimage").alias("_change_type"))

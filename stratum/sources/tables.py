@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.audit import with_audit_columns
-from stratum.operators.merge import change_feed, merge_plan
+from stratum.operators.merge import changes_from_plan, merge_plan
 from stratum.session import shared_dir
 
 # Load modes and table types the loader accepts; 'N/A' means no partition columns.
@@ -264,8 +264,9 @@ def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash:
     plan = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
     changes = None
     if with_changes:
-        changes = change_feed(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
-        changes = changes.checkpoint(eager=True)
+        # one evaluation of the merge join serves both the new snapshot and the change feed
+        plan = plan.checkpoint(eager=True)
+        changes = changes_from_plan(plan, target.columns)
     if t.buckets:
         # the merged rows come out of a join on the bucket keys; stage them (the new snapshot must not be
         # written while its own input table is replaced), then write the bucketed snapshot
