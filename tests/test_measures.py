@@ -94,3 +94,13 @@ def test_sweep_equals_exact_expansion(spark):
     from stratum.proxies.q_reports import star as test_star
     big = test_star(spark, "/root/testdata/sf0.001")
     assert rows(M.historicals_by_month(big, disjoint=True)) == rows(M.historicals_by_month(big, disjoint=False))
+
+
+def test_year_slicer_and_time_chart(spark):
+    m = star(spark)
+    assert [r["Year"] for r in R.slicer_years(m).collect()] == [2024]
+    chart = R.time_chart(m, year=2024).collect()
+    assert [(r["MonthNumber"], r["class_name"]) for r in chart][:2] == [(1, "Medio"), (2, "Alto")]
+    assert R.time_chart(m, year=2023).count() == 0
+    sliced = {r["class_name"]: r["active_risks_rrn_mitigated"] for r in R.column_chart(m, year=2024).collect()}
+    assert sliced["Critico"] == 2 and R.column_chart(m, year=2023).filter("active_risks_rrn_mitigated > 0").count() == 0
