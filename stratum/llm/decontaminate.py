@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, functions as F
 from stratum.llm.common import CACHE_ENTRIES, fresh, id_text, small_pieces, stage
 
 WORD = re.compile(r"\w+")
+#: Characters that are no part of a word.
+EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 #: Words of a passage: of the corpus for counts and the SVD, and the longest of a benchmark item.
 PASSAGE = 64
 #: Window lengths of the search, each with a stride of half its length; an item is searched with the first not below its length.
-SCALES = (16, 32, 64)
+SCALES = (32, 64)
 #: Benchmark passages that are searched for in one run over the corpus (bounds the vocabulary and the latent space).
 BLOCK = 256
 #: Latent dimensions beyond those that the block's own passages need.
@@ -24,13 +26,11 @@ EXTRA_DIMS = 32
 #: Words in more than this share of the passages have no part in the latent space (they have in the verification).
 MAX_SHARE = 0.02
 #: A window is a candidate from this cosine in the latent space.
-COSINE = 0.25
+COSINE = 0.35
 #: A leak: this share of the item's inverse-document-frequency mass in a common subsequence ...
 FULL = 0.75
 #: ... or, for paraphrases, this share of the item and ANSWER of its answer (the last ANSWER_PART if none is given).
 PARTLY, ANSWER, ANSWER_PART = 0.5, 0.8, 1 / 3
-#: Words of a text that are handled at once.
-SEGMENT = 200_000
 
 
 class Vocabulary(dict):
@@ -43,8 +43,11 @@ class Vocabulary(dict):
     def __missing__(self, token: str) -> int:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        w = WORD.findall(token.lower())
-        v = self[token] = self.words.get(w[0], -1) if len(w) == 1 else -2
+        w = token.lower().strip(EDGE)
+        if not w.isalnum():
+            found = WORD.findall(w)
+            w = found[0] if len(found) == 1 else None
+        v = self[token] = -2 if w is None else self.words.get(w, -1)
         return v
 
 
@@ -66,12 +69,13 @@ def word_numbers(text: str, vocabulary: Vocabulary) -> np.ndarray:
 class Block:
     """Some benchmark passages as word numbers, with what the passes over the corpus find out about their words."""
     items: list[tuple[int, np.ndarray, np.ndarray]]   # item_id, words, answer words
-    weight: np.ndarray | None = None                  # inverse document frequency
-    latent: np.ndarray | None = None                  # words x dimensions, weighted
-    rare: np.ndarray | None = None
-    scale: dict[int, list[int]] = field(default_factory=dict)
-    mass: np.ndarray | None = None
-    unit: np.ndarray | None = None
+    weight: np.ndarray | None = None    # per word: inverse document frequency
+    rare: np.ndarray | None = None      # per word: has a part in the latent space
+    latent: np.ndarray | None = None    # per word: weighted latent vector
+    unit: np.ndarray | None = None      # per item: latent direction
+    mass: np.ndarray | None = None      # per item: weight of its words
+    need: np.ndarray | None = None      # per item: weight of rare words that any leak of it has
+    window: np.ndarray | None = None    # per item: length of the windows it is searched in
 
 
 def passages(benchmark: DataFrame) -> DataFrame:
@@ -126,12 +130,34 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, n
             yield ids[i], hashes[i], size[i], np.cumsum(gv[lo:hi], dtype=np.int64) - 1, nv[lo:hi]
 
 
+def _together(batches, rare: np.ndarray | None = None, words: int = 50_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Several rows laid end to end: [(doc_id, text_hash, first position)], positions and word numbers of the known (or
+    rare) words. Rows start at multiples of PASSAGE and are two passages apart, so no window holds words of two rows."""
+    rows, at, nums, base, size = [], [], [], 2 * PASSAGE, 0
+    for doc, text_hash, n, pos, num in _texts(batches):
+        if rare is not None:
+            keep = rare[num]
+            pos, num = pos[keep], num[keep]
+        for lo in range(0, len(num), words) or ():   # a very long text goes through in parts
+            rows.append((doc, text_hash, base))
+            at.append(pos[lo:lo + words] + base)
+            nums.append(num[lo:lo + words])
+            size += len(nums[-1])
+            if size >= words:
+                yield rows, np.concatenate(at), np.concatenate(nums)
+                rows, at, nums, size = [], [], [], 0
+        base = 2 * PASSAGE if not rows else base + (-(-n // PASSAGE) + 3) * PASSAGE
+    if rows:
+        yield rows, np.concatenate(at), np.concatenate(nums)
+
+
 def _frequencies(batches, n_words: int) -> Iterator[pa.RecordBatch]:
-    """Passages of the corpus that hold each known word; word -1 counts the passages."""
+    """Passages of the corpus that hold each known word; word -1 counts the passages that hold any."""
     df, total = np.zeros(n_words, np.int64), 0
-    for _, _, size, pos, num in _texts(batches):
-        total += -(-size // PASSAGE)
-        df += np.bincount(np.unique(pos // PASSAGE * n_words + num) % n_words, minlength=n_words)
+    for _, pos, num in _together(batches):
+        one = np.unique(pos // PASSAGE * n_words + num)
+        df += np.bincount(one % n_words, minlength=n_words)
+        total += len(np.unique(pos // PASSAGE))
     at = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(df[at], total), pa.int64())], names=["word", "n"])
 
@@ -140,37 +166,15 @@ def _sketch(batches, weight: np.ndarray, rare: np.ndarray, test: np.ndarray) ->
     """Rows (word, A^T A Omega) of this task's TF-IDF passages A, words outside ``rare`` left out."""
     out, used = np.zeros(test.shape, np.float64), np.zeros(len(weight), bool)
     wt = (weight[:, None] * test).astype(np.float32)
-    pend: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def flush():
-        nonlocal out
-        if not pend:
-            return
-        num = np.concatenate([p[1] for p in pend])
-        win, base = [], 0
-        for p, n in pend:
-            win.append(p + base)
-            base += (int(p[-1]) + 1) if len(p) else 0
-        win = np.concatenate(win)
-        first = np.flatnonzero(np.diff(win, prepend=-1))
+    for _, pos, num in _together(batches, rare):
+        first = np.flatnonzero(np.diff(pos // PASSAGE, prepend=-1))
         y = np.add.reduceat(wt[num], first, axis=0)
-        row = np.repeat(np.arange(len(first)), np.diff([*first, len(win)]))
+        row = np.repeat(np.arange(len(first)), np.diff([*first, len(num)]))
         order = np.argsort(num, kind="stable")
         start = np.flatnonzero(np.diff(num[order], prepend=-1))
         which = num[order][start]
         out[which] += weight[which][:, None] * np.add.reduceat(y[row[order]], start, axis=0)
         used[which] = True
-        pend.clear()
-    size = 0
-    for _, _, _, pos, num in _texts(batches):
-        keep = rare[num]
-        if keep.any():
-            pend.append((pos[keep] // PASSAGE, num[keep]))
-            size += int(keep.sum())
-        if size > 20_000:
-            flush()
-            size = 0
-    flush()
     at = np.flatnonzero(used)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *(pa.array(out[at, k]) for k in range(out.shape[1]))],
                                      names=["word", *(f"s{k}" for k in range(out.shape[1]))])
@@ -201,45 +205,56 @@ def common_mass(item: np.ndarray, region: np.ndarray, weight: np.ndarray) -> flo
 
 def _search(batches, block: Block) -> Iterator[pa.RecordBatch]:
     out = ([], [], [], [], [], [])
-    for doc, text_hash, size, pos, num in _texts(batches):
-        best: dict[int, tuple[float, float, float]] = {}
-        for lo in range(0, max(1, size), SEGMENT):
-            a, b = np.searchsorted(pos, [lo, lo + SEGMENT + 2 * PASSAGE])
-            if b > a:
-                _search_segment(pos[a:b], num[a:b], block, best)
-        for item, (mass, answer, cosine) in best.items():
-            for col, x in zip(out, (doc, text_hash, item, mass, answer, cosine)):
-                col.append(x)
+    for rows, pos, num in _together(batches):
+        starts = np.array([r[2] for r in rows])
+        for at, m, cosine in _candidates(pos, num, block):
+            scale = block.window[m]
+            a, b = np.searchsorted(pos, [at - scale // 2, at + scale + scale // 2])
+            share, answer = _verified(block, m, num[a:b])
+            if share >= FULL or share >= PARTLY and answer >= ANSWER:
+                doc, text_hash, _ = rows[int(np.searchsorted(starts, pos[a], "right")) - 1]
+                for col, x in zip(out, (doc, text_hash, block.items[m][0], share, answer, cosine)):
+                    col.append(x)
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))],
                                      names=["doc_id", "text_hash", "item_id", "overlap", "answer", "cosine"])
 
 
-def _search_segment(pos, num, block: Block, best: dict) -> None:
-    wsum = np.concatenate([[0.0], np.cumsum(block.weight[num])])
-    for scale, members in block.scale.items():
-        mass = block.mass[members]
-        starts = np.arange(pos[0] // (scale // 2) - 1, pos[-1] // (scale // 2) + 1) * (scale // 2)
+def _candidates(pos: np.ndarray, num: np.ndarray, block: Block) -> Iterator[tuple[int, int, float]]:
+    """(window start, item, cosine) of the windows near an item in the latent space. A window whose rare words weigh less
+    than a leak of the item has to have in rare words cannot hold one."""
+    keep = block.rare[num]
+    pos, num = pos[keep], num[keep]
+    if not len(pos):
+        return
+    z = np.concatenate([np.zeros((1, block.latent.shape[1])), np.cumsum(block.latent[num], axis=0, dtype=np.float64)])
+    w = np.concatenate([[0.0], np.cumsum(block.weight[num])])
+    for scale in SCALES:
+        members = np.flatnonzero(block.window == scale)
+        if not len(members):
+            continue
+        step = scale // 2
+        cell = pos // step
+        starts = np.unique(np.concatenate([cell - 1, cell])) * step
         lo, hi = np.searchsorted(pos, starts), np.searchsorted(pos, starts + scale)
-        # a window with less mass than the smallest leak needs cannot be one
-        for k in np.flatnonzero(wsum[hi] - wsum[lo] >= PARTLY * mass.min()):
-            near = np.arange(lo[k], hi[k])
-            z = block.latent[num[near]].sum(0)
-            norm = np.linalg.norm(z)
-            cos = block.unit[members] @ z / norm if norm > 0 else np.zeros(len(members))
-            heavy = (wsum[hi[k]] - wsum[lo[k]] >= PARTLY * mass)
-            # items without a rare word have no place in the latent space and are always verified
-            for m in np.flatnonzero(heavy & ((cos >= COSINE) | ~block.unit[members].any(1))):
-                item, words, goal = block.items[members[m]]
-                a, b = np.searchsorted(pos, [starts[k] - scale // 2, starts[k] + scale + scale // 2])
-                region = num[a:b]
-                known = np.isin(words, region)
-                if block.weight[words[known]].sum() < PARTLY * mass[m]:
-                    continue
-                share = common_mass(words, region, block.weight) / mass[m]
-                goal_mass = block.weight[goal[goal >= 0]].sum() + block.weight.max() * (goal < 0).sum()
-                answer = common_mass(goal[goal >= 0], region, block.weight) / goal_mass if goal_mass else 0.0
-                if share >= FULL or share >= PARTLY and answer >= ANSWER:
-                    best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (share, answer, float(cos[m])))
+        mass = w[hi] - w[lo]
+        some = np.flatnonzero((mass >= block.need[members].min()) & (hi > lo))
+        for i in range(0, len(some), 8192):
+            k = some[i:i + 8192]
+            v = (z[hi[k]] - z[lo[k]]).astype(np.float32)
+            cos = (v @ block.unit[members].T) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            for r, m in zip(*np.nonzero((cos >= COSINE) & (mass[k][:, None] >= block.need[members]))):
+                yield int(starts[k[r]]), int(members[m]), float(cos[r, m])
+
+
+def _verified(block: Block, m: int, region: np.ndarray) -> tuple[float, float]:
+    """(share of the item's mass, share of its answer's mass) in a common subsequence with the region."""
+    _, words, goal = block.items[m]
+    if block.weight[words[np.isin(words, region)]].sum() < PARTLY * block.mass[m]:
+        return 0.0, 0.0
+    share = common_mass(words, region, block.weight) / block.mass[m]
+    known = goal[goal >= 0]
+    goal_mass = block.weight[known].sum() + block.weight.max() * (goal < 0).sum()
+    return share, common_mass(known, region, block.weight) / goal_mass if goal_mass else 0.0
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -279,31 +294,29 @@ def _find_block(base: DataFrame, rows: list) -> DataFrame:
             df[r["word"]] = r["n"]
     block.weight = np.log((1 + total) / (1 + df)) + 0.1
     block.rare = df <= MAX_SHARE * total
-    dims = len(rows) + EXTRA_DIMS
-    test = np.random.default_rng(11).standard_normal((n, min(dims + 16, n)))
-    test[~block.rare] = 0
-    test = np.linalg.qr(test)[0] if block.rare.any() else test
+    for _, w, _ in block.items:
+        if not block.rare[w].any():   # an item of common words only keeps them, else it would have no place
+            block.rare[w] = True
     weight, rare = block.weight, block.rare
+    block.mass = np.array([max(1e-9, weight[w].sum()) for _, w, _ in block.items])
+    block.need = PARTLY * block.mass - np.array([weight[w[~rare[w]]].sum() for _, w, _ in block.items]) - 1e-6
+    block.window = np.array([next((s for s in SCALES if len(w) <= s), SCALES[-1]) for _, w, _ in block.items])
+    test = np.random.default_rng(11).standard_normal((n, min(2 * EXTRA_DIMS, n))) * rare[:, None]
     cols = [f"s{i}" for i in range(test.shape[1])]
     sums = known.mapInArrow(lambda it: _sketch(it, weight, rare, test), "word long, " + ", ".join(f"{c} double" for c in cols)) \
         .groupBy("word").agg(*[F.sum(c).alias(c) for c in cols])
     sketch = np.zeros(test.shape)
     for r in sums.toLocalIterator():   # one row per word of the block
         sketch[r["word"]] = r[1:]
-    # the benchmark's own passages are rows of A too, with as much weight as the corpus' part of the spectrum
+    # the latent space: the leading right singular vectors of the corpus' passages, and those of the block's own passages
     own = np.zeros((len(rows), n))
     for i, (_, w, _) in enumerate(block.items):
         np.add.at(own[i], w[rare[w]], weight[w[rare[w]]])
-    unit = own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    sketch += max(np.linalg.norm(sketch), 1.0) * (unit.T @ (unit @ test))
-    vectors = nystrom(sketch, test, dims)
+    mine = np.linalg.svd(own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12), full_matrices=False)[2]
+    vectors = np.linalg.qr(np.concatenate([nystrom(sketch, test, EXTRA_DIMS), mine.T], axis=1))[0]
     block.latent = (weight[:, None] * rare[:, None] * vectors).astype(np.float32)
     place = own @ vectors
-    length = np.linalg.norm(place, axis=1, keepdims=True)
-    block.unit = np.where(length > 1e-9, place / np.maximum(length, 1e-12), 0.0).astype(np.float32)
-    block.mass = np.array([max(1e-9, weight[w].sum()) for _, w, _ in block.items])
-    for i, (_, w, _) in enumerate(block.items):
-        block.scale.setdefault(next((s for s in SCALES if len(w) <= s), max(PASSAGE * 2, SCALES[-1])), []).append(i)
+    block.unit = (place / np.maximum(np.linalg.norm(place, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     return known.mapInArrow(lambda it: _search(it, block), "doc_id long, text_hash long, item_id long, overlap double, answer double, cosine double")
 
 

@@ -80,28 +80,32 @@ def votes(m: dict[str, float]) -> list[int]:
 
 
 def features(m: dict[str, float], shapes: Counter, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed sparse vector: square roots of the shares of word shapes, and one indicator per measure's eighth-octave bin."""
+    """Hashed sparse vector: square roots of the shares of word shapes, one indicator per measure's bin, one per vote."""
     idx = np.fromiter(shapes.keys(), np.int32, len(shapes))
-    val = np.sqrt(np.fromiter(shapes.values(), np.float64, len(shapes)) / max(1, n))
+    # few words say little: their shares are drawn towards none
+    val = np.sqrt(np.fromiter(shapes.values(), np.float64, len(shapes)) / (n + 30))
     bins = [16 * i + int(min(15, 16 * abs(m[name]) ** 0.5)) for i, (name, _, _) in enumerate(LABELLERS) if name in m]
-    return np.concatenate([idx, np.array(bins, np.int32)]), np.concatenate([val, np.full(len(bins), 0.5)])
+    cast = [128 + 3 * i + v for i, v in enumerate(votes(m))]
+    return (np.concatenate([idx, np.array(bins + cast, np.int32)]),
+            np.concatenate([val, np.full(len(bins), 0.25 * n / (n + 30)), np.ones(len(cast))]))
 
 
 def em(patterns: dict[tuple[int, ...], int], steps: int = 200) -> tuple[np.ndarray, np.ndarray, dict[tuple[int, ...], float]]:
     """Dawid and Skene's estimate from counts of vote patterns: (class prior, P(vote | class) per labeller, P(good | pattern)).
+    An abstention is a missing vote and says nothing about the class.
 
-    Starts from 'any bad vote means bad', so the classes keep their meaning. Without votes all patterns are 0.5."""
+    Starts from 'any bad vote means bad', so the classes keep their meaning. Without patterns the accuracies are 0.5."""
     keys = list(patterns)
     if not keys:
-        return np.array([0.5, 0.5]), np.full((len(LABELLERS), 2, 3), 1 / 3), {}
+        return np.array([0.5, 0.5]), np.full((len(LABELLERS), 2, 2), 0.5), {}
     v, c = np.array(keys), np.array([patterns[k] for k in keys], float)
     good = np.where((v == BAD).any(1), 0.1, 0.9)
     for _ in range(steps):
         w = np.stack([c * (1 - good), c * good])
         prior = (w.sum(1) + 1) / (c.sum() + 2)
-        acc = np.stack([np.stack([(w[k][:, None] * (v == s)).sum(0) + 0.5 for s in range(3)], 1) for k in range(2)], 1)
+        acc = np.stack([np.stack([(w[k][:, None] * (v == s)).sum(0) + 0.5 for s in (BAD, GOOD)], 1) for k in range(2)], 1)
         acc /= acc.sum(2, keepdims=True)
-        logs = np.stack([np.log(prior[k]) + np.log(acc[np.arange(v.shape[1]), k, v]).sum(1) for k in range(2)])
+        logs = np.stack([np.log(prior[k]) + np.where(v == ABSTAIN, 0.0, np.log(acc[np.arange(v.shape[1]), k, v % 2])).sum(1) for k in range(2)])
         new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
         if np.abs(new - good).max() < 1e-9:
             break
@@ -180,8 +184,8 @@ def learn(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     unit = (F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)).alias("unit")
     rows = texts.select("text", unit).where(F.col("unit") < max(take)) \
         .mapInArrow(lambda it: _fit_rows(it, good, take), "idx array<int>, val array<double>, good double").collect()
-    side = Counter(r["good"] >= 0.5 for r in rows)
-    return fit([(np.array(r["idx"], np.int32), np.array(r["val"]), r["good"], 1 / side[r["good"] >= 0.5]) for r in rows])
+    side = Counter(r["good"] >= 0.5 for r in rows)   # rows count as many as they stand for
+    return fit([(np.array(r["idx"], np.int32), np.array(r["val"]), r["good"], n[r["good"] >= 0.5] / side[r["good"] >= 0.5]) for r in rows])
 
 
 def _apply(texts: pa.Array, scorer: Scorer, cache: Words) -> list[float]:

@@ -8,14 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratum.llm.common import id_text, small_pieces
+from stratum.llm.common import WordHashes, id_text, shingle_set, small_pieces, stage
 
 #: Characters trimmed from both ends of a token.
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00ab\u00bb\u2018\u2019\u201c\u201d\u2026\u00bf\u00a1"
 STEM_CHARS = 4
-PRIOR = 0.5          # pseudo-count that goes with a stem's (or the corpus') shares
-MODEL_TOKENS = 50_000   # bound on the tokens of a model, those with the largest |z| first
-FIT_ROWS = 50_000    # bound on the labelled rows that the calibration is fitted on
+PRIOR = 0.05         # pseudo-rows of the Dirichlet prior, as a share of the learning rows
+SURE = 2.0           # standard deviations taken off a log-odds: a token counts as much as is sure about it
+MODEL_TOKENS = 50_000   # bound on the tokens and stems of a model, those with the largest log-odds first
+FIT_ROWS = 200_000   # bound on the labelled rows that a model is learnt from
 DRIFT = 1.0          # a token has to be e times likelier in toxic texts to lengthen a segment
 
 
@@ -115,45 +116,55 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def log_odds(counts: DataFrame, totals: tuple[int, int], prior: float = PRIOR) -> DataFrame:
-    """Adds delta (log-odds, toxic against clean, with an informative Dirichlet prior of the corpus' shares) and its z."""
+    """Adds delta: the log-odds, toxic against clean, with an informative Dirichlet prior of the corpus' shares, drawn
+    towards 0 by SURE standard deviations."""
     n0, n1 = (float(x) for x in totals)
-    share = (F.col("clean") + F.col("toxic")) / F.lit(n0 + n1)
-    a = F.greatest(share * F.lit(prior * 100), F.lit(0.01))
+    rows = prior * (n0 + n1)
+    a = (F.col("clean") + F.col("toxic")) / F.lit(n0 + n1) * rows
     y1, y0 = F.col("toxic") + a, F.col("clean") + a
-    delta = F.log(y1 / (F.lit(n1 + prior * 100) - y1)) - F.log(y0 / (F.lit(n0 + prior * 100) - y0))
-    return counts.withColumn("delta", delta).withColumn("z", delta / F.sqrt(1 / y1 + 1 / y0))
+    delta = F.log(y1 / (F.lit(n1 + rows) - y1 + 1)) - F.log(y0 / (F.lit(n0 + rows) - y0 + 1))
+    sure = F.greatest(F.lit(0.0), F.abs(delta) - SURE * F.sqrt(1 / y1 + 1 / y0))
+    return counts.withColumn("delta", F.signum(delta) * sure)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Learn from labelled rows (doc_id, toxic in 0/1) whose doc_id is in ``docs``. Token counts cover all of them; the
-    calibration is fitted on at most ``FIT_ROWS`` of them, chosen by a hash of the text. None without both labels."""
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the smallest five-word shingle hash of a text, which near copies mostly share."""
+    hashes = WordHashes()
+    for b in small_pieces(batches, 0):
+        low = [s[0] if len(s) else 0 for s in (shingle_set(t.encode().lower().split(), hashes, 5) for t in b.column(0).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(low, np.uint64).view(np.int64))], names=["text", "y", "family"])
+
+
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
+    """Learn from labelled rows (doc_id, toxic in 0/1) whose doc_id is in ``docs``: at most about ``fit_rows`` of them,
+    chosen by a hash of the id, so that their ids are a bounded broadcast. Of near copies with one label only one counts.
+    None without both labels."""
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")) \
         .where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
-    data = id_text(docs).join(lab, "doc_id").select("text", "y")
+    lab = stage(lab, "labels")
+    n = lab.count()
+    some = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(min(1.0, fit_rows / max(1, n)) * 1_000_003) + 1)
+    all_rows = id_text(docs).join(F.broadcast(some), "doc_id").select("text", "y")
+    data = stage(all_rows.mapInArrow(_families, "text string, y int, family long").groupBy("family", "y").agg(F.min("text").alias("text")).select("text", "y"), "toxic_rows")
     per = {r["y"]: r["n"] for r in data.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = per.get(0, 0), per.get(1, 0)
     if not n0 or not n1:
         return None
     counts = data.mapInArrow(_counts, "kind int, token string, clean long, toxic long") \
         .groupBy("kind", "token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    scored = log_odds(counts, (n0, n1)).where((F.col("z") > 3) & (F.col("delta") > DRIFT) | (F.col("kind") == 0) & (F.col("toxic") > 0) & (F.col("z") < -3))
-    top = scored.orderBy(F.abs("z").desc(), "kind", "token").limit(MODEL_TOKENS).collect()
+    top = log_odds(counts, (n0, n1)).where(F.col("delta") > DRIFT).orderBy(F.col("delta").desc(), "kind", "token").limit(MODEL_TOKENS).collect()
     model = Model({r["token"]: float(r["delta"]) for r in top if r["kind"] == 0}, {r["token"]: float(r["delta"]) for r in top if r["kind"] == 1})
-    return _calibrate(model, data, n0 + n1)
-
+    return _calibrate(model, data)
 
-def _calibrate(model: Model, data: DataFrame, n: int) -> Model:
-    take = min(1.0, FIT_ROWS / n)
-    # chosen by the text's hash, so that a repeated task chooses the same rows
-    sample = data.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(take * 1_000_000))
 
+def _calibrate(model: Model, data: DataFrame) -> Model:
     def best(batches):
         for b in small_pieces(batches, 0):
             rows = [(max((s for _, _, s in segs), default=0.0), m) for m, segs in (passages(model, t) for t in b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.int64())], names=["y", "s", "n"])
     # extreme values: for clean texts of n tokens P(best > s) is about 1 - exp(-K n exp(-lambda s)); K n exp(-lambda s) is
     # the expected number of such segments, so two score levels of the clean texts give lambda and K
-    scored = sample.mapInArrow(best, "y int, s double, n long")
+    scored = data.mapInArrow(best, "y int, s double, n long")
     rows = scored.groupBy("y", F.round("s", 1).alias("s")).agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).collect()
     clean = [(r["s"], r["c"], r["n"]) for r in rows if r["y"] == 0]
     tokens = max(1, sum(c[2] for c in clean))
@@ -165,7 +176,7 @@ def _calibrate(model: Model, data: DataFrame, n: int) -> Model:
         model.lam, model.logk = float(np.clip(-slope, 0.2, 3.0)), float(icpt)
     else:   # hardly a positive segment in clean texts: one in all of their tokens at score 1
         model.lam, model.logk = 1.0, 1.0 - float(np.log(tokens))
-    sample_rows = sample.mapInArrow(lambda it: _evidence(it, model), "y int, e double").groupBy("y", F.round("e", 1).alias("e")) \
+    sample_rows = data.mapInArrow(lambda it: _evidence(it, model), "y int, e double").groupBy("y", F.round("e", 1).alias("e")) \
         .agg(F.count(F.lit(1)).alias("c")).collect()
     e = np.array([r["e"] for r in sample_rows])
     y = np.array([r["y"] for r in sample_rows], float)
