@@ -59,8 +59,8 @@ def measures(text: str, cache: Words) -> tuple[dict[str, float], Counter, int]:
         kinds[k] += v
     lines = [x for x in text.split("\n") if x.strip()]
     shown = c.sum() - c[1]
-    m = {"symbols": c[5] / max(1, shown), "upper": c[3] / max(1, c[2] + c[3]),
-         "repeats": sum(map(operator.eq, ws, ws[1:])) / n, "tails": kinds[2] / n, "loose": kinds[1] / n,
+    m = {"symbols": c[5] / (shown + 20), "upper": c[3] / max(1, c[2] + c[3]),   # few characters say little
+         "repeats": sum(map(operator.eq, ws, ws[1:])) / (n + 4), "tails": kinds[2] / n, "loose": kinds[1] / n,
          "same_lines": 1 - len(set(lines)) / len(lines)}
     if n >= 40:   # shares of few words say little
         m["distinct"] = -len(set(ws)) / n * max(1.0, np.log10(n / 100))
