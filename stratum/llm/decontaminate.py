@@ -2,7 +2,7 @@
 weighted longest-common-subsequence and answer checks."""
 from __future__ import annotations
 
-import re
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,11 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratum.llm.common import CACHE_ENTRIES, fresh, id_text, small_pieces, stage
+from stratum.llm.common import fresh, id_text, small_pieces, stage
 
-WORD = re.compile(r"\w+")
-#: Characters that are no part of a word.
-EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
+#: ASCII punctuation and controls as spaces.
+_SPACED = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
 #: Words of a passage: of the corpus for counts and the SVD, and the longest of a benchmark item.
 PASSAGE = 64
 #: Window lengths of the search, each with a stride of half its length; an item is searched with the first not below its length.
@@ -23,46 +22,30 @@ SCALES = (32, 64)
 BLOCK = 256
 #: Latent dimensions beyond those that the block's own passages need.
 EXTRA_DIMS = 32
-#: Words in more than this share of the passages have no part in the latent space (they have in the verification).
-MAX_SHARE = 0.02
+#: Dimensions of a random fold of the latent space, in which windows are compared first; cosines move there by about
+#: 1 / sqrt(FOLD), so the first comparison passes COSINE - SLACK.
+FOLD, SLACK = 64, 0.2
+#: Words in more than this share of the passages have no part in the latent space ...
+MAX_SHARE = 0.005
+#: ... nor, beyond this share, in the bound that prunes windows. All words count in the verification.
+BOUND_SHARE = 0.02
 #: A window is a candidate from this cosine in the latent space.
-COSINE = 0.35
+COSINE = 0.45
 #: A leak: this share of the item's inverse-document-frequency mass in a common subsequence ...
 FULL = 0.75
 #: ... or, for paraphrases, this share of the item and ANSWER of its answer (the last ANSWER_PART if none is given).
 PARTLY, ANSWER, ANSWER_PART = 0.5, 0.8, 1 / 3
 
 
-class Vocabulary(dict):
-    """Raw token -> word number, -1 for a word outside, -2 for a token of several or no words."""
+def words_of(text: str) -> list[bytes]:
+    """Words in lower case: runs of ASCII letters, digits, underscores and of any other characters beyond ASCII."""
+    return text.lower().encode().translate(_SPACED).split()
 
-    def __init__(self, words: dict[str, int]):
-        super().__init__()
-        self.words = words
 
-    def __missing__(self, token: str) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        w = token.lower().strip(EDGE)
-        if not w.isalnum():
-            found = WORD.findall(w)
-            w = found[0] if len(found) == 1 else None
-        v = self[token] = -2 if w is None else self.words.get(w, -1)
-        return v
-
-
-def word_numbers(text: str, vocabulary: Vocabulary) -> np.ndarray:
-    tokens = text.split()
-    codes = np.fromiter(map(vocabulary.__getitem__, tokens), np.int32, len(tokens))
-    several = np.flatnonzero(codes == -2)
-    if len(several):
-        out, at = [], 0
-        for i in several:
-            out.append(codes[at:i])
-            out.append(np.array([vocabulary.words.get(w, -1) for w in WORD.findall(tokens[i].lower())], np.int32))
-            at = i + 1
-        codes = np.concatenate([*out, codes[at:]])
-    return codes
+def word_numbers(text: str, words: dict[bytes, int]) -> np.ndarray:
+    """The number of each word of a text, -1 for words outside ``words``."""
+    found = words_of(text)
+    return np.fromiter(map(words.get, found, itertools.repeat(-1)), np.int32, len(found))
 
 
 @dataclass
@@ -71,11 +54,15 @@ class Block:
     items: list[tuple[int, np.ndarray, np.ndarray]]   # item_id, words, answer words
     weight: np.ndarray | None = None    # per word: inverse document frequency
     rare: np.ndarray | None = None      # per word: has a part in the latent space
+    bound: np.ndarray | None = None     # per word: counts in ``need``
+    folded: np.ndarray | None = None    # per word: latent vector folded into FOLD dimensions
+    near: np.ndarray | None = None      # per item: folded latent direction
     latent: np.ndarray | None = None    # per word: weighted latent vector
     unit: np.ndarray | None = None      # per item: latent direction
     mass: np.ndarray | None = None      # per item: weight of its words
-    need: np.ndarray | None = None      # per item: weight of rare words that any leak of it has
+    need: np.ndarray | None = None      # per item: weight of ``bound`` words that any leak of it has
     window: np.ndarray | None = None    # per item: length of the windows it is searched in
+    has: np.ndarray | None = None       # per item and word: whether it has the word
 
 
 def passages(benchmark: DataFrame) -> DataFrame:
@@ -86,27 +73,26 @@ def passages(benchmark: DataFrame) -> DataFrame:
         for b in batches:
             out = ([], [], [])
             for i, t, a in zip(*(b.column(c).to_pylist() for c in range(3))):
-                w = WORD.findall((t or "").lower())
+                w = words_of(t or "")
                 ends = list(range(PASSAGE, len(w), PASSAGE)) + [len(w)] if w else []
                 if len(ends) > 1 and ends[-1] - ends[-2] < PASSAGE // 2:
                     ends.pop(-2)
                 for lo, hi in zip([0, *ends], ends):
                     part = w[lo:hi]
-                    goal = WORD.findall(a.lower()) if a else part[-max(1, round(len(part) * ANSWER_PART)):]
+                    goal = words_of(a) if a else part[-max(1, round(len(part) * ANSWER_PART)):]
                     for col, x in zip(out, (i, part, goal)):
                         col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.string())), pa.array(out[2], pa.list_(pa.string()))], names=["item_id", "words", "answer"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.binary())), pa.array(out[2], pa.list_(pa.binary()))], names=["item_id", "words", "answer"])
     return benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"), answer.alias("answer")) \
-        .mapInArrow(cut, "item_id long, words array<string>, answer array<string>")
+        .mapInArrow(cut, "item_id long, words array<binary>, answer array<binary>")
 
 
-def _numbers(batches: Iterator[pa.RecordBatch], words: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _numbers(batches: Iterator[pa.RecordBatch], words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     """Per text the numbers of its words that occur in the benchmark, and the words between them."""
-    voc = Vocabulary(words)
     for b in small_pieces(batches, 2):
         rows, gaps, nums, size = [], [], [], []
         for i, t in enumerate(b.column(2).to_pylist()):
-            codes = word_numbers(t, voc)
+            codes = word_numbers(t, words)
             at = np.flatnonzero(codes >= 0)
             rows.append(i)
             size.append(len(codes))
@@ -155,9 +141,12 @@ def _frequencies(batches, n_words: int) -> Iterator[pa.RecordBatch]:
     """Passages of the corpus that hold each known word; word -1 counts the passages that hold any."""
     df, total = np.zeros(n_words, np.int64), 0
     for _, pos, num in _together(batches):
-        one = np.unique(pos // PASSAGE * n_words + num)
-        df += np.bincount(one % n_words, minlength=n_words)
-        total += len(np.unique(pos // PASSAGE))
+        cell = pos // PASSAGE
+        row = np.cumsum(np.diff(cell, prepend=cell[0]) > 0)
+        has = np.zeros((row[-1] + 1, n_words), bool)
+        has[row, num] = True
+        df += has.sum(0)
+        total += len(has)
     at = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(df[at], total), pa.int64())], names=["word", "n"])
 
@@ -208,8 +197,7 @@ def _search(batches, block: Block) -> Iterator[pa.RecordBatch]:
     for rows, pos, num in _together(batches):
         starts = np.array([r[2] for r in rows])
         for at, m, cosine in _candidates(pos, num, block):
-            scale = block.window[m]
-            a, b = np.searchsorted(pos, [at - scale // 2, at + scale + scale // 2])
+            a, b = _region(pos, at, block.window[m])
             share, answer = _verified(block, m, num[a:b])
             if share >= FULL or share >= PARTLY and answer >= ANSWER:
                 doc, text_hash, _ = rows[int(np.searchsorted(starts, pos[a], "right")) - 1]
@@ -220,37 +208,66 @@ def _search(batches, block: Block) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(pos: np.ndarray, num: np.ndarray, block: Block) -> Iterator[tuple[int, int, float]]:
-    """(window start, item, cosine) of the windows near an item in the latent space. A window whose rare words weigh less
-    than a leak of the item has to have in rare words cannot hold one."""
-    keep = block.rare[num]
-    pos, num = pos[keep], num[keep]
-    if not len(pos):
+    """(window start, item, cosine) of the windows near an item in the latent space. A window whose words weigh less
+    than a leak of the item has to weigh cannot hold one."""
+    some = block.bound[num]
+    at, w = pos[some], np.concatenate([[0.0], np.cumsum(block.weight[num[some]])])
+    some = block.rare[num]
+    rpos, rnum = pos[some], num[some]
+    if not len(rpos):
         return
-    z = np.concatenate([np.zeros((1, block.latent.shape[1])), np.cumsum(block.latent[num], axis=0, dtype=np.float64)])
-    w = np.concatenate([[0.0], np.cumsum(block.weight[num])])
     for scale in SCALES:
         members = np.flatnonzero(block.window == scale)
-        if not len(members):
-            continue
         step = scale // 2
-        cell = pos // step
-        starts = np.unique(np.concatenate([cell - 1, cell])) * step
-        lo, hi = np.searchsorted(pos, starts), np.searchsorted(pos, starts + scale)
-        mass = w[hi] - w[lo]
-        some = np.flatnonzero((mass >= block.need[members].min()) & (hi > lo))
-        for i in range(0, len(some), 8192):
-            k = some[i:i + 8192]
-            v = (z[hi[k]] - z[lo[k]]).astype(np.float32)
-            cos = (v @ block.unit[members].T) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-            for r, m in zip(*np.nonzero((cos >= COSINE) & (mass[k][:, None] >= block.need[members]))):
-                yield int(starts[k[r]]), int(members[m]), float(cos[r, m])
+        starts = np.unique(np.concatenate([rpos // step - 1, rpos // step])) * step
+        mass = w[np.searchsorted(at, starts + scale)] - w[np.searchsorted(at, starts)]
+        lo, hi = np.searchsorted(rpos, starts), np.searchsorted(rpos, starts + scale)   # never empty: starts come from rpos
+        # items in groups of like need, so that most windows meet the few items of little need only
+        for some in np.array_split(members[np.argsort(block.need[members])], 6):
+            if len(some):
+                heavy = np.flatnonzero(mass >= block.need[some[0]])
+                for i in range(0, len(heavy), 8192):
+                    yield from _near(pos, num, rnum, block, some, scale, *(x[heavy[i:i + 8192]] for x in (starts, mass, lo, hi)))
+
+
+def _near(pos, num, rnum, block: Block, members, scale: int, starts, mass, lo, hi) -> Iterator[tuple[int, int, float]]:
+    """The pairs of these windows and items that are near each other and have enough words in common for a leak."""
+    cos = _cosines(block.folded, block.near[members], rnum, lo, hi)
+    r, m = np.nonzero((cos >= COSINE - SLACK) & (mass[:, None] >= block.need[members]))
+    if not len(r):
+        return
+    used, back = np.unique(r, return_inverse=True)
+    exact = _cosines(block.latent, block.unit[members], rnum, lo[used], hi[used])[back, m]
+    ok = exact >= COSINE
+    r, m, exact = r[ok], members[m[ok]], exact[ok]
+    if not len(r):
+        return
+    a, b = _region(pos, starts[r], scale)
+    size = b - a
+    end = np.cumsum(size)
+    word = num[np.repeat(a - end + size, size) + np.arange(end[-1])]
+    common = np.add.reduceat(block.weight[word] * block.has[np.repeat(m, size), word], end - size)
+    for j in np.flatnonzero(common >= PARTLY * block.mass[m]):
+        yield int(starts[r[j]]), int(m[j]), float(exact[j])
+
+
+def _region(pos: np.ndarray, start, scale: int):
+    """Bounds of the known words that a leak found in a window may take in: half a window more on both sides."""
+    return np.searchsorted(pos, start - scale // 2), np.searchsorted(pos, start + scale + scale // 2)
+
+
+def _cosines(vectors: np.ndarray, items: np.ndarray, num: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Cosines of the windows num[lo:hi] (not empty), as sums of their words' vectors, with the items' directions."""
+    size = hi - lo
+    end = np.cumsum(size)
+    at = np.repeat(lo - end + size, size) + np.arange(end[-1])
+    v = np.add.reduceat(vectors[num[at]], end - size, axis=0)
+    return (v @ items.T) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
 def _verified(block: Block, m: int, region: np.ndarray) -> tuple[float, float]:
     """(share of the item's mass, share of its answer's mass) in a common subsequence with the region."""
     _, words, goal = block.items[m]
-    if block.weight[words[np.isin(words, region)]].sum() < PARTLY * block.mass[m]:
-        return 0.0, 0.0
     share = common_mass(words, region, block.weight) / block.mass[m]
     known = goal[goal >= 0]
     goal_mass = block.weight[known].sum() + block.weight.max() * (goal < 0).sum()
@@ -282,9 +299,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _find_block(base: DataFrame, rows: list) -> DataFrame:
-    words = {w: i for i, w in enumerate(dict.fromkeys(w for r in rows for w in r["words"]))}
+    words = {w: i for i, w in enumerate(dict.fromkeys(bytes(w) for r in rows for w in r["words"]))}
     n = len(words)
-    block = Block([(r["item_id"], np.array([words[w] for w in r["words"]]), np.array([words.get(w, -1) for w in r["answer"]], np.int64)) for r in rows])
+    block = Block([(r["item_id"], np.array([words[bytes(w)] for w in r["words"]]),
+                    np.array([words.get(bytes(w), -1) for w in r["answer"]], np.int64)) for r in rows])
     known = stage(base.mapInArrow(lambda it: _numbers(it, words), "doc_id long, text_hash long, size long, gaps array<int>, words array<int>"), "known_words")
     df, total = np.zeros(n), 1
     for r in known.mapInArrow(lambda it: _frequencies(it, n), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():   # one row per word of the block
@@ -293,30 +311,38 @@ def _find_block(base: DataFrame, rows: list) -> DataFrame:
         else:
             df[r["word"]] = r["n"]
     block.weight = np.log((1 + total) / (1 + df)) + 0.1
-    block.rare = df <= MAX_SHARE * total
+    block.rare, block.bound = df <= MAX_SHARE * total, df <= BOUND_SHARE * total
     for _, w, _ in block.items:
         if not block.rare[w].any():   # an item of common words only keeps them, else it would have no place
             block.rare[w] = True
-    weight, rare = block.weight, block.rare
+    weight, rare, bound = block.weight, block.rare, block.bound
     block.mass = np.array([max(1e-9, weight[w].sum()) for _, w, _ in block.items])
-    block.need = PARTLY * block.mass - np.array([weight[w[~rare[w]]].sum() for _, w, _ in block.items]) - 1e-6
+    block.need = PARTLY * block.mass - np.array([weight[w[~bound[w]]].sum() for _, w, _ in block.items]) - 1e-6
     block.window = np.array([next((s for s in SCALES if len(w) <= s), SCALES[-1]) for _, w, _ in block.items])
-    test = np.random.default_rng(11).standard_normal((n, min(2 * EXTRA_DIMS, n))) * rare[:, None]
+    test = np.random.default_rng(11).standard_normal((n, min(EXTRA_DIMS + 16, n))) * rare[:, None]
     cols = [f"s{i}" for i in range(test.shape[1])]
     sums = known.mapInArrow(lambda it: _sketch(it, weight, rare, test), "word long, " + ", ".join(f"{c} double" for c in cols)) \
         .groupBy("word").agg(*[F.sum(c).alias(c) for c in cols])
     sketch = np.zeros(test.shape)
     for r in sums.toLocalIterator():   # one row per word of the block
         sketch[r["word"]] = r[1:]
+    block.has = np.zeros((len(rows), n), bool)
+    for i, (_, w, _) in enumerate(block.items):
+        block.has[i, w] = True
     # the latent space: the leading right singular vectors of the corpus' passages, and those of the block's own passages
     own = np.zeros((len(rows), n))
     for i, (_, w, _) in enumerate(block.items):
         np.add.at(own[i], w[rare[w]], weight[w[rare[w]]])
     mine = np.linalg.svd(own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12), full_matrices=False)[2]
     vectors = np.linalg.qr(np.concatenate([nystrom(sketch, test, EXTRA_DIMS), mine.T], axis=1))[0]
-    block.latent = (weight[:, None] * rare[:, None] * vectors).astype(np.float32)
     place = own @ vectors
-    block.unit = (place / np.maximum(np.linalg.norm(place, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    fold = np.random.default_rng(12).standard_normal((vectors.shape[1], min(FOLD, vectors.shape[1])))
+
+    def directions(x):
+        return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    block.latent = (weight[:, None] * rare[:, None] * vectors).astype(np.float32)
+    block.folded = (block.latent @ fold).astype(np.float32)
+    block.unit, block.near = directions(place), directions(place @ fold)
     return known.mapInArrow(lambda it: _search(it, block), "doc_id long, text_hash long, item_id long, overlap double, answer double, cosine double")
 
 
