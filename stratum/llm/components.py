@@ -86,19 +86,31 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     """(node, component) of the links among nodes that share a bucket. ``sketch``: (node, sketch); two nodes are compared
     if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b) it gets.
 
-    Every node is compared with its buckets' smallest nodes first. Buckets whose nodes are then in one component are
-    done; in the others every two nodes of different components are compared too. So no candidate is left out however
-    large a bucket is, and a large group of near copies never pairs up with itself."""
+    Every node is compared with the smallest of its buckets' hubs first, then with those of its hubs that are in other
+    components. Buckets whose nodes are then in one component are done; in the others every two nodes of different
+    components are compared too. So no candidate is left out however large a bucket is, and a large group of near copies
+    takes about one comparison a node."""
     def near(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-        return confirm(both.where(passes(F.col("sa"), F.col("sb"))).select("a", "b"))
+        return stage(confirm(both.where(passes(F.col("sa"), F.col("sb"))).select("a", "b")), "links")
 
-    links = stage(near(shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "links")
+    def placed(comp: DataFrame) -> DataFrame:
+        return shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    spokes = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    links = near(spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     comp = connected(links)
-    placed = shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")) \
+    low = spokes.groupBy("b").agg(F.min("a").alias("least"))
+    at = comp.withColumnRenamed("component", "ca").withColumnRenamed("node", "a"), comp.withColumnRenamed("component", "cb").withColumnRenamed("node", "b")
+    others = spokes.join(low, "b").where("a != least").join(at[0], "a", "left").join(at[1], "b", "left") \
+        .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+    more = near(others)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        comp = connected(links)
+    several = placed(comp).groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")) \
         .where("lo != hi AND n > 2").select("bucket")
-    open_ = stage(placed.where("node != hub").join(several, "bucket", "left_semi").join(sketch.toDF("node", "sketch"), "node")
+    open_ = stage(placed(comp).where("node != hub").join(several, "bucket", "left_semi").join(sketch.toDF("node", "sketch"), "node")
                   .select("bucket", "node", "component", "sketch"), "unresolved")
     x, y = open_.toDF("bucket", "a", "ca", "sa"), open_.toDF("bucket", "b", "cb", "sb")
     rest = x.join(y, (x.bucket == y.bucket) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & passes(F.col("sa"), F.col("sb"))) \
