@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts the source uses for unbounded timestamps, and the numeric type of money.
+# Years of the source database's finite timestamps that every driver can represent.
+FINITE_YEARS = (-4713, 99999)
 INFINITY_TEXTS = ("infinity", "-infinity")
 MONEY_TYPE = "decimal(38,2)"
 _INT_PART = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
@@ -34,10 +36,13 @@ def lenient_bool(c) -> Column:
 
 
 def infinity_to_null(c) -> Column:
-    """'infinity' / '-infinity' timestamps (text form) become NULL; anything unparsable too."""
+    """'infinity' / '-infinity' become NULL, as text or as the typed timestamps that a driver returns in their place: the
+    first and last microseconds of the range or anything beyond the years of FINITE_YEARS."""
     c = F.col(c) if isinstance(c, str) else c
-    s = c.cast("string")
-    return F.when(F.lower(F.trim(s)).isin(*INFINITY_TEXTS), F.lit(None)).otherwise(c)
+    s = F.lower(F.trim(c.cast("string")))
+    year = F.regexp_extract(s, r"^([+-]?\d+)-\d{2}-\d{2}", 1).try_cast("int")
+    beyond = (year < FINITE_YEARS[0]) | (year > FINITE_YEARS[1])
+    return F.when(s.isin(*INFINITY_TEXTS) | F.coalesce(beyond, F.lit(False)), F.lit(None)).otherwise(c)
 
 
 def money_to_decimal(c, text: bool = False) -> Column:

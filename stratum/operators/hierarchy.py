@@ -24,11 +24,15 @@ def level_array(path, sep: str = PATH_SPLIT) -> Column:
 
 
 def level_columns(path, max_levels: int = MAX_LEVELS, prefix: str = "Level", sep: str = PATH_SPLIT,
-                  with_depth: bool = False) -> list[Column]:
+                  with_depth: bool = False, with_all: bool = False) -> list[Column]:
+    """Level1..LevelN. ``with_all`` adds ``Levels``, the trimmed levels joined by the path separator, which loses none
+    however deep the path is; ``with_depth`` adds their number."""
     arr = level_array(path, sep)
     cols = [F.try_element_at(arr, F.lit(i)).alias(f"{prefix}{i}") for i in range(1, max_levels + 1)]
     if with_depth:
         cols.append(F.size(arr).alias("depth"))
+    if with_all:
+        cols.append(F.array_join(arr, PATH_JOIN).alias("Levels"))
     return cols
 
 

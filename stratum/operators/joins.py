@@ -3,10 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Dimensions at or under this many rows are broadcast; above it the join stays a shuffle join
 # (and AQE may still pick a broadcast from runtime statistics).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# ... and this many bytes.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -18,9 +21,26 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise the frame is returned as is."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) in one distributed aggregate; bytes are those of the rows written as text, so that wide columns and
+    long texts count in full."""
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
+        else:
+            width = width + 16
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return r["n"], r["bytes"]
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind checked bounds of rows and bytes; otherwise the frame is returned as is."""
+    n, size = measured(df)
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -76,16 +76,16 @@ def merge_plan(target: DataFrame, source: DataFrame, keys, run_ts, add_hash: boo
         check_keys(src, keys)
     tcols = target.columns
     lower_to_src = {c.lower(): c for c in src.columns}
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in tcols])
-    s = src.select(*[F.col(lower_to_src[c.lower()]).alias(f"s__{c}") for c in tcols])
+    # a marker on each side tells which side a row came from; a key may be NULL in the target
+    t = target.select(*[F.col(c).alias(f"t__{c}") for c in tcols], F.lit(True).alias("_in_target"))
+    s = src.select(*[F.col(lower_to_src[c.lower()]).alias(f"s__{c}") for c in tcols], F.lit(True).alias("_in_source"))
     cond = None
     for k in keys:
         tk = next(c for c in tcols if c.lower() == k.lower())
         e = F.col(f"t__{tk}") == F.col(f"s__{tk}")
         cond = e if cond is None else cond & e
     j = t.join(s, cond, "full_outer")
-    k0 = next(c for c in tcols if c.lower() == keys[0].lower())
-    in_t, in_s = F.col(f"t__{k0}").isNotNull(), F.col(f"s__{k0}").isNotNull()
+    in_t, in_s = F.col("_in_target").isNotNull(), F.col("_in_source").isNotNull()
     if add_hash:
         differs = ~F.col("t__hash_row").eqNullSafe(F.col("s__hash_row"))
     else:  # Q3: no hash -> compare every non-key, non-control column null-safely

@@ -35,7 +35,7 @@ def unit_levels(unidade_idioma: DataFrame, language_id: int = PRIMARY_LANGUAGE,
     A unit with several rows in that language keeps the smallest path (deterministic)."""
     paths = (unidade_idioma.filter(F.col("IdiomaId") == language_id)
              .groupBy("Id").agg(F.min("Hierarquia").alias("Hierarquia")))
-    return paths.select("Id", *hier.level_columns("Hierarquia", max_levels, with_depth=with_depth))
+    return paths.select("Id", *hier.level_columns("Hierarquia", max_levels, with_depth=with_depth, with_all=True))
 
 
 def dim_unit(unidade: DataFrame, unidade_idioma: DataFrame, language_id: int = PRIMARY_LANGUAGE,
@@ -44,7 +44,7 @@ def dim_unit(unidade: DataFrame, unidade_idioma: DataFrame, language_id: int = P
     lv = unit_levels(unidade_idioma, language_id, max_levels, with_depth)
     u = unidade.alias("u")
     j = u.join(lv.alias("p"), F.col("u.Id") == F.col("p.Id"), "left")
-    levels = [F.col(f"p.Level{i}") for i in range(1, max_levels + 1)] + ([F.col("p.depth")] if with_depth else [])
+    levels = [F.col(f"p.Level{i}") for i in range(1, max_levels + 1)] + [F.col("p.Levels")] + ([F.col("p.depth")] if with_depth else [])
     return j.select(F.col("u.Id").alias("UnitId"), F.col("u.IdSuperior").alias("HigherUnitId"), *levels,
                     F.col("u.Latitude"), F.col("u.Longitude"),
                     F.col("u.QtdeMapaLOTOVencido").alias("LOTOMapExpired"),

@@ -19,6 +19,8 @@ from stratum.sources import files, jdbc
 from stratum.sources import tables as tb
 
 # Tables processed at once per layer, and the config's "no partitions" marker.
+# Gold levels in their order, dimensions before facts.
+GOLD_LEVELS = ("1", "2")
 PARALLEL_TABLES = 10
 NO_PARTITIONS = "N/A"
 
@@ -82,7 +84,13 @@ def run_gold(spark: SparkSession, config: DataFrame, builders: dict[str, Callabl
     ``builders[name]()`` returns (frame, merge keys); an empty frame is skipped (non-empty guard)."""
     enabled = files.enabled_rows(config).collect()
     results: list[TableResult] = []
-    for level in ("1", "2"):
+    unknown = [r for r in enabled if r["notebook_level"] not in GOLD_LEVELS]
+    results.extend(TableResult(r["notebook_name"], "failed", f"unknown gold level {r['notebook_level']!r}") for r in unknown)
+    for level in GOLD_LEVELS:
+        if any(r.status != "succeeded" for r in results if r.table not in {u["notebook_name"] for u in unknown}):
+            # facts depend on all dimensions
+            results.extend(TableResult(r["notebook_name"], "skipped", "an earlier level failed") for r in enabled if r["notebook_level"] == level)
+            continue
         tasks = []
         for r in (x for x in enabled if x["notebook_level"] == level):
             name = r["notebook_name"]

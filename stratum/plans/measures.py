@@ -149,11 +149,11 @@ def historicals(model: StarModel, by=("ptBR",), as_of=None, active_only: bool =
         HIS, CLASS, list(by), "OccupationalRiskId", "historicals", role=rel.from_col)
 
 
-def historicals_by_month(model: StarModel, by=("ptBR",), disjoint: bool = True) -> DataFrame:
+def historicals_by_month(model: StarModel, by=("ptBR",), disjoint: bool = False) -> DataFrame:
     """Point-in-time L6 at every calendar month end (interval coverage, C9), by class attribute.
 
-    ``disjoint=True`` (histories closed by ``close_intervals``): a sweep over interval starts and ends,
-    linear in the rows. ``disjoint=False``: exact distinct count by expanding rows to covered months."""
+    By default an exact distinct count, which expands rows to covered months. ``disjoint=True`` is for histories whose
+    intervals do not overlap, as ``close_intervals`` leaves them: a sweep over starts and ends, linear in the rows."""
     rel = model.relationship(HIS, CLASS, "MitigatedClassId")
     horizon = model.table(CAL).agg(F.last_day(F.max("DateRef"))).scalar()
     h = _his_rows(model, True).select(F.col(rel.from_col).alias("__fkey"), "OccupationalRiskId", "StartDate", "EndDate")

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 SUMMARIES = ("sum", "count", "none")
 
 
-def summarize(df: DataFrame, by: list[str], declared: dict[str, str], round_to: int = 2) -> DataFrame:
+def summarize(df: DataFrame, by: list[str], declared: dict[str, str]) -> DataFrame:
+    """One aggregate per declared column, named by the summary and the whole column name; sums are not rounded."""
     aggs = []
     for col, kind in declared.items():
         if kind == "sum":
-            aggs.append(F.round(F.sum(col), round_to).alias(f"sum_{col.split('_', 1)[-1]}"))
+            aggs.append(F.sum(col).alias(f"sum_{col}"))
         elif kind == "count":
-            aggs.append(F.count(col).alias(f"count_{col.split('_', 1)[-1]}"))
+            aggs.append(F.count(col).alias(f"count_{col}"))
         elif kind != "none":
             raise ValueError(f"unknown summary {kind!r}")
     return df.groupBy(*by).agg(*aggs)

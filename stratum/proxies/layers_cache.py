@@ -6,8 +6,6 @@ folder), later ones read it. Entries are keyed by the input folder and the size
 time of its files, so changed inputs are rebuilt."""
 from __future__ import annotations
 
-import glob
-import os
 import threading
 import uuid
 from collections.abc import Callable
@@ -20,13 +18,16 @@ _LOCK = threading.RLock()   # re-entrant: a layer build may need another layer
 _TABLES: dict[tuple, str] = {}
 
 
-def _fingerprint(d: str) -> tuple:
-    files = sorted(glob.glob(os.path.join(d, "*.parquet")))
-    return tuple((os.path.basename(f), os.path.getsize(f), int(os.path.getmtime(f))) for f in files)
+def _fingerprint(spark: SparkSession, d: str) -> tuple:
+    """Names, sizes and times of the input's files and folders, by the file system that Spark reads them from."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(d)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)))
 
 
 def materialized(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(d), name, _fingerprint(d))
+    key = (spark.sparkContext.applicationId, d, name, _fingerprint(spark, d))
     with _LOCK:
         t = _TABLES.get(key)
         if t and spark.catalog.tableExists(t):

@@ -88,7 +88,7 @@ WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-15' AND DATE '1996-03-15'
 def b8(spark, d):
     today = dates.date_lit("1996-03-15")
     o = T(spark, d, "orders")
-    return o.filter(F.to_date("o_orderdate").between(today, today)).groupBy("o_orderstatus").agg(
+    return o.filter((F.col("o_orderdate") >= today) & (F.col("o_orderdate") < F.date_add(today, 1))).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_orders"))
 
 
@@ -200,7 +200,9 @@ def b19(spark, d):
 SELECT CAST(month(o_orderdate) AS INTEGER) AS MonthNumber, CAST(count(*) AS BIGINT) AS n_orders FROM orders
 WHERE year(o_orderdate) = 1997 GROUP BY 1""")
 def b20(spark, d):
-    o = T(spark, d, "orders").filter(F.year("o_orderdate") == 1997)
+    o = T(spark, d, "orders")
+    # a half-open range on the bare column reaches the scan
+    o = o.filter((F.col("o_orderdate") >= dates.date_lit("1997-01-01")) & (F.col("o_orderdate") < dates.date_lit("1998-01-01")))
     return o.groupBy(F.month("o_orderdate").alias("MonthNumber")).agg(F.count(F.lit(1)).alias("n_orders"))
 
 

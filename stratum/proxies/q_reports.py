@@ -96,7 +96,7 @@ SELECT ptBR, CAST(year(month_end) AS INTEGER) AS Year, CAST(month(month_end) AS
        CAST(count(DISTINCT OccupationalRiskId) + max(CASE WHEN OccupationalRiskId IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS historicals
 FROM cov GROUP BY ptBR, month_end""")
 def c9(spark, d):
-    return M.historicals_by_month(star(spark, d), ("ptBR",))
+    return M.historicals_by_month(star(spark, d), ("ptBR",), disjoint=True)   # closed by close_intervals
 
 
 @query("l1_active_risks", count_by_role("f.ClassId", "active_risks"))

@@ -39,12 +39,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``; set a fresh one only where it is unset.
+    Read from ``spark.checkpoint.dir``; a fresh one is made only where it is unset and the master is local.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -7,6 +7,7 @@ to the current location and widen the registered schema. Merge (A15) writes the
 same way."""
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.audit import with_audit_columns
-from stratum.operators.merge import changes_from_plan, merge_plan
+from stratum.operators.merge import SchemaMismatch, changes_from_plan, check_keys, latest_per_key, merge_plan, parse_keys
 from stratum.session import shared_dir
 
 # Load modes and table types the loader accepts; 'N/A' means no partition columns.
@@ -81,9 +82,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def metadata(spark: SparkSession, name: str) -> dict:
+    """The catalog's entry of a table; its keys never mix with the names of the table's columns."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
+
+
 def location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Location").collect()
-    return rows[0]["data_type"]
+    return metadata(spark, name)["location"]
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -92,13 +97,25 @@ def _ddl(schema: T.StructType) -> str:
 
 def _register(spark: SparkSession, t: Target, loc: str, schema: T.StructType) -> None:
     ensure_schema(spark, t.schema)
-    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    new = _new_name(t)
     part = f"PARTITIONED BY ({', '.join(t.partition_columns)})" if t.partition_columns else ""
     data = [f for f in schema.fields if f.name not in t.partition_columns]
     parts = [schema[c] for c in t.partition_columns]
-    spark.sql(f"CREATE TABLE {t.name} ({_ddl(T.StructType(data + parts))}) USING parquet {part} LOCATION '{loc}'")
+    spark.sql(f"CREATE TABLE {new} ({_ddl(T.StructType(data + parts))}) USING parquet {part} LOCATION '{loc}'")
     if t.partition_columns:
-        spark.sql(f"ALTER TABLE {t.name} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {new} RECOVER PARTITIONS")
+    _swap(spark, new, t)
+
+
+def _new_name(t: Target) -> str:
+    return f"{t.name}__new_{uuid.uuid4().hex[:8]}"
+
+
+def _swap(spark: SparkSession, new: str, t: Target) -> None:
+    """Give a complete table the target's name. Both steps change catalog entries only, and a failed write never gets
+    here, so it leaves the old table as it was."""
+    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {t.name}")
     spark.catalog.refreshTable(t.name)
 
 
@@ -112,14 +129,17 @@ def write_snapshot(spark: SparkSession, df: DataFrame, t: Target) -> str:
 
 
 def _write_bucketed(spark: SparkSession, df: DataFrame, t: Target) -> None:
-    """A fresh snapshot written as a bucketed table (bucketing is recorded in the catalog entry)."""
+    """A fresh snapshot written as a bucketed table (bucketing is recorded in the catalog entry), then swapped in. Rows
+    are dealt to the buckets first, so that each bucket is written by one task."""
     ensure_schema(spark, t.schema)
-    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    new = _new_name(t)
+    df = df.repartition(t.buckets, *[F.col(c) for c in t.bucket_keys])
     loc = f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}"
     w = df.write.mode("errorifexists").format("parquet").option("compression", "snappy").option("path", loc)
     if t.partition_columns:
         w = w.partitionBy(*t.partition_columns)
-    w.bucketBy(t.buckets, *t.bucket_keys).sortBy(*t.bucket_keys).saveAsTable(t.name)
+    w.bucketBy(t.buckets, *t.bucket_keys).sortBy(*t.bucket_keys).saveAsTable(new)
+    _swap(spark, new, t)
 
 
 def create_table(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
@@ -132,8 +152,29 @@ def create_table(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     return spark.table(t.name)
 
 
+# Numeric types by width; a narrower one is appended to a wider one.
+WIDTHS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _conformed(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """``df`` with the table's types. A narrower number is cast; any other difference raises, since files of another type
+    make a Parquet table unreadable."""
+    have = {f.name.lower(): f.dataType for f in schema.fields}
+    cols = []
+    for f in df.schema.fields:
+        want = have.get(f.name.lower(), f.dataType)
+        a, b = f.dataType.simpleString(), want.simpleString()
+        if a != b and not isinstance(f.dataType, T.NullType) and not (a in WIDTHS and b in WIDTHS and WIDTHS.index(a) <= WIDTHS.index(b)):
+            raise SchemaMismatch(f"column {f.name} of {name} is {b}, the appended rows have {a}")
+        cols.append(F.col(f"`{f.name}`").cast(want).alias(f.name) if a != b else F.col(f"`{f.name}`"))
+    return df.select(*cols)
+
+
 def overwrite(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     """Full replace; the schema is replaced too."""
+    if table_exists(spark, t.name) and provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
+        df.writeTo(t.name).overwrite(F.lit(True))
+        return spark.table(t.name)
     return create_table(spark, df, t)
 
 
@@ -142,6 +183,10 @@ def append(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     if not table_exists(spark, t.name):
         return create_table(spark, df, t)
     cur = spark.table(t.name)
+    df = _conformed(df, cur.schema, t.name)
+    if provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
+        df.writeTo(t.name).append()
+        return spark.table(t.name)
     cur_names = {c.lower() for c in cur.columns}
     if t.buckets:
         if {c.lower() for c in df.columns} <= cur_names:
@@ -171,8 +216,7 @@ NATIVE_MERGE_PROVIDERS = ("delta", "iceberg")
 
 
 def provider(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Provider").collect()
-    return rows[0]["data_type"].lower() if rows else ""
+    return str(metadata(spark, name).get("provider", "")).lower()
 
 
 def native_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
@@ -181,14 +225,12 @@ def native_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, ad
     Same rules as the snapshot merge: update (hash included) when the hash differs, insert when
     absent, keep target-only rows."""
     from stratum.functions.audit import run_timestamp
-    from stratum.operators.merge import check_keys, latest_per_key, parse_keys
     keys = parse_keys(keys)
     if kw.get("on_duplicate") == "latest":
         df = latest_per_key(df, keys, kw["order_by"])
     src = with_audit_columns(df, run_ts, add_hash, hash_mode)
     target_cols = spark.table(t.name).columns
     if {c.lower() for c in target_cols} != {c.lower() for c in src.columns}:
-        from stratum.operators.merge import SchemaMismatch
         raise SchemaMismatch(f"column sets differ between {t.name} and the source")
     check_keys(src, keys)
     view = register_view(src, "merge_src")
@@ -207,6 +249,10 @@ def native_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, ad
     return spark.table(t.name)
 
 
+#: Touched partitions that a merge names in its scan filter; beyond, it joins with their table.
+PRUNE_VALUES = 500
+
+
 def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
                      hash_mode: str = "compat", **kw) -> DataFrame:
     """Merge into a partitioned Parquet table rewriting only the partitions it touches.
@@ -216,7 +262,6 @@ def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts
     shared folder, and written back with a dynamic partition overwrite; other partitions keep their
     files. The touched set has one row per partition value, so it is broadcast after a size check."""
     from stratum.operators.joins import broadcast_bounded
-    from stratum.operators.merge import parse_keys
     pcols = list(t.partition_columns)
     target = spark.table(t.name)
     key_list = parse_keys(keys)
@@ -226,8 +271,15 @@ def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts
     else:
         moved = target.join(df.select(*key_list).distinct(), key_list, "left_semi").select(*pcols)
         touched = src_parts.unionByName(moved).distinct()
-    tgt_touched = target.join(broadcast_bounded(touched), [target[c].eqNullSafe(touched[c]) for c in pcols],
-                              "left_semi")
+    # evaluated once; up to PRUNE_VALUES of its rows become a filter that prunes the target's partitions in the scan
+    base = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
+    touched.write.parquet(base)
+    touched = spark.read.schema(touched.schema).parquet(base)
+    values = touched.limit(PRUNE_VALUES + 1).collect()
+    if len(values) <= PRUNE_VALUES:
+        tgt_touched = target.filter(_partition_filter(pcols, values))
+    else:
+        tgt_touched = target.join(broadcast_bounded(touched), [target[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
     plan = merge_plan(tgt_touched, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
     stage = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
     plan.select(*target.columns).write.mode("errorifexists").parquet(stage)
@@ -241,22 +293,37 @@ def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts
         loc = write_snapshot(spark, full.select(*target.columns), t)
         _register(spark, t, loc, target.schema)
         return spark.table(t.name)
-    with_dynamic = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.insertInto(t.name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_dynamic)
+    # the mode belongs to this one write: the session's setting may be in use by other loads
+    staged.repartition(*[F.col(c) for c in pcols]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .option("compression", "snappy").partitionBy(*pcols).parquet(location(spark, t.name))
+    spark.sql(f"ALTER TABLE {t.name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(t.name)
     return spark.table(t.name)
 
 
+def _partition_filter(cols: list[str], values: list):
+    """Rows whose partition is one of ``values``, as plain comparisons with constants (a null-safe one does not prune)."""
+    if len(cols) == 1:
+        some = [r[0] for r in values if r[0] is not None]
+        out = F.col(cols[0]).isin(some) if some else F.lit(False)
+        return out | F.col(cols[0]).isNull() if len(some) < len(values) else out
+    out = F.lit(False)
+    for r in values:
+        one = F.lit(True)
+        for c in cols:
+            one = one & (F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]))
+        out = out | one
+    return out
+
+
 def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
           hash_mode: str = "compat", with_changes: bool = False, **kw):
     """Hash-compared upsert into the table (A15); returns the new table (and the change feed).
 
     Delta/Iceberg tables get a native MERGE INTO; plain Parquet tables get the merged snapshot."""
-    if not with_changes and provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
+    if provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
+        if with_changes:
+            raise ValueError(f"{t.name} keeps a change feed of its own; read that one")
         return native_merge(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
     if not with_changes and t.partition_columns and not t.buckets:
         return merge_partitions(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
@@ -300,6 +367,12 @@ def load(spark: SparkSession, df: DataFrame, t: Target, mode: str, keys=None, ru
     if mode not in LOAD_MODES:
         raise UnknownLoadMode(f"mode {mode!r} not in {LOAD_MODES}")
     if not table_exists(spark, t.name):
+        if mode == "merge" and keys is not None:   # the first load keeps the rules of the later ones
+            names = parse_keys(keys)
+            if kw.get("on_duplicate") == "latest":
+                df = latest_per_key(df, names, kw["order_by"])
+            if kw.get("validate", True):
+                check_keys(df, names)
         return create_table(spark, with_audit_columns(df, run_ts, add_hash, hash_mode), t)
     if mode == "merge":
         return merge(spark, df, t, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
