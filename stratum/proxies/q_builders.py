@@ -52,7 +52,7 @@ WITH paths AS (
   WHERE c.c_acctbal >= 0)
 SELECT c.c_custkey AS UnitId, CAST(c.c_nationkey AS BIGINT) AS HigherUnitId, """ + ", ".join(
     f"trim(string_split(p.path, '>')[{i}]) AS Level{i}" for i in range(1, 9)) + f""",
-       CASE WHEN p.path IS NOT NULL THEN array_to_string(list_transform(string_split(p.path, '>'), x -> trim(x)), ' > ') END AS Levels,
+       CASE WHEN p.path IS NOT NULL THEN array_to_string(list_transform(string_split(p.path, '>'), lambda x: trim(x)), ' > ') END AS Levels,
        c.c_acctbal AS Latitude, CAST(NULL AS DOUBLE) AS Longitude, c.c_nationkey AS LOTOMapExpired,
        0 AS SecurityMapExpired, CAST(length(c.c_mktsegment) AS INTEGER) AS RiskWithoutAction{STAMP}
 FROM customer c LEFT JOIN paths p ON c.c_custkey = p.Id""")

@@ -106,7 +106,7 @@ def customer_paths(spark, d):
 
 
 @query("d2_pivot_levels", with_ctes(HIER_SQL) + "SELECT Id, " + ", ".join(
-    f"trim(string_split(path, '>')[{i}]) AS Level{i}" for i in range(1, 9)) + ", array_to_string(list_transform(string_split(path, '>'), x -> trim(x)), ' > ') AS Levels FROM paths")
+    f"trim(string_split(path, '>')[{i}]) AS Level{i}" for i in range(1, 9)) + ", array_to_string(list_transform(string_split(path, '>'), lambda x: trim(x)), ' > ') AS Levels FROM paths")
 def d2(spark, d):
     p = customer_paths(spark, d)
     return p.select("Id", *hier.level_columns("path", with_all=True))
