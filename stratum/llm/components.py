@@ -16,8 +16,8 @@ def _signature(edges: DataFrame) -> tuple:
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``edges``: (a, b) long, any order, self-loops and repeats allowed. Returns (node, component) for every node that
-    has an edge to another one; component is the smallest node of its component.
+    """``edges``: (a, b) long, any order, self-loops and repeats allowed. Returns (node, component) for every
+    linked node but the smallest of each component, which is ``component`` itself.
 
     Each round is two aggregated joins over the edge table; edges stay distributed and each round is staged. The edge
     count never grows. An empty edge table gives an empty result. Raises if ``rounds`` rounds do not suffice

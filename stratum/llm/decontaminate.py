@@ -312,9 +312,10 @@ def _find_block(base: DataFrame, rows: list) -> DataFrame:
             df[r["word"]] = r["n"]
     block.weight = np.log((1 + total) / (1 + df)) + 0.1
     block.rare, block.bound = df <= MAX_SHARE * total, df <= BOUND_SHARE * total
-    for _, w, _ in block.items:
-        if not block.rare[w].any():   # an item of common words only keeps them, else it would have no place
-            block.rare[w] = True
+    for _, w, _ in block.items:   # an item's rarest words that make up half of its weight always have a part
+        w = w[np.argsort(df[w], kind="stable")]
+        part = np.cumsum(block.weight[w])
+        block.rare[w[:int(np.searchsorted(part, part[-1] / 2)) + 1]] = True
     weight, rare, bound = block.weight, block.rare, block.bound
     block.mass = np.array([max(1e-9, weight[w].sum()) for _, w, _ in block.items])
     block.need = PARTLY * block.mass - np.array([weight[w[~bound[w]]].sum() for _, w, _ in block.items]) - 1e-6

@@ -64,7 +64,8 @@ def measures(text: str, cache: Words) -> tuple[dict[str, float], Counter, int]:
          "same_lines": 1 - len(set(lines)) / len(lines)}
     if n >= 40:   # shares of few words say little
         m["distinct"] = -len(set(ws)) / n * max(1.0, np.log10(n / 100))
-        m["short_words"] = -kinds[3] / n
+        if kinds[3] <= 0.8 * n:   # hardly anything but short words is no prose either
+            m["short_words"] = -kinds[3] / n
     shapes = Counter()
     for (f, _), v in seen.items():
         shapes[f] += v
