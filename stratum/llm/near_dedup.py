@@ -17,9 +17,9 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 #: Bits of an odd sketch.
 BITS = 512
-#: A sketch is passed over below this estimate. At a true similarity of 0.8 the estimate from 128 samples has a standard
-#: deviation of about 0.045 (samples) and 0.03 (bitmap), so 0.45 is six deviations away.
-PASS = 0.45
+#: A pair is passed over below this estimate. At a true similarity of 0.8 the estimate has a standard deviation of about
+#: 0.042 (0.035 from 128 samples, 0.023 from the bitmap), so 0.62 is more than four deviations away: one pair in 100,000.
+PASS = 0.62
 
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -127,20 +127,26 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     filled = sig.where("set_key IS NOT NULL")
     classes = stage(filled.groupBy("set_key").agg(F.min("row").alias("node")), "classes")
     reps = filled.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi") \
-        .select(F.col("row").alias("node"), "doc_id", "text_hash", "odd", "bands")
+        .select(F.col("row").alias("node"), "doc_id", "text_hash", "n_shingles", "odd", "bands")
     shared = shared_buckets(reps.select(F.explode("bands").alias("bucket"), "node"))
     # texts and sketches of the classes that share a bucket with another one
-    known = reps.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("d"), "text_hash", "odd")
+    known = reps.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("d"), "text_hash", "odd", "n_shingles")
     texts = id_text(docs).withColumn("text_hash", F.xxhash64("text"))
     cand = stage(texts.join(known, texts.doc_id.eqNullSafe(F.col("d")) & (texts.text_hash == known.text_hash))
-                 .groupBy("node").agg(F.first("text").alias("text"), F.first("odd").alias("odd")), "candidates")
+                 .groupBy("node").agg(F.first("text").alias("text"), F.first(F.struct("odd", "n_shingles")).alias("sketch")), "candidates")
+
+    def passes(x: Column, y: Column) -> Column:
+        """Sizes that allow the similarity (a set's share of a union is at most the smaller size by the larger), then the sketches."""
+        small, large = F.least(x["n_shingles"], y["n_shingles"]), F.greatest(x["n_shingles"], y["n_shingles"])
+        return (100 * small >= percent * large) & (_apart(x["odd"], y["odd"]) <= limit)
+
 
     def confirm(pairs: DataFrame) -> DataFrame:
         t = cand.select("node", "text")
         both = pairs.join(t.toDF("b", "tb"), "b").join(t.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
         return both.mapInArrow(lambda it: _confirm(it, width, percent), "a long, b long")
 
-    comp = group_by_buckets(shared, cand.select("node", "odd"), lambda x, y: _apart(x, y) <= limit, confirm)
+    comp = group_by_buckets(shared, cand.select("node", "sketch"), passes, confirm)
     low = classes.join(comp, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     named = sig.join(low, "set_key", "left").withColumn("component", F.coalesce("component", "row"))
     placed_rows = named.select("row", "doc_id", "text_hash", "n_shingles", "component")
