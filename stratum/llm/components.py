@@ -44,6 +44,10 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+#: Rounds of pivots before the rest of a bucket is compared across components.
+PIVOTS = 4
+
+
 def _not_alone(batches):
     """From rows sorted by (bucket, node): the rows of buckets with several rows, and those at the partition's ends, whose
     bucket may go on in a neighbouring partition. One row is held back to see whether its successor shares its bucket."""
@@ -86,8 +90,8 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     """(node, component) of the links among nodes that share a bucket. ``sketch``: (node, sketch); two nodes are compared
     if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b) it gets.
 
-    Every node is compared with the smallest of its buckets' hubs first, then with those of its hubs that are in other
-    components. Buckets whose nodes are then in one component are done; in the others every two nodes of different
+    Every node is compared with the smallest of its buckets' hubs first, then, in a few rounds, with one pivot of each of
+    its buckets whose component is another one. Buckets whose nodes are then in one component are done; in the others every two nodes of different
     components are compared too. So no candidate is left out however large a bucket is, and a large group of near copies
     takes about one comparison a node."""
     def near(pairs: DataFrame) -> DataFrame:
@@ -100,17 +104,19 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     spokes = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = near(spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     comp = connected(links)
-    low = spokes.groupBy("b").agg(F.min("a").alias("least"))
-    at = comp.withColumnRenamed("component", "ca").withColumnRenamed("node", "a"), comp.withColumnRenamed("component", "cb").withColumnRenamed("node", "b")
-    others = spokes.join(low, "b").where("a != least").join(at[0], "a", "left").join(at[1], "b", "left") \
-        .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-    more = near(others)
-    if not more.isEmpty():
+    for k in range(PIVOTS):   # other pivots, one a bucket, against the nodes of other components
+        rows = placed(comp)
+        pivots = rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("component").alias("c")), F.xxhash64("node", F.lit(k))).alias("v"),
+                                            F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket", "v.*")
+        pairs = rows.join(pivots, "bucket").where("component != c").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+        more = near(pairs)
+        if more.isEmpty():
+            break
         links = links.unionByName(more)
         comp = connected(links)
-    several = placed(comp).groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")) \
-        .where("lo != hi AND n > 2").select("bucket")
-    open_ = stage(placed(comp).where("node != hub").join(several, "bucket", "left_semi").join(sketch.toDF("node", "sketch"), "node")
+    several = placed(comp).groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo != hi").select("bucket")
+    open_ = stage(placed(comp).join(several, "bucket", "left_semi").join(sketch.toDF("node", "sketch"), "node")
                   .select("bucket", "node", "component", "sketch"), "unresolved")
     x, y = open_.toDF("bucket", "a", "ca", "sa"), open_.toDF("bucket", "b", "cb", "sb")
     rest = x.join(y, (x.bucket == y.bucket) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & passes(F.col("sa"), F.col("sb"))) \
