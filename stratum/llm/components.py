@@ -44,8 +44,8 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-#: Rounds of pivots before the rest of a bucket is compared across components.
-PIVOTS = 4
+#: Nodes outside a bucket's largest component that are compared in one portion; larger buckets are cut into portions.
+PORTION = 2000
 
 
 def _not_alone(batches):
@@ -85,15 +85,65 @@ def shared_buckets(member: DataFrame) -> DataFrame:
     return stage(some.join(hubs, "bucket"), "shared")
 
 
+def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[list, list]:
+    """Pairs of one cell's sides 0 and 1 in different components whose sketches are alike, in their first common bucket."""
+    side, bucket, node, comp = (rows.column(c).to_numpy() for c in ("side", "bucket", "node", "component"))
+    nx = int(np.searchsorted(side, 1))
+    if not nx or nx == len(side):
+        return [], []
+    sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(side), -1)
+    main = rows.column("main").to_numpy(zero_copy_only=False)
+    lists = rows.column("buckets")
+    sets: dict[int, set] = {}
+
+    def of(i: int) -> set:
+        if i not in sets:
+            sets[i] = set(lists[i].as_py())
+        return sets[i]
+    a, b = [], []
+    for i in range(0, nx, 16):
+        j = min(nx, i + 16)
+        ok = (comp[i:j, None] != comp[None, nx:]) & (main[None, nx:] | (node[i:j, None] < node[None, nx:]))
+        ok &= alike(sketch[i:j], sketch[nx:])
+        for p, q in np.argwhere(ok).tolist():
+            if min(of(i + p) & of(nx + q)) == bucket[i + p]:
+                a.append(node[i + p])
+                b.append(node[nx + q])
+    return a, b
+
+
+def _cells(batches, alike):
+    """(a, b) of rows sorted by (cell, side). A cell is held whole: at most some portions of PORTION rows."""
+    held: list[pa.Table] = []
+
+    def done() -> pa.RecordBatch:
+        a, b = _cell_pairs(pa.concat_tables(held), alike)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if held and held[0].column(0)[0].as_py() != cell[lo]:
+                yield done()
+                held.clear()
+            held.append(pa.Table.from_batches([batch.slice(lo, hi - lo)]))
+    if held:
+        yield done()
+
+
 def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Column, Column], Column],
-                     confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                     confirm: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame],
+                     alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """(node, component) of the links among nodes that share a bucket. ``sketch``: (node, sketch); two nodes are compared
-    if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b) it gets.
+    if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b) it gets. ``refine``
+    makes finer sketches (node, sketch array<long>) of some nodes (node), and ``alike`` compares two blocks of them.
 
-    Every node is compared with the smallest of its buckets' hubs first, then, in a few rounds, with one pivot of each of
-    its buckets whose component is another one. Buckets whose nodes are then in one component are done; in the others every two nodes of different
-    components are compared too. So no candidate is left out however large a bucket is, and a large group of near copies
-    takes about one comparison a node."""
+    Every node is compared with the smallest of its buckets' hubs first, then with one pivot of each of its buckets whose
+    component is another one. Buckets whose nodes are then in one component are done. In the others every node outside the
+    bucket's largest component is compared with all nodes of other components, once a pair, by the finer sketches. So no
+    candidate is left out however large a bucket is, and a large group of near copies takes a few comparisons a node."""
     def near(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
         return stage(confirm(both.where(passes(F.col("sa"), F.col("sb"))).select("a", "b")), "links")
@@ -104,22 +154,31 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     spokes = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = near(spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     comp = connected(links)
-    for k in range(PIVOTS):   # other pivots, one a bucket, against the nodes of other components
-        rows = placed(comp)
-        pivots = rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("component").alias("c")), F.xxhash64("node", F.lit(k))).alias("v"),
-                                            F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket", "v.*")
-        pairs = rows.join(pivots, "bucket").where("component != c").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-        more = near(pairs)
-        if more.isEmpty():
-            break
+    rows = placed(comp)
+    pivots = rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("component").alias("c")), F.xxhash64("node")).alias("v"),
+                                        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket", "v.*")
+    pairs = rows.join(pivots, "bucket").where("component != c").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+    more = near(pairs)
+    if not more.isEmpty():
         links = links.unionByName(more)
         comp = connected(links)
-    several = placed(comp).groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo != hi").select("bucket")
-    open_ = stage(placed(comp).join(several, "bucket", "left_semi").join(sketch.toDF("node", "sketch"), "node")
-                  .select("bucket", "node", "component", "sketch"), "unresolved")
-    x, y = open_.toDF("bucket", "a", "ca", "sa"), open_.toDF("bucket", "b", "cb", "sb")
-    rest = x.join(y, (x.bucket == y.bucket) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & passes(F.col("sa"), F.col("sb"))) \
-        .select("a", "b").distinct()
-    more = stage(confirm(rest), "links")
+    # buckets of several components: the largest one's nodes are compared with the others only, in cells of bounded size
+    sizes = placed(comp).groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    portions = lambda n: F.ceil(n / PORTION).cast("int")
+    several = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"),
+                                          portions(F.sum("n") - F.max("n")).alias("px"), portions(F.sum("n")).alias("py")).where("parts > 1")
+    open_ = stage(placed(comp).join(several, "bucket").select("bucket", "node", "component", (F.col("component") == F.col("top")).alias("main"), "px", "py"), "unresolved")
+    fine = stage(refine(open_.select("node").distinct()), "fine")
+    own = open_.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(fine.toDF("node", "sketch"), "node")
+
+    def side(k: int, rows: DataFrame, mine: str, other: str) -> DataFrame:
+        """A row's own portion, against every portion of the other side."""
+        part = F.pmod(F.xxhash64("node"), F.col(mine)).cast("int")
+        dealt = rows.withColumn("own", part).withColumn("met", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        px, py = ("own", "met") if k == 0 else ("met", "own")
+        return dealt.select(F.xxhash64("bucket", px, py).alias("cell"), F.lit(k).alias("side"), "bucket", "node", "component", "main")
+    dealt = side(0, open_.where("NOT main"), "px", "py").unionByName(side(1, open_, "py", "px"))
+    n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = dealt.join(own, "node").select("cell", "side", "bucket", "node", "component", "main", "sketch", "buckets").repartition(n, "cell").sortWithinPartitions("cell", "side")
+    more = stage(confirm(rows.mapInArrow(lambda it: _cells(it, alike), "a long, b long").distinct()), "links")
     return comp if more.isEmpty() else connected(links.unionByName(more))
