@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import (decontaminate, exact_dedup, fixity, fuzzy_lines, near_dedup, packing, quality, secret_scan,
+from stratum.llm import (components, decontaminate, exact_dedup, fixity, fuzzy_lines, near_dedup, packing, quality, secret_scan,
                          token_count, toxicity)
 from stratum.llm.components import connected
 
@@ -139,6 +139,23 @@ def test_near_duplicates(docs, width):
     assert near_dedup.drop_near_copies(docs, width).count() == len(set(comp))
 
 
+def test_near_duplicates_in_buckets_that_stay_mixed(spark, vocabulary, monkeypatch):
+    """Variants of one text around the threshold: mixed buckets, cut into portions of three, lose no link."""
+    monkeypatch.setattr(components, "PORTION", 3)
+    rng = random.Random(8)
+    base = [rng.choice(vocabulary) + str(i) for i in range(100)]
+    texts = []
+    for i in range(60):
+        w = list(base)
+        for k in rng.sample(range(100), rng.randint(3, 8)):
+            w[k] = f"x{i}y{k}"
+        texts.append(" ".join(w))
+    _, comp = brute_near(texts, 2)
+    assert 3 < len(set(comp)) < 58
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2).collect()
+    assert sorted((g["doc_id"], g["component_id"]) for g in got) == list(enumerate(comp))
+
+
 def test_near_duplicates_of_an_empty_table(empty):
     assert near_dedup.near_duplicates(empty).count() == 0 and near_dedup.drop_near_copies(empty).count() == 0
 
