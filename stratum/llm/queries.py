@@ -28,7 +28,8 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.fuzzy_line_report(read(spark, sf_dir, "documents"))
+    """Lines linked by edit similarity alone."""
+    return fuzzy_lines.fuzzy_line_report(read(spark, sf_dir, "documents"), bits=None)
 
 
 def op6_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

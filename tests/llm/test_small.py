@@ -218,6 +218,52 @@ def test_fuzzy_lines(spark, vocabulary, empty):
     assert fuzzy_lines.fuzzy_line_report(empty).count() == 0
 
 
+def test_fuzzy_lines_by_edit_similarity_alone(spark, vocabulary, empty):
+    """Replaced words, changed letters, accents and short lines: all links of plain edit similarity, whatever their SimHashes."""
+    rng = random.Random(21)
+    line = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    lines = ["abcd", "abce", "abcde", "abcdf", "abxde", "abcdefghij", "bcdefghijk", "abcdxxghij", "xbcdefghix"]
+    for n in (3, 6, 10, 25, 50, 100):
+        for _ in range(4):
+            w = line(n)
+            other = list(w)
+            other[rng.randrange(n)] = rng.choice(vocabulary)
+            t = " ".join(w)
+            at = rng.randrange(len(t))
+            lines += [t, " ".join(other), t[:at] + "q" + t[at + 1:], t.upper(), t[:len(t) * 3 // 4]]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[4 * i:4 * i + 4])) for i in range(-(-len(lines) // 4))] + [(900, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    occ = [(str(i), k, fuzzy_lines.normalised(x).decode()) for i, t in rows for k, x in enumerate((t or "").encode().split(b"\n")) if x.strip()]
+    comp = list(range(len(occ)))
+    for i in range(len(occ)):
+        for j in range(i):
+            a, b = occ[i][2], occ[j][2]
+            longer = max(len(a), len(b))
+            if comp[i] != comp[j] and 5 * abs(len(a) - len(b)) <= longer and 5 * plain_edits(a, b) <= longer:
+                x, y = comp[i], comp[j]
+                comp = [min(x, y) if c in (x, y) else c for c in comp]
+    drop = {}
+    for (d, k, _), c, i in zip(occ, comp, range(len(occ))):
+        if c != i:
+            drop.setdefault(d, []).append(str(k))
+    got = {str(r["doc_id"]): r["dropped_lines"] for r in fuzzy_lines.fuzzy_line_report(df, bits=None).collect()}
+    assert got == {str(d): ",".join(drop.get(str(d), [])) for d, _ in rows}
+    assert sum(len(x) for x in drop.values()) > 70
+    clean = fuzzy_lines.drop_fuzzy_lines(df, bits=None).collect()
+    assert sum(len([x for x in (r["text"] or "").split("\n") if x.strip()]) for r in clean) == len(set(comp))
+    assert fuzzy_lines.fuzzy_line_report(empty, bits=None).count() == 0
+
+
+def test_counts_pass_over_no_similar_pair():
+    rng = random.Random(22)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 30))) for _ in range(2))
+        e = plain_edits(a, b)
+        percent = 100 - -(-100 * e // max(len(a), len(b)))
+        assert fuzzy_lines.may_link(fuzzy_lines.counts(a)[None], fuzzy_lines.counts(b)[None], percent).all()
+
+
 def plain_edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
