@@ -18,6 +18,8 @@ _SPACED = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in ran
 PASSAGE = 64
 #: Window lengths of the search, each with a stride of half its length; an item is searched with the first not below its length.
 SCALES = (32, 64)
+#: Known words that are laid end to end; a longer text goes through in parts.
+TOGETHER = 50_000
 #: Benchmark passages that are searched for in one run over the corpus (bounds the vocabulary and the latent space).
 BLOCK = 256
 #: Latent dimensions beyond those that the block's own passages need.
@@ -116,22 +118,26 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, n
             yield ids[i], hashes[i], size[i], np.cumsum(gv[lo:hi], dtype=np.int64) - 1, nv[lo:hi]
 
 
-def _together(batches, rare: np.ndarray | None = None, words: int = 50_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def _together(batches, rare: np.ndarray | None = None, overlap: int = 0) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """Several rows laid end to end: [(doc_id, text_hash, first position)], positions and word numbers of the known (or
-    rare) words. Rows start at multiples of PASSAGE and are two passages apart, so no window holds words of two rows."""
+    rare) words. Rows start at multiples of PASSAGE and are two passages apart, so no window holds words of two rows.
+    A very long text goes through in parts, each of which begins ``overlap`` words before the end of the former one."""
     rows, at, nums, base, size = [], [], [], 2 * PASSAGE, 0
     for doc, text_hash, n, pos, num in _texts(batches):
         if rare is not None:
             keep = rare[num]
             pos, num = pos[keep], num[keep]
-        for lo in range(0, len(num), words) or ():   # a very long text goes through in parts
+        lo = 0
+        while lo < len(num):
+            hi = max(lo + TOGETHER, int(np.searchsorted(pos, pos[lo] + 2 * overlap)))
             rows.append((doc, text_hash, base))
-            at.append(pos[lo:lo + words] + base)
-            nums.append(num[lo:lo + words])
+            at.append(pos[lo:hi] + base)
+            nums.append(num[lo:hi])
             size += len(nums[-1])
-            if size >= words:
+            if size >= TOGETHER:
                 yield rows, np.concatenate(at), np.concatenate(nums)
                 rows, at, nums, size = [], [], [], 0
+            lo = int(np.searchsorted(pos, pos[hi] - overlap)) if hi < len(num) else hi
         base = 2 * PASSAGE if not rows else base + (-(-n // PASSAGE) + 3) * PASSAGE
     if rows:
         yield rows, np.concatenate(at), np.concatenate(nums)
@@ -194,7 +200,7 @@ def common_mass(item: np.ndarray, region: np.ndarray, weight: np.ndarray) -> flo
 
 def _search(batches, block: Block) -> Iterator[pa.RecordBatch]:
     out = ([], [], [], [], [], [])
-    for rows, pos, num in _together(batches):
+    for rows, pos, num in _together(batches, overlap=2 * SCALES[-1]):   # a window and half of it on both sides
         starts = np.array([r[2] for r in rows])
         for at, m, cosine in _candidates(pos, num, block):
             a, b = _region(pos, at, block.window[m])

@@ -445,6 +445,24 @@ def test_decontamination(leaky, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_a_text_in_parts(spark, leaky, vocabulary, monkeypatch):
+    """Verbatim items at every place of a text that goes through in parts of 300 known words."""
+    monkeypatch.setattr(decontaminate, "TOGETHER", 300)
+    docs, bench, _ = leaky
+    rng = random.Random(13)
+    words = [w + x for w in vocabulary for x in ("", "ta", "ri", "mo", "lu")]
+    items = [(r["item_id"], r["text"]) for r in bench.where("item_id < 12").collect()]
+    rows = []
+    for d in range(30):
+        w = [rng.choice(words) for _ in range(rng.randint(0, 900))]
+        for _, t in rng.sample(items, len(items)):
+            w += t.split(" ") + [rng.choice(words) for _ in range(rng.randint(0, 120))]
+        rows.append((1000 + d, " ".join(w)))
+    long_ = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs.select("doc_id", "text").unionByName(long_), bench).collect()}
+    assert {(d, i) for d, _ in rows for i, _ in items} <= got
+
+
 def test_common_mass_is_the_heaviest_subsequence():
     rng = np.random.default_rng(2)
     weight = rng.random(6)
