@@ -46,34 +46,33 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, at, pos = f, 0, 0
             offset[i], number[i] = at, pos
             at, pos = at + n, pos + 1
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "file", "length", "sha256", "other")),
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url", "file", "length", "sha256")),
                                           pa.array([part] * len(files), pa.int32()), pa.array(number), pa.array(offset)],
-                                         names=["page_id", "file", "length", "sha256", "other", "part", "idx", "pos"])
+                                         names=["page_id", "url", "file", "length", "sha256", "part", "idx", "pos"])
 
 
-def manifest(pages: DataFrame, replica_html: Column | None = None) -> DataFrame:
-    """One row per page: page_id, file, idx (record number in the file), pos (byte offset), length, sha256 of the record,
-    and ``other``, the sha256 of the same record in a replica whose body is ``replica_html``.
+def manifest(pages: DataFrame, digits: int | None = None) -> DataFrame:
+    """One row per page: page_id, url (null as empty), file, idx (record number in the file), pos (byte offset), length,
+    sha256 of the record.
 
-    Files are named by leading digits of the MD5 of page_id and url; records are ordered by page_id, url and hash. A
-    file that holds very many records (repeated pages) is laid out over several tasks: offsets are summed within sorted
-    partitions and moved by the preceding partitions' totals."""
-    digits = file_digits(pages.count())
-    pid, url = F.col("page_id").cast("long"), F.col("url").cast("string")
+    Files are named by leading digits of the MD5 of page_id and url (as many as given, or as fit the number of pages);
+    records are ordered by page_id, url and hash. A file that holds very many records (repeated pages) is laid out over
+    several tasks: offsets are summed within sorted partitions and moved by the preceding partitions' totals."""
+    digits = file_digits(pages.count()) if digits is None else digits
+    pid, url = F.col("page_id").cast("long"), F.coalesce(F.col("url").cast("string"), F.lit(""))
     rec = F.concat(record(pid, url, F.col("html")), F.lit(END))
-    rep = F.concat(record(pid, url, replica_html if replica_html is not None else F.col("html")), F.lit(END))
-    key = F.md5(F.concat_ws("|", F.coalesce(pid.cast("string"), F.lit("null")), F.coalesce(url, F.lit(""))))
+    key = F.md5(F.concat_ws("|", F.coalesce(pid.cast("string"), F.lit("null")), url))
     rows = pages.select(pid.alias("page_id"), url.alias("url"), F.substring(key, 1, digits).alias("file"), F.octet_length(rec).cast("long").alias("length"),
-                        F.sha2(rec, 256).alias("sha256"), F.sha2(rep, 256).alias("other"), F.monotonically_increasing_id().alias("tie"))
+                        F.sha2(rec, 256).alias("sha256"), F.monotonically_increasing_id().alias("tie"))
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("file"), F.col("page_id").asc_nulls_first(), F.coalesce("url", F.lit("")), F.col("sha256"), F.col("tie")]
+    order = [F.col("file"), F.col("page_id").asc_nulls_first(), F.col("url"), F.col("sha256"), F.col("tie")]
     local = stage(rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                  .mapInArrow(_place, "page_id long, file string, length long, sha256 string, other string, part int, idx long, pos long"), "manifest")
+                  .mapInArrow(_place, "page_id long, url string, file string, length long, sha256 string, part int, idx long, pos long"), "manifest")
     totals = local.groupBy("file", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"))
     w = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)   # at most one row per partition
     base = totals.select("file", "part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n0"), F.coalesce(F.sum("bytes").over(w), F.lit(0)).alias("b0"))
-    return local.join(base, ["file", "part"]).select("page_id", "file", (F.col("idx") + F.col("n0")).alias("idx"),
-                                                     (F.col("pos") + F.col("b0")).alias("pos"), "length", "sha256", "other")
+    return local.join(base, ["file", "part"]).select("page_id", "url", "file", (F.col("idx") + F.col("n0")).alias("idx"),
+                                                     (F.col("pos") + F.col("b0")).alias("pos"), "length", "sha256")
 
 
 def tree(leaves: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
@@ -112,17 +111,60 @@ def audit(left: list[DataFrame], right: list[DataFrame], fanout: int = FANOUT) -
     return bad
 
 
-def fixity_report(pages: DataFrame, replica_html: Column) -> DataFrame:
-    """Per page: page_id, file, pos, length, sha256, intact, replica_sha256 (only where the audit located damage).
+def replica_report(pages: DataFrame, replica: DataFrame) -> DataFrame:
+    """Per record of either table: page_id, url, file, pos, length, sha256 (null if only the replica has it), replica_pos,
+    replica_length, replica_sha256 (null if only ``pages`` has it) and status: intact, displaced (the same bytes at other
+    offsets or numbers), changed, missing (from the replica) or extra.
 
-    Null url or html are empty; null page_ids sort first; repeated pages are records of their own; an empty table gives
-    an empty result; other columns are ignored."""
-    m = stage(manifest(pages, replica_html), "leaves")
-    mine, theirs = (tree(m.select("file", "idx", "pos", "length", F.col(c).alias("hash"))) for c in ("sha256", "other"))
-    bad = audit(mine, theirs).withColumn("damaged", F.lit(True))
-    return m.join(bad, ["file", "idx"], "left").select(
-        "page_id", "file", "pos", "length", "sha256", F.col("damaged").isNull().alias("intact"),
-        F.when(F.col("damaged"), F.col("other")).alias("replica_sha256"))
+    Each table is laid out in files and hashed into trees by itself. Records of the leaves that the audit finds are matched
+    by page_id, url and bytes, copies in order; what is left of a page_id and url is matched in order as changed. Null url
+    or html are empty; null page_ids sort first; repeated pages are records of their own; other columns are ignored."""
+    digits = file_digits(pages.count())
+    a, b = (stage(manifest(x, digits), "leaves") for x in (pages, replica))
+    bad = audit(*(tree(x.withColumnRenamed("sha256", "hash")) for x in (a, b)))
+    place = ["pos", "length", "sha256"]
+    name = ["file", "page_id", "url"]
+
+    def match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        left, right = (x.select(*(F.col(c).alias(side + c) for c in x.columns)) for side, x in (("l_", left), ("r_", right)))
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col("l_" + k).eqNullSafe(F.col("r_" + k))
+        return stage(left.join(right, on, "full_outer").select(
+            *(F.when(F.col("l_idx").isNotNull(), F.col("l_" + k)).otherwise(F.col("r_" + k)).alias(k) for k in name),
+            *(F.col("l_" + c).alias(c) for c in ("idx", *place)), *(F.col("r_" + c).alias("replica_" + c) for c in ("idx", *place))), "matched")
+
+    def copies(x: DataFrame) -> DataFrame:
+        """Suspect records, the copies of each numbered: they follow each other in their file."""
+        some = stage(x.join(bad, ["file", "idx"], "left_semi"), "suspects")
+        first = some.groupBy(*name, "sha256").agg(F.min("idx").alias("first")).toDF("f", "p", "u", "s", "first")
+        return some.join(first, (F.col("file") == F.col("f")) & F.col("page_id").eqNullSafe(F.col("p")) & (F.col("url") == F.col("u")) & (F.col("sha256") == F.col("s"))) \
+            .select(*name, "idx", *place, (F.col("idx") - F.col("first")).alias("copy"))
+
+    def rest(x: DataFrame, prefix: str) -> DataFrame:
+        """Suspect records without an equal one on the other side, those of a page_id and url numbered."""
+        w = Window.partitionBy(*name).orderBy("idx")
+        return x.select(*name, *(F.col(prefix + c).alias(c) for c in ("idx", *place))).withColumn("number", F.row_number().over(w))
+
+    equal = match(copies(a), copies(b), [*name, "sha256", "copy"])
+    one, other = F.col("idx").isNotNull(), F.col("replica_idx").isNotNull()
+    unequal = match(rest(equal.where(~other), ""), rest(equal.where(~one), "replica_"), [*name, "number"])
+    found = equal.where(one & other).withColumn("status", F.lit("displaced")).unionByName(unequal.withColumn(
+        "status", F.when(~other, "missing").when(~one, "extra").otherwise("changed")))
+    out = [*name, *place, *("replica_" + c for c in place), "status"]
+    sound = a.join(bad, ["file", "idx"], "left_anti").withColumns({"replica_" + c: F.col(c) for c in place}).withColumn("status", F.lit("intact"))
+    return sound.select(out).unionByName(found.select(out))
+
+
+def fixity_report(pages: DataFrame, replica: DataFrame | Column) -> DataFrame:
+    """Per page: page_id, file, pos, length, sha256, intact (the replica has the same bytes), replica_sha256 (only where the
+    audit located other bytes). A Column stands for a replica of the same pages with this html. See ``replica_report``,
+    which also has the records that only the replica has; an empty table gives an empty result."""
+    if isinstance(replica, Column):
+        replica = pages.withColumn("html", replica)
+    return replica_report(pages, replica).where("status != 'extra'").select(
+        "page_id", "file", "pos", "length", "sha256", F.col("status").isin("intact", "displaced").alias("intact"),
+        F.when(F.col("status") == "changed", F.col("replica_sha256")).alias("replica_sha256"))
 
 
 def write_warc(pages: DataFrame, path: str) -> None:

@@ -48,7 +48,20 @@ def op9_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audited replica is ``pages`` with one damaged byte in the body of every page whose number leaves 7 by 500."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rot = F.when((F.col("page_id") % 500 == 7) & (F.length(html) > 0), F.concat(F.lit("#"), F.expr("substring(coalesce(html, ''), 2)"))).otherwise(html)
-    return fixity.fixity_report(read(spark, sf_dir, "pages"), rot)
+    pages = read(spark, sf_dir, "pages")
+    return fixity.fixity_report(pages, pages.withColumn("html", rot))
+
+
+def op9_replica_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every 500 pages the replica has one changed in a byte (7), one longer (11), one missing (13) and one copy at
+    another address (17)."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    html, of = F.coalesce(F.col("html"), F.lit("")), F.col("page_id") % 500
+    body = F.when((of == 7) & (F.length(html) > 0), F.concat(F.lit("#"), F.expr("substring(coalesce(html, ''), 2)"))) \
+        .when(of == 11, F.concat(html, F.lit("<!-- -->"))).otherwise(html)
+    kept = pages.withColumn("html", body).where(F.coalesce(of != 13, F.lit(True)))
+    copies = pages.where(of == 17).withColumn("url", F.concat(F.coalesce(F.col("url"), F.lit("")), F.lit("#copy")))
+    return fixity.replica_report(pages, kept.unionByName(copies))
 
 
 def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_benchmark_decontamination, op3_token_counts, op4_exact_dedup, op5_fuzzy_line_dedup,
-                            op6_odd_sketch_dedup, op7_swap_packing, op8_toxic_segments, op9_merkle_fixity, op10_weak_label_quality, pipeline)}
+                            op6_odd_sketch_dedup, op7_swap_packing, op8_toxic_segments, op9_merkle_fixity, op9_replica_audit, op10_weak_label_quality, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": r"""

@@ -372,6 +372,40 @@ def test_fixity(spark):
     assert fixity.fixity_report(pages.limit(0), F.col("html")).count() == 0
 
 
+def test_fixity_of_a_second_table(spark):
+    """Changed, longer, missing and extra records, also among copies, in a replica with offsets of its own."""
+    rows = [(i, f"http://x/{i}", f"<p>{i}</p>" * (i % 5)) for i in range(1500)] + [(None, None, None)] + [(1, "http://x/1", "<p>same</p>")] * 40
+    other = []
+    for i, u, h in rows[:1500]:
+        if i not in (13, 800):
+            other.append((i, u, {7: "#" + h[1:], 11: h + "longer"}.get(i, h)))
+    other += [(None, None, None), (4000, "http://x/new", "")] + [(1, "http://x/1", "<p>same</p>")] * 37 + [(20, "http://x/20", "copy")]
+    schema = "page_id long, url string, html string"
+    left, right = (spark.createDataFrame(x, schema).repartition(3) for x in (rows, other))
+    out = fixity.replica_report(left, right).collect()
+    bad = sorted((r["status"], r["page_id"]) for r in out if r["status"] not in ("intact", "displaced"))
+    assert bad == [("changed", 7), ("changed", 11), ("extra", 20), ("extra", 4000), ("missing", 1), ("missing", 1), ("missing", 1), ("missing", 13), ("missing", 800)]
+    assert len(out) == len(rows) + 2 and any(r["status"] == "displaced" for r in out)
+    for r in out:
+        moved = (r["pos"], r["length"], r["sha256"]) != (r["replica_pos"], r["replica_length"], r["replica_sha256"])
+        assert r["status"] != "intact" or not moved
+        assert r["status"] != "displaced" or r["sha256"] == r["replica_sha256"]
+    for pos, length in (("pos", "length"), ("replica_pos", "replica_length")):   # offsets tile each file of both
+        by = {}
+        for r in out:
+            if r[pos] is not None:
+                by.setdefault(r["file"], []).append((r[pos], r[length]))
+        for items in by.values():
+            at = 0
+            for p, n in sorted(items):
+                assert p == at
+                at += n
+    report = fixity.fixity_report(left, right).collect()
+    assert len(report) == len(rows) and sorted(r["page_id"] for r in report if not r["intact"]) == [1, 1, 1, 7, 11, 13, 800]
+    nothing = fixity.replica_report(left.limit(0), right).groupBy("status").count().collect()
+    assert [(r["status"], r["count"]) for r in nothing] == [("extra", len(other))]
+
+
 def test_warc_files_hold_the_records(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "<p>é</p>"), (2, "v", None)], "page_id long, url string, html string")
     fixity.write_warc(pages, str(tmp_path / "w"))
