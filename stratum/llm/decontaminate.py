@@ -275,9 +275,8 @@ def _verified(block: Block, m: int, region: np.ndarray) -> tuple[float, float]:
     """(share of the item's mass, share of its answer's mass) in a common subsequence with the region."""
     _, words, goal = block.items[m]
     share = common_mass(words, region, block.weight) / block.mass[m]
-    known = goal[goal >= 0]
-    goal_mass = block.weight[known].sum() + block.weight.max() * (goal < 0).sum()
-    return share, common_mass(known, region, block.weight) / goal_mass if goal_mass else 0.0
+    goal_mass = block.weight[goal].sum()
+    return share, common_mass(goal, region, block.weight) / goal_mass if goal_mass else 0.0
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -305,10 +304,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _find_block(base: DataFrame, rows: list) -> DataFrame:
-    words = {w: i for i, w in enumerate(dict.fromkeys(bytes(w) for r in rows for w in r["words"]))}
+    words = {w: i for i, w in enumerate(dict.fromkeys(bytes(w) for r in rows for w in [*r["words"], *r["answer"]]))}
     n = len(words)
     block = Block([(r["item_id"], np.array([words[bytes(w)] for w in r["words"]]),
-                    np.array([words.get(bytes(w), -1) for w in r["answer"]], np.int64)) for r in rows])
+                    np.array([words[bytes(w)] for w in r["answer"]], np.int64)) for r in rows])
     known = stage(base.mapInArrow(lambda it: _numbers(it, words), "doc_id long, text_hash long, size long, gaps array<int>, words array<int>"), "known_words")
     df, total = np.zeros(n), 1
     for r in known.mapInArrow(lambda it: _frequencies(it, n), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():   # one row per word of the block
@@ -317,7 +316,9 @@ def _find_block(base: DataFrame, rows: list) -> DataFrame:
         else:
             df[r["word"]] = r["n"]
     block.weight = np.log((1 + total) / (1 + df)) + 0.1
-    block.rare, block.bound = df <= MAX_SHARE * total, df <= BOUND_SHARE * total
+    asked = np.zeros(n, bool)   # words of answers only have no part in the latent space
+    asked[np.concatenate([w for _, w, _ in block.items])] = True
+    block.rare, block.bound = asked & (df <= MAX_SHARE * total), df <= BOUND_SHARE * total
     for _, w, _ in block.items:   # an item's rarest words that make up half of its weight always have a part
         w = w[np.argsort(df[w], kind="stable")]
         part = np.cumsum(block.weight[w])

@@ -497,6 +497,20 @@ def test_decontamination_of_a_text_in_parts(spark, leaky, vocabulary, monkeypatc
     assert {(d, i) for d, _ in rows for i, _ in items} <= got
 
 
+def test_decontamination_with_answers_of_their_own(spark, leaky):
+    """Reworded items (two words of five kept out) whose answer follows them in the text, not in the item."""
+    docs, bench, truth = leaky
+    items = [(r["item_id"], r["text"], f"quux{r['item_id']} zork{r['item_id']}") for r in bench.where("item_id < 12").collect()]
+    rows = []
+    for i, t, a in items:
+        part = [x if k % 5 not in (1, 3) else "other" + x for k, x in enumerate(t.split(" "))]
+        rows += [(2000 + i, " ".join(part) + " " + a), (3000 + i, " ".join(part))]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(both, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()}
+    near = {(2000 + i, i) for i, _, _ in items}
+    assert len(near & got) >= 10 and not any(3000 <= (d or 0) < 4000 for d, _ in got)
+
+
 def test_common_mass_is_the_heaviest_subsequence():
     rng = np.random.default_rng(2)
     weight = rng.random(6)
