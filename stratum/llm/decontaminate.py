@@ -3,6 +3,8 @@ weighted longest-common-subsequence and answer checks."""
 from __future__ import annotations
 
 import itertools
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +16,8 @@ from stratum.llm.common import fresh, id_text, small_pieces, stage
 
 #: ASCII punctuation and controls as spaces.
 _SPACED = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
+#: Scripts without spaces (Thai, Lao, Myanmar, Khmer, kana, Han): each character is a word.
+_ALONE = re.compile("([\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 #: Words of a passage: of the corpus for counts and the SVD, and the longest of a benchmark item.
 PASSAGE = 64
 #: Window lengths of the search, each with a stride of half its length; an item is searched with the first not below its length.
@@ -40,8 +44,14 @@ PARTLY, ANSWER, ANSWER_PART = 0.5, 0.8, 1 / 3
 
 
 def words_of(text: str) -> list[bytes]:
-    """Words in lower case: runs of ASCII letters, digits, underscores and of any other characters beyond ASCII."""
-    return text.lower().encode().translate(_SPACED).split()
+    """Words in lower case: runs of letters, digits, marks and underscores; single characters in scripts without spaces."""
+    text = text.lower()
+    if not text.isascii():
+        # punctuation, symbols, spaces and controls, the zero-width space and the byte order mark
+        for c in [c for c in set(text) if c > "\x7f" and (unicodedata.category(c)[0] in "PSZ" or c < "\xa0" or c in "\u200b\ufeff")]:
+            text = text.replace(c, " ")
+        text = _ALONE.sub(r" \1 ", text)
+    return text.encode().translate(_SPACED).split()
 
 
 def word_numbers(text: str, words: dict[bytes, int]) -> np.ndarray:

@@ -511,6 +511,21 @@ def test_decontamination_with_answers_of_their_own(spark, leaky):
     assert len(near & got) >= 10 and not any(3000 <= (d or 0) < 4000 for d, _ in got)
 
 
+def test_words_beyond_ascii():
+    said = lambda t: [w.decode() for w in decontaminate.words_of(t)]
+    assert said("“Né” — l’été\u00a0fini… «so» a\u200bb na\u00efve_1") == ["né", "l", "été", "fini", "so", "a", "b", "naïve_1"]
+    assert said("日本語、x1「テスト」。") == ["日", "本", "語", "x1", "テ", "ス", "ト"]
+
+
+def test_decontamination_in_a_script_without_spaces(spark):
+    rng = random.Random(14)
+    text = lambda n: "".join(chr(rng.randrange(0x4e00, 0x5200)) for _ in range(n))
+    items = [(i, text(50)) for i in range(6)]
+    rows = [(d, text(200) + (items[d][1] if d < 6 else "，") + text(200)) for d in range(60)]
+    leaks = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in leaks.collect()) == [(i, i) for i in range(6)]
+
+
 def test_common_mass_is_the_heaviest_subsequence():
     rng = np.random.default_rng(2)
     weight = rng.random(6)
