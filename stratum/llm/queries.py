@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import (decontaminate, exact_dedup, fixity, fuzzy_lines, near_dedup, packing, quality, secret_scan,
-                         token_count, toxicity)
+from stratum.llm import (bpe, decontaminate, exact_dedup, fixity, fuzzy_lines, hard_negatives, near_dedup, packing, quality,
+                         secret_scan, token_count, toxicity, whitening)
 from stratum.llm.common import read
 
 
@@ -68,6 +68,21 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(read(spark, sf_dir, "documents"))
 
 
+def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe.round_trip(read(spark, sf_dir, "documents"))
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_kronecker_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are every hundredth vec_id; every seventh has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -75,7 +90,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_benchmark_decontamination, op3_token_counts, op4_exact_dedup, op5_fuzzy_line_dedup,
-                            op6_odd_sketch_dedup, op7_swap_packing, op8_toxic_segments, op9_merkle_fixity, op9_replica_audit, op10_weak_label_quality, pipeline)}
+                            op6_odd_sketch_dedup, op7_swap_packing, op8_toxic_segments, op9_merkle_fixity, op9_replica_audit, op10_weak_label_quality,
+                            op11_jacobi_davidson_whitening, op12_transducer_bpe, op13_kronecker_hard_negatives, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": r"""
@@ -97,4 +113,17 @@ ORACLE: dict[str, str] = {
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos, strlen(rec) AS length, sha256(rec) AS sha256,
                rec = rep AS intact, CASE WHEN rec <> rep THEN sha256(rep) END AS replica_sha256
         FROM r""",
+    "op13_kronecker_hard_negatives": r"""
+        WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+              FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER w <= 5
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)""",
 }
