@@ -1,7 +1,7 @@
 """Dimension lookups with a proven broadcast bound."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,8 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def measured(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) in one distributed aggregate; bytes are those of the rows written as text, so that wide columns and
-    long texts count in full."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row written as text, so that wide columns and long texts count in full."""
     width = F.lit(0).cast("long")
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -33,7 +32,12 @@ def measured(df: DataFrame) -> tuple[int, int]:
             width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
         else:
             width = width + 16
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return width
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) in one distributed aggregate; see ``row_bytes``."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
     return r["n"], r["bytes"]
 
 

@@ -52,7 +52,7 @@ def latest_per_key(source: DataFrame, keys: list[str], order_by: str) -> DataFra
     return agg.select(*keys, *[F.col("__row").getField(c).alias(c) for c in others]).select(*source.columns)
 
 
-def _same_columns(a: DataFrame, b: DataFrame) -> None:
+def same_columns(a: DataFrame, b: DataFrame) -> None:
     sa, sb = {c.lower() for c in a.columns}, {c.lower() for c in b.columns}
     if sa != sb:
         raise SchemaMismatch(f"column sets differ: only target {sorted(sa - sb)}, only source {sorted(sb - sa)}")
@@ -71,7 +71,7 @@ def merge_plan(target: DataFrame, source: DataFrame, keys, run_ts, add_hash: boo
     src = with_audit_columns(source, run_ts, add_hash=add_hash, mode=hash_mode)
     if not add_hash and "hash_row" in [c.lower() for c in target.columns]:
         src = src.withColumn("hash_row", F.lit(None).cast("string"))
-    _same_columns(target, src)
+    same_columns(target, src)
     if validate:
         check_keys(src, keys)
     tcols = target.columns

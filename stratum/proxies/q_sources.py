@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stratum.functions.casts import conform
 from stratum.functions.dates import look_back
-from stratum.operators.merge import change_feed, merge_plan
 from stratum.operators.partitioning import spread
 from stratum.operators.joins import lookup
 from stratum.proxies import testdata as td
@@ -227,6 +226,39 @@ def a20(spark, d):
     return changes
 
 
+TS3 = "TIMESTAMP '2024-03-10 06:00:00'"
+HASH3 = """md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), ''), coalesce(CAST(o_custkey AS VARCHAR), ''),
+         coalesce(o_orderstatus, ''), coalesce(o_orderpriority, ''), coalesce(CAST(o_orderdate AS VARCHAR), '')))"""
+
+
+@query("a20_change_feed_loads", MERGE_CTE + f""",
+late AS (SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND o_orderstatus = 'O'),
+two AS (
+SELECT sk AS o_orderkey, sc AS o_custkey, ss AS o_orderstatus, sp AS o_orderpriority, sd AS o_orderdate,
+       {TS2} AS insert_date, {TS2} AS update_date, shash AS hash_row, 'insert' AS _change_type FROM j WHERE action = 'insert'
+UNION ALL
+SELECT tk, tc, ts_, tp, td, {TS1}, {TS1}, thash, 'update_preimage' FROM j WHERE action = 'update'
+UNION ALL
+SELECT sk, sc, ss, sp, sd, {TS1}, {TS2}, shash, 'update_postimage' FROM j WHERE action = 'update'),
+three AS (
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate, CASE WHEN o_orderdate < DATE '1999-01-01' THEN {TS1} ELSE {TS2} END AS insert_date,
+       CASE WHEN o_orderdate < DATE '1999-01-01' THEN {TS1} ELSE {TS2} END AS update_date, {HASH3} AS hash_row, 'update_preimage' AS _change_type FROM late
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate, CASE WHEN o_orderdate < DATE '1999-01-01' THEN {TS1} ELSE {TS2} END,
+       {TS3}, {HASH3}, 'update_postimage' FROM (SELECT * REPLACE ('0-LATE' AS o_orderpriority) FROM late))
+SELECT *, strftime({TS2}, '%Y-%m-%d %H:%M:%S') AS _load FROM two
+UNION ALL SELECT *, strftime({TS3}, '%Y-%m-%d %H:%M:%S') FROM three""")
+def a20_loads(spark, d):
+    """Three loads into a table that keeps its change feed; the feed of the second and third is read back."""
+    tgt, src = merge_inputs(spark, d)
+    late = src.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("date")) \
+              .withColumn("o_orderpriority", F.when(F.col("o_orderstatus") == "O", "0-LATE").otherwise(F.col("o_orderpriority")))
+    t = tb.Target(f"{fresh('silver_a20l')}.orders", "external", change_feed=True)
+    for df, ts in ((tgt, td.RUN_TS_1), (src, td.RUN_TS_2), (late, "2024-03-10 06:00:00")):
+        tb.load(spark, df, t, "merge", keys="o_orderkey", run_ts=ts)
+    return tb.read_changes(spark, t, since=td.RUN_TS_2)
+
+
 @query("c4_merge_join", """
 WITH agg AS (SELECT l_orderkey, l_linenumber, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS qty,
                     max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey, l_linenumber),
@@ -244,10 +276,9 @@ def c4(spark, d):
     tgt = agg.filter(F.col("last_ship") < F.lit("1998-01-01").cast("timestamp_ntz")).select("l_orderkey", "l_linenumber", "n", "qty")
     src = agg.filter(F.col("last_ship") >= F.lit("1997-01-01").cast("timestamp_ntz")).select(
         "l_orderkey", "l_linenumber", "n", (F.col("qty") + 1).alias("qty"))
-    from stratum.functions.audit import with_audit_columns
-    target = with_audit_columns(tgt, td.RUN_TS_1, add_hash=False)
-    plan = merge_plan(target, src, "l_orderkey, l_linenumber", td.RUN_TS_2, add_hash=False)
-    return plan.select("l_orderkey", "l_linenumber", "_action")
+    t, keys = tb.Target(f"{fresh('silver_c4')}.lines", "external"), "l_orderkey, l_linenumber"
+    tb.load(spark, tgt, t, "merge", keys=keys, run_ts=td.RUN_TS_1, add_hash=False)
+    return tb.start_merge(spark, src, t, keys, td.RUN_TS_2, add_hash=False).actions()
 
 
 @query("a16_write_partitioned", "SELECT * FROM lineitem")

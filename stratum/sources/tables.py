@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.functions.audit import with_audit_columns
-from stratum.operators.merge import SchemaMismatch, changes_from_plan, check_keys, latest_per_key, merge_plan, parse_keys
+from stratum.functions.audit import run_timestamp, with_audit_columns
+from stratum.operators.merge import SchemaMismatch, check_keys, latest_per_key, parse_keys, same_columns
+from stratum.operators.upsert import Upsert, match, observed, refuse_bad_keys, stage_checked
 from stratum.session import shared_dir
 
 # Load modes and table types the loader accepts; 'N/A' means no partition columns.
@@ -40,6 +41,7 @@ class Target:
     partition_columns: list[str] = field(default_factory=list)
     buckets: int | None = None                 # bucket by the merge keys: merges then shuffle only the source
     bucket_keys: list[str] = field(default_factory=list)
+    change_feed: bool = False                  # keep every load's changes in a table beside this one
 
     def __post_init__(self):
         if isinstance(self.partition_columns, str):
@@ -112,28 +114,43 @@ def _new_name(t: Target) -> str:
 
 
 def _swap(spark: SparkSession, new: str, t: Target) -> None:
-    """Give a complete table the target's name. Both steps change catalog entries only, and a failed write never gets
-    here, so it leaves the old table as it was."""
-    spark.sql(f"DROP TABLE IF EXISTS {t.name}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {t.name}")
+    """Give a complete table the target's name; only catalog entries change. The old entry is set aside first and gets its
+    name back if the new one cannot take it, so a failure leaves the old table as it was."""
+    old = f"{t.name}__old_{uuid.uuid4().hex[:8]}" if table_exists(spark, t.name) else None
+    if old:
+        spark.sql(f"ALTER TABLE {t.name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {t.name}")
+    except Exception:
+        if old:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {t.name}")
+        raise
+    if old:
+        spark.sql(f"DROP TABLE {old}")
     spark.catalog.refreshTable(t.name)
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, t: Target) -> str:
     loc = f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}"
-    w = df.write.mode("errorifexists").option("compression", "snappy")
+    w = _clustered(df, t.partition_columns).write.mode("errorifexists").option("compression", "snappy")
     if t.partition_columns:
         w = w.partitionBy(*t.partition_columns)
     w.parquet(loc)
     return loc
 
 
+def _clustered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a partition brought together before they are written, so that not every task writes a file into every
+    partition. ``rebalance`` lets Spark split a hot partition over several tasks and join small ones in one."""
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in columns]) if columns else df
+
+
 def _write_bucketed(spark: SparkSession, df: DataFrame, t: Target) -> None:
     """A fresh snapshot written as a bucketed table (bucketing is recorded in the catalog entry), then swapped in. Rows
-    are dealt to the buckets first, so that each bucket is written by one task."""
+    of a bucket are brought together first; a hot bucket may be split over several tasks and then has several files."""
     ensure_schema(spark, t.schema)
     new = _new_name(t)
-    df = df.repartition(t.buckets, *[F.col(c) for c in t.bucket_keys])
+    df = _clustered(df.withColumn("__bucket", F.pmod(F.hash(*[F.col(c) for c in t.bucket_keys]), F.lit(t.buckets))), ["__bucket"]).drop("__bucket")
     loc = f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}"
     w = df.write.mode("errorifexists").format("parquet").option("compression", "snappy").option("path", loc)
     if t.partition_columns:
@@ -142,30 +159,52 @@ def _write_bucketed(spark: SparkSession, df: DataFrame, t: Target) -> None:
     _swap(spark, new, t)
 
 
-def create_table(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
-    """CREATE SCHEMA IF NOT EXISTS + a fresh table with ``df``'s columns (A11 managed, A12 external)."""
+def create_table(spark: SparkSession, df: DataFrame, t: Target, unique: list[str] = ()) -> DataFrame:
+    """CREATE SCHEMA IF NOT EXISTS + a fresh table with ``df``'s columns (A11 managed, A12 external). The columns ``unique``
+    must be keys: NULLs are counted while the rows are written, repeats are sought in the written keys, and the table gets
+    its name only then, so the check runs the plan of ``df`` no second time."""
     if t.buckets:
+        if unique:
+            df = stage_checked(df, list(unique), _staged(spark, t)).frame
         _write_bucketed(spark, df, t)
         return spark.table(t.name)
-    loc = write_snapshot(spark, df, t)
+    watched, seen = observed(df, list(unique)) if unique else (df, None)
+    loc = write_snapshot(spark, watched, t)
+    if unique:
+        refuse_bad_keys(spark.read.schema(df.schema).parquet(loc), seen, list(unique))
     _register(spark, t, loc, df.schema)
     return spark.table(t.name)
 
 
-# Numeric types by width; a narrower one is appended to a wider one.
-WIDTHS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+# For each number type the types that hold all its values.
+WIDER = {"tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
+         "int": ("bigint", "double"), "bigint": (), "float": ("double",), "double": ()}
+#: Digits of the integer types: a decimal with at least as many before its point holds them.
+DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def lossless(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of one type is a value of the other."""
+    if have == want or isinstance(have, T.NullType):
+        return True
+    if isinstance(want, T.DecimalType):
+        whole = want.precision - want.scale
+        if isinstance(have, T.DecimalType):
+            return have.scale <= want.scale and have.precision - have.scale <= whole
+        return DIGITS.get(have.simpleString(), 99) <= whole
+    return want.simpleString() in WIDER.get(have.simpleString(), ())
 
 
 def _conformed(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
-    """``df`` with the table's types. A narrower number is cast; any other difference raises, since files of another type
-    make a Parquet table unreadable."""
+    """``df`` with the table's types, where none loses a digit by that; any other difference raises, since files of another
+    type make a Parquet table unreadable."""
     have = {f.name.lower(): f.dataType for f in schema.fields}
     cols = []
     for f in df.schema.fields:
         want = have.get(f.name.lower(), f.dataType)
         a, b = f.dataType.simpleString(), want.simpleString()
-        if a != b and not isinstance(f.dataType, T.NullType) and not (a in WIDTHS and b in WIDTHS and WIDTHS.index(a) <= WIDTHS.index(b)):
-            raise SchemaMismatch(f"column {f.name} of {name} is {b}, the appended rows have {a}")
+        if a != b and not lossless(f.dataType, want):
+            raise SchemaMismatch(f"column {f.name} of {name} is {b}, the new rows have {a}")
         cols.append(F.col(f"`{f.name}`").cast(want).alias(f.name) if a != b else F.col(f"`{f.name}`"))
     return df.select(*cols)
 
@@ -202,7 +241,7 @@ def append(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
         _write_bucketed(spark, spark.read.parquet(stage), t)
         return spark.table(t.name)
     loc = location(spark, t.name)
-    w = df.write.mode("append").option("compression", "snappy")
+    w = _clustered(df, t.partition_columns).write.mode("append").option("compression", "snappy")
     if t.partition_columns:
         w = w.partitionBy(*t.partition_columns)
     w.parquet(loc)
@@ -253,48 +292,57 @@ def native_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, ad
 PRUNE_VALUES = 500
 
 
-def merge_partitions(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True,
-                     hash_mode: str = "compat", **kw) -> DataFrame:
-    """Merge into a partitioned Parquet table rewriting only the partitions it touches.
+def _staged(spark: SparkSession, t: Target):
+    """Writes frames below the table's root and reads them back: evaluated once, and safe from lost executors."""
+    def put(df: DataFrame, what: str) -> DataFrame:
+        path = f"{_root(spark, t)}/staging-{what}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return put
+
 
-    Touched partitions: those of the source rows, plus those currently holding any source key (a key
-    may move to another partition). Their target rows are merged with the source, staged under the
-    shared folder, and written back with a dynamic partition overwrite; other partitions keep their
-    files. The touched set has one row per partition value, so it is broadcast after a size check."""
+def start_merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash: bool = True, hash_mode: str = "compat",
+                on_duplicate: str = "error", order_by: str | None = None, validate: bool = True) -> Upsert:
+    """The first phase of a merge: the stamped source, written and checked once, against the target's keys and hashes."""
+    keys, target = parse_keys(keys), spark.table(t.name)
+    if on_duplicate == "latest":
+        if not order_by:
+            raise ValueError("on_duplicate='latest' needs order_by")
+        df = latest_per_key(df, keys, order_by)
+    src = with_audit_columns(df, run_ts, add_hash, hash_mode)
+    if not add_hash and "hash_row" in [c.lower() for c in target.columns]:
+        src = src.withColumn("hash_row", F.lit(None).cast("string"))
+    same_columns(target, src)
+    by_name = {c.lower(): c for c in src.columns}
+    src = _conformed(src.select(*[F.col(f"`{by_name[c.lower()]}`").alias(c) for c in target.columns]), target.schema, t.name)
+    put = _staged(spark, t)
+    return match(target, stage_checked(src, keys, put, validate), keys, run_ts, put, add_hash, t.partition_columns)
+
+
+def merge_partitions(spark: SparkSession, up: Upsert, t: Target) -> DataFrame:
+    """Rewrite only the partitions of a Parquet table that a merge touches: those that updated rows leave or enter and those
+    that new rows enter. Where nothing differs, nothing is written. A partition that loses its last row cannot be emptied
+    by a dynamic overwrite; then a complete new snapshot is written instead."""
     from stratum.operators.joins import broadcast_bounded
-    pcols = list(t.partition_columns)
-    target = spark.table(t.name)
-    key_list = parse_keys(keys)
-    src_parts = df.select(*pcols)
-    if {c.lower() for c in pcols} <= {k.lower() for k in key_list}:
-        touched = src_parts.distinct()          # partition columns are part of the key: keys cannot move
-    else:
-        moved = target.join(df.select(*key_list).distinct(), key_list, "left_semi").select(*pcols)
-        touched = src_parts.unionByName(moved).distinct()
-    # evaluated once; up to PRUNE_VALUES of its rows become a filter that prunes the target's partitions in the scan
-    base = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
-    touched.write.parquet(base)
-    touched = spark.read.schema(touched.schema).parquet(base)
+    pcols, put = list(t.partition_columns), _staged(spark, t)
+    new = put(up.updated().unionByName(up.inserted()), "rows")
+    left = up.changed.select(*[F.col(f"`__old_{p}`").alias(p) for p in pcols])
+    touched = put(left.unionByName(new.select(*pcols)).distinct(), "partitions")
     values = touched.limit(PRUNE_VALUES + 1).collect()
+    if not values:
+        return spark.table(t.name)
     if len(values) <= PRUNE_VALUES:
-        tgt_touched = target.filter(_partition_filter(pcols, values))
+        rows = up.target.filter(_partition_filter(pcols, values))
     else:
-        tgt_touched = target.join(broadcast_bounded(touched), [target[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
-    plan = merge_plan(tgt_touched, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
-    stage = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
-    plan.select(*target.columns).write.mode("errorifexists").parquet(stage)
-    staged = spark.read.parquet(stage).select(*target.columns)
-    # A dynamic overwrite cannot empty a partition: if a touched partition has no rows left (its keys all
-    # moved away), fall back to writing a complete new snapshot.
+        some = broadcast_bounded(touched)
+        rows = up.target.join(some, [up.target[c].eqNullSafe(some[c]) for c in pcols], "left_semi")
+    staged = put(up.kept(rows).unionByName(new), "merged")
     remaining = staged.select(*pcols).distinct()
-    emptied = touched.join(remaining, [touched[c].eqNullSafe(remaining[c]) for c in pcols], "left_anti")
-    if not emptied.isEmpty():
-        full = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
-        loc = write_snapshot(spark, full.select(*target.columns), t)
-        _register(spark, t, loc, target.schema)
+    if not touched.join(remaining, [touched[c].eqNullSafe(remaining[c]) for c in pcols], "left_anti").isEmpty():
+        _register(spark, t, write_snapshot(spark, up.kept().unionByName(new), t), spark.table(t.name).schema)
         return spark.table(t.name)
     # the mode belongs to this one write: the session's setting may be in use by other loads
-    staged.repartition(*[F.col(c) for c in pcols]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    _clustered(staged, pcols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .option("compression", "snappy").partitionBy(*pcols).parquet(location(spark, t.name))
     spark.sql(f"ALTER TABLE {t.name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(t.name)
@@ -320,33 +368,64 @@ def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash:
           hash_mode: str = "compat", with_changes: bool = False, **kw):
     """Hash-compared upsert into the table (A15); returns the new table (and the change feed).
 
-    Delta/Iceberg tables get a native MERGE INTO; plain Parquet tables get the merged snapshot."""
+    Delta/Iceberg tables get a native MERGE INTO. On plain Parquet the source meets the target's keys and hashes first
+    (``operators.upsert``); unchanged rows then go from the old files to the new ones without a shuffle."""
     if provider(spark, t.name) in NATIVE_MERGE_PROVIDERS:
-        if with_changes:
+        if with_changes or t.change_feed:
             raise ValueError(f"{t.name} keeps a change feed of its own; read that one")
         return native_merge(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
-    if not with_changes and t.partition_columns and not t.buckets:
-        return merge_partitions(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
-    target = spark.table(t.name)
-    plan = merge_plan(target, df, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
-    changes = None
-    if with_changes:
-        # one evaluation of the merge join serves both the new snapshot and the change feed
-        plan = plan.checkpoint(eager=True)
-        changes = changes_from_plan(plan, target.columns)
+    up = start_merge(spark, df, t, keys, run_ts, add_hash, hash_mode, **kw)
+    # written before the table's own files change
+    changes = _staged(spark, t)(up.changes(), "changes") if with_changes or t.change_feed else None
     if t.buckets:
-        # the merged rows come out of a join on the bucket keys; stage them (the new snapshot must not be
-        # written while its own input table is replaced), then write the bucketed snapshot
-        stage = f"{_root(spark, t)}/staging-{uuid.uuid4().hex[:12]}"
-        plan.select(*target.columns).write.mode("errorifexists").parquet(stage)
-        _write_bucketed(spark, spark.read.parquet(stage), t)
+        _write_bucketed(spark, up.snapshot(), t)
+    elif t.partition_columns:
+        merge_partitions(spark, up, t)
     else:
-        loc = write_snapshot(spark, plan.select(*target.columns), t)
-        _register(spark, t, loc, target.schema)
+        # one catalog step: readers see the old files or the new ones, never neither
+        spark.sql(f"ALTER TABLE {t.name} SET LOCATION '{write_snapshot(spark, up.snapshot(), t)}'")
+        spark.catalog.refreshTable(t.name)
+    if t.change_feed:
+        record_changes(spark, changes, t, run_ts)
     out = spark.table(t.name)
     return (out, changes) if with_changes else out
 
 
+def changes_table(t: Target) -> str:
+    return f"{t.name}__changes"
+
+
+def record_changes(spark: SparkSession, changes: DataFrame, t: Target, run_ts) -> None:
+    """Add a load's changes, written already, to the table of changes: one partition per load, so a catalog entry only.
+    Loads come after the snapshot they belong to; columns that a load adds are added to the table."""
+    name = changes_table(t)
+    if not table_exists(spark, name):
+        spark.sql(f"CREATE TABLE {name} ({_ddl(changes.schema)}, _load STRING, _commit STRING) USING parquet PARTITIONED BY (_load, _commit) "
+                  f"LOCATION '{_root(spark, t)}/changes'")
+    known = {c.lower() for c in spark.table(name).columns}
+    new = T.StructType([f for f in changes.schema.fields if f.name.lower() not in known])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(new)})")
+    at = changes.inputFiles()
+    place = at[0].rsplit("/", 1)[0] if at else None
+    load = run_timestamp(run_ts)
+    stamp = spark.range(1).select(F.date_format(load, "yyyy-MM-dd HH:mm:ss")).first()[0]
+    if place:
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION (_load = '{stamp}', _commit = '{uuid.uuid4().hex[:12]}') LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+
+
+def read_changes(spark: SparkSession, t: Target | str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """The changes of all loads from ``since`` to ``until`` (wall-clock texts, both included), with ``_load``. Loads
+    outside are not read: the range prunes partitions."""
+    df = spark.table(t if isinstance(t, str) else changes_table(t))
+    if since is not None:
+        df = df.filter(F.col("_load") >= since)
+    if until is not None:
+        df = df.filter(F.col("_load") <= until)
+    return df.drop("_commit")
+
+
 def replace_table(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     """A transformed frame saved as a table of its own (A18); never over its own input (Q15, Q16)."""
     return create_table(spark, df, t)
@@ -366,17 +445,27 @@ def load(spark: SparkSession, df: DataFrame, t: Target, mode: str, keys=None, ru
     Audit columns (and the row hash) are stamped with ``run_ts``; an unknown mode raises."""
     if mode not in LOAD_MODES:
         raise UnknownLoadMode(f"mode {mode!r} not in {LOAD_MODES}")
-    if not table_exists(spark, t.name):
-        if mode == "merge" and keys is not None:   # the first load keeps the rules of the later ones
-            names = parse_keys(keys)
-            if kw.get("on_duplicate") == "latest":
-                df = latest_per_key(df, names, kw["order_by"])
-            if kw.get("validate", True):
-                check_keys(df, names)
-        return create_table(spark, with_audit_columns(df, run_ts, add_hash, hash_mode), t)
-    if mode == "merge":
+    present = table_exists(spark, t.name)
+    if present and mode == "merge":
         return merge(spark, df, t, keys, run_ts, add_hash=add_hash, hash_mode=hash_mode, **kw)
+    put, names = _staged(spark, t), []
+    if not present and mode == "merge" and keys is not None:   # the first load keeps the rules of the later ones
+        names = parse_keys(keys)
+        if kw.get("on_duplicate") == "latest":
+            df = latest_per_key(df, names, kw["order_by"])
     stamped = with_audit_columns(df, run_ts, add_hash, hash_mode)
-    if mode == "overwrite":
-        return overwrite(spark, stamped, t)
-    return append(spark, stamped, t)
+    changes = None
+    if t.change_feed:
+        changes = stamped.withColumn("_change_type", F.lit("insert"))
+        if present and mode == "overwrite":
+            changes = changes.unionByName(spark.table(t.name).withColumn("_change_type", F.lit("delete")), allowMissingColumns=True)
+        changes = put(changes, "changes")
+    if not present:
+        out = create_table(spark, stamped, t, names if kw.get("validate", True) else [])
+    elif mode == "overwrite":
+        out = overwrite(spark, stamped, t)
+    else:
+        out = append(spark, stamped, t)
+    if changes is not None:
+        record_changes(spark, changes, t, run_ts)
+    return out
