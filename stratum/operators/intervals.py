@@ -1,23 +1,20 @@
 """Interval coverage at month ends.
 
-Two ways to count members covering each month end:
+A row counts at date d when ``start <= d`` and (``end`` is NULL or ``end >= last_day(d)``). At month ends the row therefore
+covers the month ends from last_day(start) up to its last covered month end. Three ways to count the members that cover
+each month end, none of which joins ranges:
 
-* ``active_by_sweep`` (default for closed histories): +1 at a row's first covered month end, -1 after its
-  last, summed per (group, month) and carried forward. Work is proportional to the rows, not rows x
-  months. It counts covering rows, which equals the distinct member count when one member's intervals
-  never overlap (what history closing produces). NULL members count as one value whenever any of their
-  rows covers.
-* ``distinct_active``: expands every row to the month ends it covers and counts distinct members
-  exactly, for histories without that guarantee (work grows with rows x covered months).
+* ``active_by_union``: exact for any history, work in proportion to the rows. A member's rows are reduced to one per first
+  month (a combinable aggregate, so at most one row per month is left of the hottest member), its intervals are united
+  by a running maximum, and +1 / -1 at the union's edges are summed per month and carried forward.
+* ``active_by_sweep``: the same sweep over the rows themselves, for histories in which one member's intervals never overlap
+  (what history closing produces).
+* ``distinct_active``: expands every row to the month ends it covers and counts distinct members (rows x covered months).
 
-
-A row counts at date d when ``start <= d`` and (``end`` is NULL or ``end >= last_day(d)``). At month
-ends the row therefore covers the month ends from last_day(start) up to its last covered month end;
-each row is expanded to those month ends (bounded by the calendar's month count) and members are
-counted distinctly per (group, month end) with an equi-aggregation — no range join."""
+A NULL member counts as one value."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,3 +56,22 @@ def active_by_sweep(df: DataFrame, groups: list[str], start_col: str, end_col: s
     carried = carry_forward(deltas, list(groups), axis, ["__dn", "__dz"], ["__n", "__nz"], horizon)
     total = F.col("__n") + F.when(F.col("__nz") > 0, 1).otherwise(0)
     return carried.select(*groups, axis, total.cast("long").alias(out)).filter(F.col(out) > 0)
+
+
+def active_by_union(df: DataFrame, groups: list[str], start_col: str, end_col: str, member: str,
+                    horizon: Column, out: str = "active", axis: str = "month_end") -> DataFrame:
+    """Distinct members per month end whose intervals may overlap; see the module's docstring."""
+    from stratum.operators.running import carry_forward
+    last = F.least(last_covered_month_end(end_col, horizon), horizon)
+    rows = df.select(*groups, F.col(member).alias("__member"), F.last_day(F.col(start_col)).alias("__f"), last.alias("__l")).filter(F.col("__f") <= F.col("__l"))
+    per_month = rows.groupBy(*groups, "__member", "__f").agg(F.max("__l").alias("__l"))
+    w = Window.partitionBy(*groups, "__member").orderBy("__f")
+    upto = F.max("__l").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.max("__l").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    edges = per_month.select(*groups, "__f", upto.alias("__end"), before.alias("__before"), F.lead("__f").over(w).alias("__next"))
+    # a row beyond all earlier ends opens an interval of the union; a row whose successor does so closes one
+    opens = edges.filter(F.col("__before").isNull() | (F.col("__f") > F.col("__before"))).select(*groups, F.col("__f").alias(axis), F.lit(1).alias("__d"))
+    closes = edges.filter((F.col("__next").isNull() | (F.col("__next") > F.col("__end"))) & (F.col("__end") < horizon)) \
+                  .select(*groups, F.last_day(F.add_months("__end", 1)).alias(axis), F.lit(-1).alias("__d"))
+    deltas = opens.unionByName(closes).groupBy(*groups, axis).agg(F.sum("__d").alias("__d"))
+    return carry_forward(deltas, list(groups), axis, "__d", out, horizon).filter(F.col(out) > 0)

@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators.intervals import active_by_sweep, distinct_active
+from stratum.operators.intervals import active_by_sweep, active_by_union
 from stratum.operators.running import carry_forward
 from stratum.operators.joins import broadcast_bounded
-from stratum.plans.star import Relationship, StarModel
+from stratum.plans.star import Measure, Relationship, StarModel
 
 FACT, HIS, CAL, CLASS = "fact_occupational_risk", "fact_occupational_risk_his", "dim_calendar", "language_riskclass"
 
@@ -57,26 +57,25 @@ def status_not(value: int = -1, col: str = "Status") -> Column:
     return F.coalesce(F.col(col), F.lit(0)) != F.lit(value)
 
 
-def _fact_with_calendar(model: StarModel, fact: str, cal_filter: Column | None) -> StarModel:
-    if cal_filter is None:
-        return model
-    rel = model.relationship(fact, CAL)
-    days = model.table(CAL).filter(cal_filter).select(F.col(rel.to_col).alias("__d"))
-    f = model.table(fact)
-    kept = f.join(broadcast_calendar(days), f[rel.from_col] == F.col("__d"), "left_semi")
-    t = dict(model.tables)
-    t[fact] = kept
-    return StarModel(t, model.relationships, model.dim_max_rows)
-
-
 def _rows(model: StarModel, role: str | None, by, out, dim_filter=None, fact_filter=None, cal_filter=None,
           zero_fill=True) -> DataFrame:
-    m = _fact_with_calendar(model, FACT, cal_filter)
     ff = not_eliminated()
     if fact_filter is not None:
         ff = ff & fact_filter
-    return m.count_rows(FACT, CLASS, list(by), out, role=role, fact_filter=ff, dim_filter=dim_filter,
-                        zero_fill=zero_fill)
+    return model.count_rows(FACT, CLASS, list(by), out, role=role, fact_filter=ff, dim_filter=dim_filter,
+                            zero_fill=zero_fill, where={CAL: cal_filter} if cal_filter is not None else None)
+
+
+# The class role of each counting measure.
+ROLES = {"active_risks": None, "active_risks_mitigated": "MitigatedClassId", "active_risks_rrn": "LinearClassId",
+         "active_risks_rrn_mitigated": "LinearMitigatedClassId"}
+
+
+def side_by_side(model: StarModel, names, by=("ptBR",), dim_filter=None, cal_filter=None, zero_fill: bool = True) -> DataFrame:
+    """Several of the counting measures (L1, L2, L3, L5) as columns of one result, from one scan of the fact."""
+    found = [Measure(n, {CLASS: ROLES[n]} if ROLES[n] else {}) for n in names]
+    where = {d: c for d, c in ((CLASS, dim_filter), (CAL, cal_filter)) if c is not None}
+    return model.summarize(FACT, [(CLASS, a) for a in by], found, where, not_eliminated(), zero_fill)
 
 
 def active_risks(model, by=("ptBR",), **kw) -> DataFrame:
@@ -152,8 +151,8 @@ def historicals(model: StarModel, by=("ptBR",), as_of=None, active_only: bool =
 def historicals_by_month(model: StarModel, by=("ptBR",), disjoint: bool = False) -> DataFrame:
     """Point-in-time L6 at every calendar month end (interval coverage, C9), by class attribute.
 
-    By default an exact distinct count, which expands rows to covered months. ``disjoint=True`` is for histories whose
-    intervals do not overlap, as ``close_intervals`` leaves them: a sweep over starts and ends, linear in the rows."""
+    Exact for any history, also where a member's intervals overlap, and linear in the rows. ``disjoint=True`` is for
+    histories whose intervals do not, as ``close_intervals`` leaves them: it needs no aggregate by member."""
     rel = model.relationship(HIS, CLASS, "MitigatedClassId")
     horizon = model.table(CAL).agg(F.last_day(F.max("DateRef"))).scalar()
     h = _his_rows(model, True).select(F.col(rel.from_col).alias("__fkey"), "OccupationalRiskId", "StartDate", "EndDate")
@@ -162,7 +161,7 @@ def historicals_by_month(model: StarModel, by=("ptBR",), disjoint: bool = False)
     if disjoint:
         out = active_by_sweep(keyed, list(by), "StartDate", "EndDate", "OccupationalRiskId", horizon, "historicals")
     else:
-        out = distinct_active(keyed, list(by), "StartDate", "EndDate", "OccupationalRiskId", horizon, "historicals")
+        out = active_by_union(keyed, list(by), "StartDate", "EndDate", "OccupationalRiskId", horizon, "historicals")
     return out.select(*by, F.year("month_end").alias("Year"), F.month("month_end").alias("MonthNumber"), "historicals")
 
 

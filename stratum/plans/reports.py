@@ -23,18 +23,9 @@ def _year(year: int | None) -> Column | None:
 
 def column_chart(model: StarModel, year: int | None = None, name: str = "ptBR") -> DataFrame:
     """RRN mitigated and RRN by class name, blank class dropped, sorted by the first, descending."""
-    cal = _year(year)
-    a = M.active_risks_rrn_mitigated(model, (name,), cal_filter=cal)
-    b = M.active_risks_rrn(model, (name,), cal_filter=cal)
-    # both measures side by side: one union and one aggregate, no join
-    both = a.select(F.col(name).alias("class_name"), "active_risks_rrn_mitigated",
-                    F.lit(0).cast("long").alias("active_risks_rrn")) \
-            .unionByName(b.select(F.col(name).alias("class_name"), F.lit(0).cast("long").alias("active_risks_rrn_mitigated"),
-                                  "active_risks_rrn"))
-    j = both.filter(F.col("class_name").isNotNull()).groupBy("class_name").agg(
-        F.sum("active_risks_rrn_mitigated").cast("long").alias("active_risks_rrn_mitigated"),
-        F.sum("active_risks_rrn").cast("long").alias("active_risks_rrn"))
-    return j.orderBy(F.desc("active_risks_rrn_mitigated"), "class_name")
+    both = M.side_by_side(model, ("active_risks_rrn_mitigated", "active_risks_rrn"), (name,), cal_filter=_year(year))
+    return both.filter(F.col(name).isNotNull()).withColumnRenamed(name, "class_name") \
+               .orderBy(F.desc("active_risks_rrn_mitigated"), "class_name")
 
 
 def pie_unacceptable(model: StarModel, year: int | None = None, name: str = "ptBR") -> DataFrame:

@@ -6,7 +6,7 @@ picking an inactive role switches off the active relationship between the same t
 whose key has no dimension row fall into a blank member (all dimension attributes NULL); with
 ``zero_fill`` every (filtered) dimension member gets a row.
 
-Facts are aggregated by their foreign key before any join, so joins see one row per key."""
+Facts are aggregated by their foreign keys before any join, so joins see one row per tuple of keys."""
 from __future__ import annotations
 
 from dataclasses import dataclass, field
@@ -26,6 +26,16 @@ class Relationship:
     active: bool = True
 
 
+@dataclass(frozen=True)
+class Measure:
+    """COUNTROWS of a fact, or DISTINCTCOUNT of the column ``distinct`` (NULL counts as one value). ``roles`` names, by
+    dimension, the fact column of an inactive relationship to use in place of the active one (USERELATIONSHIP)."""
+    name: str
+    roles: dict[str, str] = field(default_factory=dict)
+    where: Column | None = None
+    distinct: str | None = None
+
+
 @dataclass
 class StarModel:
     tables: dict[str, DataFrame]
@@ -47,48 +57,106 @@ class StarModel:
         return cands[0]
 
     # -- measure evaluation -------------------------------------------------
-    def _dim(self, rel: Relationship, by: list[str], dim_filter: Column | None) -> DataFrame:
-        dim = self.tables[rel.to_table]
-        if dim_filter is not None:
-            dim = dim.filter(dim_filter)
-        return dim.select(F.col(rel.to_col).alias("__dkey"), *by).distinct()
+    def summarize(self, fact: str, by: list[tuple[str, str]], measures: list[Measure], where: dict[str, Column] | None = None,
+                  fact_filter: Column | None = None, zero_fill: bool = False, extra: list[str] = ()) -> DataFrame:
+        """Measures of one fact by attributes of any of its dimensions, under filters on any of them.
 
-    def count_rows(self, fact: str, dim: str, by: list[str], out: str, role: str | None = None,
-                   fact_filter: Column | None = None, dim_filter: Column | None = None,
-                   zero_fill: bool = True, extra_keys: list[str] | None = None) -> DataFrame:
-        """COUNTROWS(fact) grouped by dimension attributes ``by`` (+ optional fact columns)."""
-        rel = self.relationship(fact, dim, role)
+        ``by`` lists (dimension, attribute); ``where`` has a condition per dimension; ``extra`` are columns of the fact. The
+        filters reach the fact along the relationship that each measure uses, so one filter may act through different keys
+        for different measures. All measures come out of one scan: a fact row becomes one row per measure that counts it,
+        with that measure's keys, and rows are counted per measure and tuple of keys before any dimension is joined."""
+        where = where or {}
+        dims = list(dict.fromkeys([d for d, _ in by] + list(where)))
+        attributes = [a for _, a in by]
+        if len(set(attributes)) < len(attributes):
+            raise ValueError(f"attributes of one name in several dimensions: {attributes}")
+        if zero_fill and (len({d for d, _ in by}) != 1 or extra):
+            raise ValueError("zero rows are those of one dimension's members")
         f = self.tables[fact]
         if fact_filter is not None:
             f = f.filter(fact_filter)
+        parts = []
+        for distinct in dict.fromkeys(m.distinct for m in measures):   # counts, then each member column that is counted
+            some = [(i, m) for i, m in enumerate(measures) if m.distinct == distinct]
+            per = self._per_keys(f, fact, dims, some, distinct, list(extra))
+            for j, d in enumerate(dims):
+                per = self._reach(per, j, d, [a for dim, a in by if dim == d], where.get(d))
+            group = [*attributes, *extra]
+            if distinct is None:
+                parts.append(per.groupBy(*group).agg(*[self._count(i, some).alias(m.name) for i, m in some]))
+            else:
+                one = per.groupBy(*group, "__m").agg((F.countDistinct("__member") + F.max(F.col("__member").isNull().cast("int"))).alias("__v"))
+                parts.append(one.groupBy(*group).agg(*[F.max(F.when(F.col("__m") == i, F.col("__v"))).alias(m.name) for i, m in some]))
+        group, names = [*attributes, *extra], [m.name for m in measures]
+        if zero_fill:
+            # +0: every member of the filtered dimension, zero where it has no rows. A union with zero rows and one
+            # aggregate (NULL attributes group with the blank member) instead of a full outer join.
+            dim = self.tables[by[0][0]]
+            dim = dim.filter(where[by[0][0]]) if by[0][0] in where else dim
+            parts.append(dim.select(*attributes).distinct().select(*attributes, *[F.lit(0).cast("long").alias(n) for n in names]))
+        if len(parts) == 1:
+            out = parts[0].select(*group, *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names])
+        else:
+            filled = [p.select(*group, *[(F.coalesce(F.col(n), F.lit(0)) if n in p.columns else F.lit(0)).cast("long").alias(n) for n in names]) for p in parts]
+            out = filled[0]
+            for p in filled[1:]:
+                out = out.unionByName(p)
+            out = out.groupBy(*group).agg(*[F.sum(n).cast("long").alias(n) for n in names])
+        if zero_fill:
+            return out
+        some_rows = F.lit(False)
+        for n in names:
+            some_rows = some_rows | (F.col(n) > 0)
+        return out.filter(some_rows)
+
+    @staticmethod
+    def _count(i: int, some: list) -> Column:
+        return F.sum("__n") if len(some) == 1 else F.sum(F.when(F.col("__m") == i, F.col("__n")))
+
+    def _per_keys(self, f: DataFrame, fact: str, dims: list[str], some: list, distinct: str | None, extra: list[str]) -> DataFrame:
+        """Rows per measure, dimension keys (and member): __m, __k0.., __n or __member."""
+        def keys(m):
+            out = []
+            for j, d in enumerate(dims):
+                rel = self.relationship(fact, d, m.roles.get(d))
+                # a key that the dimension's type cannot hold belongs to no member
+                out.append(F.col(rel.from_col).try_cast(self.tables[d].schema[rel.to_col].dataType).alias(f"__k{j}"))
+            return out
+        names = [f"__k{j}" for j in range(len(dims))]
+        member = [F.col(distinct).alias("__member")] if distinct else []
+        if len(some) == 1:
+            i, m = some[0]
+            rows = (f if m.where is None else f.filter(m.where)).select(F.lit(i).alias("__m"), *keys(m), *member, *extra)
+        else:
+            each = [F.struct(F.lit(i).alias("__m"), *keys(m)) for i, m in some]
+            each = [e if m.where is None else F.when(m.where, e) for e, (_, m) in zip(each, some)]
+            rows = f.select(F.explode(F.array(*each)).alias("__e"), *member, *extra).filter("__e IS NOT NULL") \
+                    .select("__e.*", *(["__member"] if distinct else []), *extra)
+        if distinct:
+            return rows.distinct()
+        return rows.groupBy("__m", *names, *extra).agg(F.count(F.lit(1)).alias("__n"))
+
+    def _reach(self, per: DataFrame, j: int, dim: str, attributes: list[str], condition: Column | None) -> DataFrame:
+        """Attributes of one dimension for its keys; under a filter only keys of remaining members stay, otherwise unknown
+        keys have the blank member."""
+        to_col = next(r.to_col for r in self.relationships if r.to_table == dim)
+        d = self.tables[dim]
+        if condition is not None:
+            d = d.filter(condition)
+        d = broadcast_bounded(d.select(F.col(to_col).alias("__dkey"), *attributes).distinct(), self.dim_max_rows)
+        return per.join(d, per[f"__k{j}"] == d["__dkey"], "inner" if condition is not None else "left").drop(f"__k{j}", "__dkey")
+
+    def count_rows(self, fact: str, dim: str, by: list[str], out: str, role: str | None = None,
+                   fact_filter: Column | None = None, dim_filter: Column | None = None,
+                   zero_fill: bool = True, extra_keys: list[str] | None = None, where: dict[str, Column] | None = None) -> DataFrame:
+        """COUNTROWS(fact) grouped by dimension attributes ``by`` (+ optional fact columns)."""
         extra = extra_keys or []
-        per_key = f.groupBy(F.col(rel.from_col).alias("__fkey"), *extra).agg(F.count(F.lit(1)).alias("__n"))
-        return self._attach(per_key, rel, by, out, dim_filter, zero_fill, extra,
-                            lambda df: F.sum("__n"))
+        return self.summarize(fact, [(dim, a) for a in by], [Measure(out, {dim: role} if role else {})],
+                              {**(where or {}), **({dim: dim_filter} if dim_filter is not None else {})}, fact_filter, zero_fill and not extra, extra)
 
     def distinct_count(self, fact: str, dim: str, by: list[str], member: str, out: str, role: str | None = None,
                        fact_filter: Column | None = None, dim_filter: Column | None = None,
                        zero_fill: bool = False) -> DataFrame:
         """DISTINCTCOUNT(member): a NULL member counts as one value."""
-        rel = self.relationship(fact, dim, role)
-        f = self.tables[fact]
-        if fact_filter is not None:
-            f = f.filter(fact_filter)
-        pairs = f.select(F.col(rel.from_col).alias("__fkey"), F.col(member).alias("__m")).distinct()
-        return self._attach(pairs, rel, by, out, dim_filter, zero_fill, [],
-                            lambda df: F.countDistinct("__m") + F.max(F.col("__m").isNull().cast("int")))
-
-    def _attach(self, per_key: DataFrame, rel: Relationship, by: list[str], out: str,
-                dim_filter: Column | None, zero_fill: bool, extra: list[str], agg) -> DataFrame:
-        dim = self._dim(rel, by, dim_filter)
-        keyed = per_key.join(broadcast_bounded(dim, self.dim_max_rows),
-                             per_key["__fkey"] == dim["__dkey"],
-                             "inner" if dim_filter is not None else "left")
-        got = keyed.groupBy(*by, *extra).agg(agg(keyed).alias(out))
-        if not zero_fill or extra:
-            return got.filter(F.col(out) > 0) if not extra else got
-        # +0: every member of the filtered dimension, zero where it has no rows. A union with zero rows and
-        # one aggregate (NULL attributes group with the blank member) instead of a full outer join.
-        members = dim.select(*by).distinct().select(*by, F.lit(0).cast("long").alias(out))
-        return members.unionByName(got.select(*by, F.col(out).cast("long").alias(out))) \
-                      .groupBy(*by).agg(F.sum(out).cast("long").alias(out))
+        return self.summarize(fact, [(dim, a) for a in by], [Measure(out, {dim: role} if role else {}, distinct=member)],
+                              {dim: dim_filter} if dim_filter is not None else {}, fact_filter, zero_fill)

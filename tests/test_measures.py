@@ -89,13 +89,55 @@ def test_active_only_variant_leaves_inactive_rows(spark):
 
 def test_sweep_equals_exact_expansion(spark):
     m = star(spark)
-    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
     assert rows(M.historicals_by_month(m, disjoint=True)) == rows(M.historicals_by_month(m, disjoint=False))
     from stratum.proxies.q_reports import star as test_star
     big = test_star(spark, "/root/testdata/sf0.001")
     assert rows(M.historicals_by_month(big, disjoint=True)) == rows(M.historicals_by_month(big, disjoint=False))
 
 
+def test_union_of_overlapping_intervals_equals_exact_expansion(spark):
+    """Random overlapping, touching, nested, open, empty and NULL-member intervals; one member holds a third of the rows."""
+    import random
+    from stratum.operators.intervals import active_by_union, distinct_active
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        a = D(2022, 1, 1) + dt.timedelta(days=rng.randrange(900))
+        e = None if rng.random() < .1 else a + dt.timedelta(days=rng.randrange(-20, 200))
+        rows.append((rng.choice(["x", "y", None]), 7 if i % 3 == 0 else rng.choice([1, 2, 3, 4, 5, None]), a, e))
+    df = spark.createDataFrame(rows, "g string, m int, s date, e date")
+    horizon = F.lit("2024-12-31").cast("date")
+    args = (df, ["g"], "s", "e", "m", horizon)
+    got, plain = active_by_union(*args), distinct_active(*args)
+    assert sorted(map(tuple, got.select(*plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_several_dimensions_and_roles_against_plain_joins(spark):
+    m = star(spark)
+    units = spark.createDataFrame([(1, "north"), (2, "south"), (3, "south")], "UnitId int, Level1 string")
+    m.tables["dim_unit"] = units
+    m.tables[M.FACT] = m.table(M.FACT).withColumn("UnitId", F.expr("CASE Id WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 9 END"))
+    out = m.summarize(M.FACT, [(M.CLASS, "ptBR"), ("dim_unit", "Level1")],
+                      [M.Measure("n"), M.Measure("mitigated", {M.CLASS: "MitigatedClassId"}, F.col("Id") > 1), M.Measure("units", distinct="UnitId")],
+                      {M.CAL: F.col("MonthNumber") <= 2})
+    got = {(r["ptBR"], r["Level1"]): (r["n"], r["mitigated"], r["units"]) for r in out.collect()}
+    assert got == {("Medio", "north"): (1, 0, 1), ("Medio", "south"): (1, 0, 1), (None, None): (1, 0, 1),
+                   ("Baixo", "south"): (0, 1, 0), ("Baixo", None): (1, 2, 1)}
+    # a filter reaches each measure through its own role
+    only = m.summarize(M.FACT, [("dim_unit", "Level1")], [M.Measure("n"), M.Measure("mitigated", {M.CLASS: "MitigatedClassId"})],
+                       {M.CLASS: F.col("ptBR") == "Baixo"})
+    assert {r["Level1"]: (r["n"], r["mitigated"]) for r in only.collect()} == {"south": (0, 1), None: (1, 2)}
+
+
+def test_one_fact_scan_for_several_measures(spark):
+    from stratum.proxies.registry import load_all
+    queries, _ = load_all()
+    for name, scans in (("l8_column_chart", 1), ("c7_role_playing_join", 1), ("l4_active_risks_rrn_acumulative", 1), ("l7_historicals_acumulative", 0), ("c9_interval_join", 0)):
+        text = queries[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert sum("FileScan" in line and ".fact_occupational_risk[" in line for line in text.split("\n")) == scans, name
+
+
 def test_year_slicer_and_time_chart(spark):
     m = star(spark)
     assert [r["Year"] for r in R.slicer_years(m).collect()] == [2024]
