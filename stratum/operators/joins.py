@@ -23,16 +23,16 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of a row written as text, so that wide columns and long texts count in full."""
-    width = F.lit(0).cast("long")
+    sizes = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
-        else:
-            width = width + 16
-    return width
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0)))
+    fixed = F.lit(16 * (len(df.columns) - len(sizes))).cast("long")
+    # one flat expression: a chain of as many sums as columns would be as deep
+    return fixed + F.aggregate(F.array(*[s.cast("long") for s in sizes]), F.lit(0).cast("long"), lambda a, x: a + x) if sizes else fixed
 
 
 def measured(df: DataFrame) -> tuple[int, int]:

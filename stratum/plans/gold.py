@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.audit import CONTROL_COLUMNS
 from stratum.functions.dates import expiry
 from stratum.operators import calendar as cal
 from stratum.operators import hierarchy as hier
 from stratum.operators.pivot import language_pivot
+from stratum.operators.merge import SchemaMismatch
 from stratum.operators.scd2 import close_intervals
+from stratum.plans import contract
 
 # The filter that selects risk classes, the language used for unit paths, and the
 # number of days after which a risk evaluation expires.
@@ -106,7 +107,10 @@ class PassThrough:
     gold: str
     silver: str
     keys: tuple[str, ...]
-    columns: tuple[str, ...] | None = None  # None: every source column
+
+    @property
+    def columns(self) -> list[str]:
+        return contract.COLUMNS[self.gold]
 
 
 # Gold table, silver source and merge key of each pass-through builder.
@@ -131,10 +135,14 @@ PASS_THROUGH = (
 PASS_THROUGH_BY_GOLD = {p.gold: p for p in PASS_THROUGH}
 
 
-def pass_through(source: DataFrame, spec: PassThrough | None = None, columns=None) -> DataFrame:
-    """select(columns); control columns are dropped here because the loader stamps them again."""
-    cols = list(columns or (spec.columns if spec and spec.columns else source.columns))
-    return source.select(*[c for c in cols if c.lower() not in CONTROL_COLUMNS])
+def pass_through(source: DataFrame, spec: PassThrough) -> DataFrame:
+    """The gold table's columns, by name and with their types; the loader stamps the control columns. A missing column
+    raises, other columns of the silver table do not reach gold, and a value that its type cannot hold fails the load."""
+    have = {c.lower(): c for c in source.columns}
+    missing = [c for c in spec.columns if c.lower() not in have]
+    if missing:
+        raise SchemaMismatch(f"{spec.silver} lacks columns of {spec.gold}: {missing}")
+    return source.select(*[F.col(f"`{have[c.lower()]}`").cast(contract.column_type(c)).alias(c) for c in spec.columns])
 
 
 # Build levels of the gold layer (dimensions first, then facts).

@@ -97,3 +97,19 @@ def test_ingest_with_stubbed_source(spark, monkeypatch):
     assert seen['"public"."nation"'].endswith("WHERE \"updated\" > '2024-01-03 00:00:00'")
     assert seen['"public"."orders"'] == 'SELECT "o_totalprice"::NUMERIC(38,2) AS "o_totalprice" FROM "public"."orders"'
     assert spark.read.parquet(f"{root}/cad/nation").count() == 25
+
+
+def test_pass_through_tables_have_their_columns(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from stratum.operators.merge import SchemaMismatch
+    from stratum.plans import contract, gold
+    sizes = [len(contract.COLUMNS[p.gold]) + 3 for p in gold.PASS_THROUGH]   # with the control columns
+    assert sizes == [8, 19, 18, 67, 12, 7, 14, 7, 107, 59, 12, 30, 19, 16, 30, 8]
+    spec = gold.PASS_THROUGH_BY_GOLD["fact_action"]
+    row = spark.range(2).select(*[F.lit(None).cast(contract.column_type(c)).alias(c.upper()) for c in spec.columns if c != "Id"],
+                                F.col("id").alias("Id"), F.lit("x").alias("unknown"), F.lit("h").alias("hash_row"))
+    out = gold.pass_through(row, spec)
+    assert out.columns == spec.columns and dict(out.dtypes)["DtInicio"] == "timestamp_ntz" and dict(out.dtypes)["ValorPrevisto"] == "double"
+    with pytest.raises(SchemaMismatch, match="Andamento"):
+        gold.pass_through(row.drop("ANDAMENTO"), spec)
