@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratum.session import scratch_path
 
 #: Entries a worker keeps in a word cache before it is cleared (bounds the worker's memory, not the result).
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 400_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

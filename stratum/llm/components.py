@@ -44,6 +44,18 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) after further links: only the components that these touch are gone through again."""
+    name = comp.withColumnRenamed("component", "c")
+    a = links.join(name.toDF("a", "ca"), "a", "left").select(F.coalesce("ca", "a").alias("a"), "b")
+    edges = a.join(name.toDF("b", "cb"), "b", "left").select("a", F.coalesce("cb", "b").alias("b"))
+    over = connected(edges)
+    moved = comp.join(over.toDF("component", "onto"), "component", "left").select("node", F.coalesce("onto", "component").alias("component"))
+    return stage(moved.unionByName(over), "components")
+
+
+#: Rounds of pivots; whatever buckets are mixed after them is compared in full.
+PIVOT_ROUNDS = 6
 #: Nodes outside a bucket's largest component that are compared in one portion; larger buckets are cut into portions.
 PORTION = 2000
 
@@ -140,8 +152,8 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b) it gets. ``refine``
     makes finer sketches (node, sketch array<long>) of some nodes (node), and ``alike`` compares two blocks of them.
 
-    Every node is compared with the smallest of its buckets' hubs first, then with one pivot of each of its buckets whose
-    component is another one. Buckets whose nodes are then in one component are done. In the others every node outside the
+    Every node is compared with the smallest of its buckets' hubs first, then, in rounds, with one pivot of a bucket in which
+    its component is not the pivot's. Buckets whose nodes are then in one component are done. In the others every node outside the
     bucket's largest component is compared with all nodes of other components, once a pair, by the finer sketches. So no
     candidate is left out however large a bucket is, and a large group of near copies takes a few comparisons a node."""
     def near(pairs: DataFrame) -> DataFrame:
@@ -152,16 +164,17 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
         return shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     spokes = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = near(spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    comp = connected(links)
-    rows = placed(comp)
-    pivots = rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("component").alias("c")), F.xxhash64("node")).alias("v"),
-                                        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket", "v.*")
-    pairs = rows.join(pivots, "bucket").where("component != c").select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-    more = near(pairs)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comp = connected(links)
+    comp = connected(near(spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
+    for _ in range(PIVOT_ROUNDS):
+        # one pivot a bucket, and of a node's buckets with a pivot in another component one: at most a pair a node and round
+        rows = placed(comp)
+        pivots = rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("component").alias("c")), F.xxhash64("node", "component")).alias("v"),
+                                            F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket", "v.*")
+        pairs = rows.join(pivots, "bucket").where("component != c").groupBy("node").agg(F.min("p").alias("p"))
+        more = near(pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
+        if more.isEmpty():
+            break
+        comp = joined(comp, more)
     # buckets of several components: the largest one's nodes are compared with the others only, in cells of bounded size
     sizes = placed(comp).groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     portions = lambda n: F.ceil(n / PORTION).cast("int")
@@ -181,4 +194,4 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = dealt.join(own, "node").select("cell", "side", "bucket", "node", "component", "main", "sketch", "buckets").repartition(n, "cell").sortWithinPartitions("cell", "side")
     more = stage(confirm(rows.mapInArrow(lambda it: _cells(it, alike), "a long, b long").distinct()), "links")
-    return comp if more.isEmpty() else connected(links.unionByName(more))
+    return comp if more.isEmpty() else joined(comp, more)

@@ -6,11 +6,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from stratum.llm.common import CACHE_ENTRIES, fresh, id_text, small_pieces
+from stratum.llm.common import CACHE_ENTRIES, id_text, small_pieces
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 DIMS = 1 << 14
@@ -211,14 +210,13 @@ def score_quality(docs: DataFrame) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def _good_rows(batches, scorer: Scorer, text: int) -> Iterator[pa.RecordBatch]:
+    cache = Words()
+    for b in small_pieces(batches, text):
+        yield b.filter(pa.array([x >= 0.5 for x in _apply(b.column(text), scorer, cache)], pa.bool_()))
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that the classifier keeps."""
-    scorer = learn(docs)
-    col = fresh(docs, "quality_score")
-
-    @F.pandas_udf(T.DoubleType())
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache = Words()
-        for texts in batches:
-            yield pd.Series(_apply(pa.array(texts, pa.string()), scorer, cache), dtype="float64")
-    return docs.withColumn(col, scored(F.coalesce(F.col("text"), F.lit("")))).where(F.col(col) >= 0.5).drop(col)
+    scorer, text = learn(docs), [c.lower() for c in docs.columns].index("text")
+    return docs.mapInArrow(lambda it: _good_rows(it, scorer, text), docs.schema)

@@ -124,6 +124,6 @@ ORACLE: dict[str, str] = {
               QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
         SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
         FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
-        QUALIFY row_number() OVER w <= 5
-        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)""",
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+        QUALIFY row_number() OVER w <= 5""",
 }

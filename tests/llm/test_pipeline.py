@@ -33,7 +33,7 @@ def test_stages(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     want = con.sql(ORACLE[name])
