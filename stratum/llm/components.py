@@ -45,17 +45,16 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """Components (node, component) after further links: only the components that these touch are gone through again."""
-    name = comp.withColumnRenamed("component", "c")
-    a = links.join(name.toDF("a", "ca"), "a", "left").select(F.coalesce("ca", "a").alias("a"), "b")
-    edges = a.join(name.toDF("b", "cb"), "b", "left").select("a", F.coalesce("cb", "b").alias("b"))
-    over = connected(edges)
+    """Components (node, component) after further links between the components ``ca`` and ``cb``: only components that
+    these touch are gone through again, each pair of them once."""
+    over = connected(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
     moved = comp.join(over.toDF("component", "onto"), "component", "left").select("node", F.coalesce("onto", "component").alias("component"))
     return stage(moved.unionByName(over), "components")
 
 
+PAIR = "a long, b long, ca long, cb long"
 #: Rounds of pivots; whatever buckets are mixed after them is compared in full.
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 2
 #: Nodes outside a bucket's largest component that are compared in one portion; larger buckets are cut into portions.
 PORTION = 2000
 
@@ -97,12 +96,12 @@ def shared_buckets(member: DataFrame) -> DataFrame:
     return stage(some.join(hubs, "bucket"), "shared")
 
 
-def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[list, list]:
-    """Pairs of one cell's sides 0 and 1 in different components whose sketches are alike, in their first common bucket."""
+def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[list, list, list, list]:
+    """Pairs (with their components) of one cell's sides 0 and 1 in different components whose sketches are alike, in their first common bucket."""
     side, bucket, node, comp = (rows.column(c).to_numpy() for c in ("side", "bucket", "node", "component"))
     nx = int(np.searchsorted(side, 1))
     if not nx or nx == len(side):
-        return [], []
+        return [], [], [], []
     sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(side), -1)
     main = rows.column("main").to_numpy(zero_copy_only=False)
     lists = rows.column("buckets")
@@ -112,7 +111,7 @@ def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.nda
         if i not in sets:
             sets[i] = set(lists[i].as_py())
         return sets[i]
-    a, b = [], []
+    a, b, ca, cb = [], [], [], []
     for i in range(0, nx, 16):
         j = min(nx, i + 16)
         ok = (comp[i:j, None] != comp[None, nx:]) & (main[None, nx:] | (node[i:j, None] < node[None, nx:]))
@@ -121,16 +120,17 @@ def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.nda
             if min(of(i + p) & of(nx + q)) == bucket[i + p]:
                 a.append(node[i + p])
                 b.append(node[nx + q])
-    return a, b
+                ca.append(comp[i + p])
+                cb.append(comp[nx + q])
+    return a, b, ca, cb
 
 
 def _cells(batches, alike):
-    """(a, b) of rows sorted by (cell, side). A cell is held whole: at most some portions of PORTION rows."""
+    """Pairs of rows sorted by (cell, side). A cell is held whole: at most some portions of PORTION rows."""
     held: list[pa.Table] = []
 
     def done() -> pa.RecordBatch:
-        a, b = _cell_pairs(pa.concat_tables(held), alike)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in _cell_pairs(pa.concat_tables(held), alike)], names=["a", "b", "ca", "cb"])
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -149,7 +149,7 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
                      confirm: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame],
                      alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """(node, component) of the links among nodes that share a bucket. ``sketch``: (node, sketch); two nodes are compared
-    if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b) it gets. ``refine``
+    if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b, and their components ca, cb) it gets. ``refine``
     makes finer sketches (node, sketch array<long>) of some nodes (node), and ``alike`` compares two blocks of them.
 
     Every node is compared with the smallest of its buckets' hubs first, then, in rounds, with one pivot of a bucket in which
@@ -158,20 +158,21 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     candidate is left out however large a bucket is, and a large group of near copies takes a few comparisons a node."""
     def near(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-        return stage(confirm(both.where(passes(F.col("sa"), F.col("sb"))).select("a", "b")), "links")
+        return stage(confirm(both.where(passes(F.col("sa"), F.col("sb"))).select("a", "b", "ca", "cb")), "links")
 
     def placed(comp: DataFrame) -> DataFrame:
         return shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     spokes = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    comp = connected(near(spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
+    first = spokes.groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
+    comp = connected(near(first).select("a", "b"))
     for _ in range(PIVOT_ROUNDS):
         # one pivot a bucket, and of a node's buckets with a pivot in another component one: at most a pair a node and round
         rows = placed(comp)
         pivots = rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("component").alias("c")), F.xxhash64("node", "component")).alias("v"),
                                             F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket", "v.*")
-        pairs = rows.join(pivots, "bucket").where("component != c").groupBy("node").agg(F.min("p").alias("p"))
-        more = near(pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
+        pairs = rows.join(pivots, "bucket").where("component != c").groupBy("node").agg(F.min(F.struct("p", "c", "component")).alias("v"))
+        more = near(pairs.select(F.col("v.p").alias("a"), F.col("node").alias("b"), F.col("v.c").alias("ca"), F.col("v.component").alias("cb")))
         if more.isEmpty():
             break
         comp = joined(comp, more)
@@ -193,5 +194,5 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
     dealt = side(0, open_.where("NOT main"), "px", "py").unionByName(side(1, open_, "py", "px"))
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = dealt.join(own, "node").select("cell", "side", "bucket", "node", "component", "main", "sketch", "buckets").repartition(n, "cell").sortWithinPartitions("cell", "side")
-    more = stage(confirm(rows.mapInArrow(lambda it: _cells(it, alike), "a long, b long").distinct()), "links")
+    more = stage(confirm(rows.mapInArrow(lambda it: _cells(it, alike), PAIR).distinct()), "links")
     return comp if more.isEmpty() else joined(comp, more)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratum.llm.common import WordHashes, fresh, id_text, mix64, shingle_set, small_pieces, stage
-from stratum.llm.components import group_by_buckets, shared_buckets
+from stratum.llm.components import PAIR, group_by_buckets, shared_buckets
 
 #: 32 bands of 4: a pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^32 < 5e-8.
 BANDS, ROWS = 32, 4
@@ -123,9 +123,9 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
     """Pairs with 100 * intersection >= percent * union, on full sets. Rows of one left text come together."""
     hashes = WordHashes()
     last, left = None, None
-    for b in small_pieces(batches, 2, 4_000_000):
+    for b in small_pieces(batches, 4, 4_000_000):
         keep = []
-        a, ta, tb = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
+        a, ta, tb = b.column("a").to_pylist(), b.column("ta").to_pylist(), b.column("tb").to_pylist()
         for i, node in enumerate(a):
             if node != last:
                 last, left = node, shingle_set(words(ta[i]), hashes, width)
@@ -133,7 +133,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
             both = len(np.intersect1d(left, right, assume_unique=True))
             if 100 * both >= percent * (len(left) + len(right) - both):
                 keep.append(i)
-        yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+        yield b.select(["a", "b", "ca", "cb"]).take(pa.array(keep, pa.int64()))
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -182,8 +182,8 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     def confirm(pairs: DataFrame) -> DataFrame:
         t = cand.select("node", "text")
-        both = pairs.join(t.toDF("b", "tb"), "b").join(t.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
-        return both.mapInArrow(lambda it: _confirm(it, width, percent), "a long, b long")
+        both = pairs.join(t.toDF("b", "tb"), "b").join(t.toDF("a", "ta"), "a").select("a", "b", "ca", "cb", "ta", "tb")
+        return both.mapInArrow(lambda it: _confirm(it, width, percent), PAIR)
 
     comp = group_by_buckets(shared, cand.select("node", "sketch"), passes, confirm, refine,
                             lambda x, y: _alike(x, y, percent, fine_limit))
