@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from stratum.functions.json import generated_fields, json_select
 from stratum.functions.names import clean_column_names
 from stratum.operators import hierarchy as hier
+from stratum.operators.distinct import distinct_rows
 from stratum.operators.joins import lookup
 from stratum.sources import files
 
@@ -66,8 +67,6 @@ def status_table(spark: SparkSession, path: str, schema: T.StructType | str | No
     return files.read_json_array(spark, path, schema)
 
 
-def bronze_to_silver(bronze: DataFrame, apply_distinct: bool = False, keys: list[str] | None = None) -> DataFrame:
-    """K24 transform: optional de-duplication, then column-name clean-up. With keys configured,
-    whole-row distinct is still what the source does; it combines map-side before the shuffle."""
-    df = bronze.distinct() if apply_distinct else bronze
-    return clean_column_names(df)
+def bronze_to_silver(bronze: DataFrame, apply_distinct: bool = False) -> DataFrame:
+    """K24 transform of a bronze scan: optional whole-row de-duplication, then column-name clean-up."""
+    return clean_column_names(distinct_rows(bronze) if apply_distinct else bronze)

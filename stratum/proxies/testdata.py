@@ -104,11 +104,12 @@ def unidade(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unidade_idioma(spark: SparkSession, d: str) -> DataFrame:
-    """Paths region > nation > customer for customers with a non-negative balance (others have none)."""
-    c = table(spark, d, "customer").filter(F.col("c_acctbal") >= 0)
+    """Paths region > nation > customer of all customers: in language 1 where the balance is not negative, else in
+    language 2, so that the language filter leaves units without a path."""
+    c = table(spark, d, "customer")
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
     j = lookup(lookup(c, n, c["c_nationkey"] == n["n_nationkey"]), r, F.col("n_regionkey") == r["r_regionkey"])
-    return j.select(F.col("c_custkey").alias("Id"), F.lit(1).alias("IdiomaId"),
+    return j.select(F.col("c_custkey").alias("Id"), F.when(F.col("c_acctbal") >= 0, 1).otherwise(2).alias("IdiomaId"),
                     F.concat_ws(" > ", "r_name", "n_name", "c_name").alias("Hierarquia"),
                     F.col("c_name").alias("Descricao"))

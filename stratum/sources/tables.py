@@ -109,6 +109,22 @@ def _register(spark: SparkSession, t: Target, loc: str, schema: T.StructType) ->
     _swap(spark, new, t)
 
 
+def is_managed(spark: SparkSession, name: str) -> bool:
+    return metadata(spark, name).get("type") == "MANAGED"
+
+
+def _write_managed(spark: SparkSession, df: DataFrame, t: Target) -> None:
+    """A table whose files lie in the catalog's own folder, so that DROP removes them: written whole under a name of its
+    own, then swapped in (the catalog moves the folder along with the name)."""
+    ensure_schema(spark, t.schema)
+    new = _new_name(t)
+    w = _clustered(df, t.partition_columns).write.mode("errorifexists").format("parquet").option("compression", "snappy")
+    if t.partition_columns:
+        w = w.partitionBy(*t.partition_columns)
+    w.saveAsTable(new)
+    _swap(spark, new, t)
+
+
 def _new_name(t: Target) -> str:
     return f"{t.name}__new_{uuid.uuid4().hex[:8]}"
 
@@ -118,18 +134,27 @@ def _swap(spark: SparkSession, new: str, t: Target) -> None:
     name back if the new one cannot take it, so a failure leaves the old table as it was."""
     old = f"{t.name}__old_{uuid.uuid4().hex[:8]}" if table_exists(spark, t.name) else None
     if old:
-        spark.sql(f"ALTER TABLE {t.name} RENAME TO {old}")
+        _rename(spark, t.name, old)
     try:
-        spark.sql(f"ALTER TABLE {new} RENAME TO {t.name}")
+        _rename(spark, new, t.name)
     except Exception:
         if old:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {t.name}")
+            _rename(spark, old, t.name)
         raise
     if old:
         spark.sql(f"DROP TABLE {old}")
     spark.catalog.refreshTable(t.name)
 
 
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    """A managed table's folder moves with its name, but the entries of its partitions may go on naming the old place, where
+    another table's files may come to lie: dropping the table would delete those. So they are brought in line at once."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+    if is_managed(spark, to) and any(c.isPartition for c in spark.catalog.listColumns(to)):
+        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+        spark.catalog.refreshTable(to)
+
+
 def write_snapshot(spark: SparkSession, df: DataFrame, t: Target) -> str:
     loc = f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}"
     w = _clustered(df, t.partition_columns).write.mode("errorifexists").option("compression", "snappy")
@@ -151,8 +176,9 @@ def _write_bucketed(spark: SparkSession, df: DataFrame, t: Target) -> None:
     ensure_schema(spark, t.schema)
     new = _new_name(t)
     df = _clustered(df.withColumn("__bucket", F.pmod(F.hash(*[F.col(c) for c in t.bucket_keys]), F.lit(t.buckets))), ["__bucket"]).drop("__bucket")
-    loc = f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}"
-    w = df.write.mode("errorifexists").format("parquet").option("compression", "snappy").option("path", loc)
+    w = df.write.mode("errorifexists").format("parquet").option("compression", "snappy")
+    if t.table_type != "managed":
+        w = w.option("path", f"{_root(spark, t)}/snapshot-{uuid.uuid4().hex[:12]}")
     if t.partition_columns:
         w = w.partitionBy(*t.partition_columns)
     w.bucketBy(t.buckets, *t.bucket_keys).sortBy(*t.bucket_keys).saveAsTable(new)
@@ -168,6 +194,9 @@ def create_table(spark: SparkSession, df: DataFrame, t: Target, unique: list[str
             df = stage_checked(df, list(unique), _staged(spark, t)).frame
         _write_bucketed(spark, df, t)
         return spark.table(t.name)
+    if t.table_type == "managed":
+        _write_managed(spark, stage_checked(df, list(unique), _staged(spark, t)).frame if unique else df, t)
+        return spark.table(t.name)
     watched, seen = observed(df, list(unique)) if unique else (df, None)
     loc = write_snapshot(spark, watched, t)
     if unique:
@@ -245,8 +274,15 @@ def append(spark: SparkSession, df: DataFrame, t: Target) -> DataFrame:
     if t.partition_columns:
         w = w.partitionBy(*t.partition_columns)
     w.parquet(loc)
-    merged = T.StructType(list(cur.schema.fields) + [f for f in df.schema.fields if f.name.lower() not in cur_names])
-    _register(spark, t, loc, merged)
+    added = [f for f in df.schema.fields if f.name.lower() not in cur_names]
+    if is_managed(spark, t.name):   # its files belong to its name, so the entry is changed and never replaced
+        if added:
+            spark.sql(f"ALTER TABLE {t.name} ADD COLUMNS ({_ddl(T.StructType(added))})")
+        if t.partition_columns:
+            spark.sql(f"ALTER TABLE {t.name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(t.name)
+    else:
+        _register(spark, t, loc, T.StructType(list(cur.schema.fields) + added))
     return spark.table(t.name)
 
 
@@ -339,7 +375,11 @@ def merge_partitions(spark: SparkSession, up: Upsert, t: Target) -> DataFrame:
     staged = put(up.kept(rows).unionByName(new), "merged")
     remaining = staged.select(*pcols).distinct()
     if not touched.join(remaining, [touched[c].eqNullSafe(remaining[c]) for c in pcols], "left_anti").isEmpty():
-        _register(spark, t, write_snapshot(spark, up.kept().unionByName(new), t), spark.table(t.name).schema)
+        whole = up.kept().unionByName(new)
+        if is_managed(spark, t.name):
+            _write_managed(spark, whole, t)
+        else:
+            _register(spark, t, write_snapshot(spark, whole, t), spark.table(t.name).schema)
         return spark.table(t.name)
     # the mode belongs to this one write: the session's setting may be in use by other loads
     _clustered(staged, pcols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
@@ -381,6 +421,8 @@ def merge(spark: SparkSession, df: DataFrame, t: Target, keys, run_ts, add_hash:
         _write_bucketed(spark, up.snapshot(), t)
     elif t.partition_columns:
         merge_partitions(spark, up, t)
+    elif is_managed(spark, t.name):
+        _write_managed(spark, up.snapshot(), t)
     else:
         # one catalog step: readers see the old files or the new ones, never neither
         spark.sql(f"ALTER TABLE {t.name} SET LOCATION '{write_snapshot(spark, up.snapshot(), t)}'")
