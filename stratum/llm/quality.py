@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratum.llm.common import CACHE_ENTRIES, id_text, small_pieces
+from stratum.llm.common import CACHE_ENTRIES, id_text, small_pieces, stage
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 DIMS = 1 << 14
@@ -143,49 +143,51 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float, float]], steps: int = 30
     return Scorer(w, b)
 
 
-def _vote_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, total = Words(), Counter()
-    for b in small_pieces(batches, 0):
-        for t in b.column(0).to_pylist():
+def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, pattern) of (hash, text): how the labellers vote on each text that has words."""
+    cache = Words()
+    for b in small_pieces(batches, 1):
+        out = ([], [])
+        for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             m, _, n = measures(t, cache)
             if n:
-                total[tuple(votes(m))] += 1
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(["".join(map(str, k)) for k in total]), pa.array(list(total.values()), pa.int64())], names=["pattern", "n"])
+                out[0].append(h)
+                out[1].append("".join(map(str, votes(m))))
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string())], names=["hash", "pattern"])
 
 
-def _fit_rows(batches, good: dict, take: tuple[float, float]) -> Iterator[pa.RecordBatch]:
+def _features(batches) -> Iterator[pa.RecordBatch]:
     cache = Words()
-    for b in small_pieces(batches, 0):
+    for b in small_pieces(batches, 1):
         out = ([], [], [])
-        for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if h >= max(take):
-                continue
+        for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             m, shapes, n = measures(t, cache)
-            if not n:
-                continue
-            p = good[tuple(votes(m))]
-            if h < take[int(p >= 0.5)]:
-                i, v = features(m, shapes, n)
-                for col, x in zip(out, (i.tolist(), v.tolist(), p)):
-                    col.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.int32())), pa.array(out[1], pa.list_(pa.float64())), pa.array(out[2], pa.float64())], names=["idx", "val", "good"])
+            i, v = features(m, shapes, n)
+            for col, x in zip(out, (h, i.tolist(), v.tolist())):
+                col.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int32())), pa.array(out[2], pa.list_(pa.float64()))], names=["hash", "idx", "val"])
 
 
 def learn(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
-    """Vote patterns are counted over all rows; the scorer is fitted on at most about ``fit_rows`` rows of each label,
-    chosen by a hash of the text."""
-    texts = id_text(docs).select("text")
-    counted = texts.mapInArrow(_vote_counts, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
-    patterns = {tuple(map(int, r["pattern"])): r["n"] for r in counted}
-    _, _, good = em(patterns)
-    n = [sum(c for k, c in patterns.items() if (good[k] >= 0.5) == bool(side)) for side in (0, 1)]
-    take = tuple(min(1.0, fit_rows / max(1, x)) for x in n)
-    unit = (F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)).alias("unit")
-    rows = texts.select("text", unit).where(F.col("unit") < max(take)) \
-        .mapInArrow(lambda it: _fit_rows(it, good, take), "idx array<int>, val array<double>, good double").collect()
-    side = Counter(r["good"] >= 0.5 for r in rows)   # rows count as many as they stand for
-    return fit([(np.array(r["idx"], np.int32), np.array(r["val"]), r["good"], n[r["good"] >= 0.5] / side[r["good"] >= 0.5]) for r in rows])
+    """Vote patterns are counted over all rows; the scorer is fitted on at most about ``fit_rows`` distinct texts of each
+    label, chosen by a hash of the text. A text counts as often as it has copies, so copies cost no rows of the sample."""
+    texts = id_text(docs).select(F.xxhash64("text").alias("hash"), "text")
+    seen = stage(texts.mapInArrow(_patterns, "hash long, pattern string").groupBy("hash", "pattern").agg(F.count(F.lit(1)).alias("copies")), "vote_patterns")
+    counted = seen.groupBy("pattern").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("texts")).collect()   # a row per pattern of eight votes
+    key = lambda p: tuple(map(int, p))
+    _, _, good = em({key(r["pattern"]): r["n"] for r in counted})
+    is_good = {r["pattern"]: bool(good[key(r["pattern"])] >= 0.5) for r in counted}
+    n, distinct = ([sum(r[c] for r in counted if is_good[r["pattern"]] == bool(side)) for side in (0, 1)] for c in ("n", "texts"))
+    take = tuple(min(1.0, fit_rows / max(1, x)) for x in distinct)
+    unit = F.pmod(F.xxhash64("hash"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    chosen = seen.where(unit < F.when(F.col("pattern").isin([p for p, g in is_good.items() if g]), take[1]).otherwise(take[0]))
+    rows = texts.where(unit < max(take)).join(chosen.select("hash"), "hash", "left_semi").dropDuplicates(["hash"]) \
+        .mapInArrow(_features, "hash long, idx array<int>, val array<double>").join(chosen, "hash").collect()   # about fit_rows a label
+    side = Counter()
+    for r in rows:   # rows count as many as they stand for
+        side[is_good[r["pattern"]]] += r["copies"]
+    return fit([(np.array(r["idx"], np.int32), np.array(r["val"]), good[key(r["pattern"])], r["copies"] * n[is_good[r["pattern"]]] / side[is_good[r["pattern"]]])
+                for r in sorted(rows, key=lambda r: (r["hash"], r["pattern"]))])
 
 
 def _apply(texts: pa.Array, scorer: Scorer, cache: Words) -> list[float]:

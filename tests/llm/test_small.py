@@ -318,6 +318,18 @@ def test_local_search_empties_bins():
         assert max(fill.values()) <= 1024 and len(fill) <= -(-sum(sizes) // 1024) + 1
 
 
+def test_local_search_empties_a_bin_of_many_tiny_items():
+    """More items than any fixed number of moves: 900 of one token go into the gaps that 300 bins have left."""
+    place = packing.pack([1021] * 300 + [1] * 900)
+    assert len({b for b, _ in place}) == 300
+    sizes = [600] * 200 + [300] * 200 + [124] * 190 + [2] * 620
+    place = packing.pack(sizes)
+    fill = {}
+    for (b, o), s in zip(place, sizes):
+        fill[b] = fill.get(b, 0) + s
+    assert max(fill.values()) <= 1024 and sum(fill.values()) == sum(sizes) and len(fill) == 200
+
+
 def test_toxicity(spark, vocabulary):
     rng = random.Random(9)
     bad = ["vilex", "vilor", "scumm", "trashy"]
@@ -436,6 +448,21 @@ def test_quality(spark, vocabulary, empty):
     assert quality.score_quality(empty).count() == 0
 
 
+def test_quality_sample_is_of_distinct_texts(spark, vocabulary, monkeypatch):
+    """Copies are one row of the sample, weighted by their number; every other text has its chance."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(80)).capitalize() + "." for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[0]) for i in range(3000)] + [(5000 + i, texts[i].upper()) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    monkeypatch.setattr(quality, "fit", lambda rows: got.append(rows))
+    quality.learn(docs, 1000)
+    assert len(got[0]) == 80 and abs(sum(r[3] for r in got[0]) - len(rows)) < 1e-6 * len(rows)
+    assert max(r[3] for r in got[0]) == 3001
+    quality.learn(docs, 30)
+    assert len(got[1]) < 60 and abs(sum(r[3] for r in got[1]) - len(rows)) < 1e-6 * len(rows)
+
+
 def test_em_recovers_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.8
