@@ -57,6 +57,8 @@ PAIR = "a long, b long, ca long, cb long"
 PIVOT_ROUNDS = 2
 #: Nodes outside a bucket's largest component that are compared in one portion; larger buckets are cut into portions.
 PORTION = 2000
+#: Rounds in which a node outside its bucket's largest component proposes one link, before all pairs that are left are compared.
+LINK_ROUNDS = 3
 
 
 def _not_alone(batches):
@@ -96,8 +98,9 @@ def shared_buckets(member: DataFrame) -> DataFrame:
     return stage(some.join(hubs, "bucket"), "shared")
 
 
-def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[list, list, list, list]:
-    """Pairs (with their components) of one cell's sides 0 and 1 in different components whose sketches are alike, in their first common bucket."""
+def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.ndarray], one: bool) -> tuple[list, list, list, list]:
+    """Pairs (with their components) of one cell's sides 0 and 1 in different components whose sketches are alike: ``one`` for
+    each node of side 0, the one most alike, or all, each in its first common bucket."""
     side, bucket, node, comp = (rows.column(c).to_numpy() for c in ("side", "bucket", "node", "component"))
     nx = int(np.searchsorted(side, 1))
     if not nx or nx == len(side):
@@ -114,10 +117,13 @@ def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.nda
     a, b, ca, cb = [], [], [], []
     for i in range(0, nx, 16):
         j = min(nx, i + 16)
-        ok = (comp[i:j, None] != comp[None, nx:]) & (main[None, nx:] | (node[i:j, None] < node[None, nx:]))
-        ok &= alike(sketch[i:j], sketch[nx:])
-        for p, q in np.argwhere(ok).tolist():
-            if min(of(i + p) & of(nx + q)) == bucket[i + p]:
+        ok = comp[i:j, None] != comp[None, nx:]
+        if not one:
+            ok &= main[None, nx:] | (node[i:j, None] < node[None, nx:])
+        ok = ok * alike(sketch[i:j], sketch[nx:])
+        some = np.stack([np.flatnonzero(ok.any(1)), ok.argmax(1)[ok.any(1)]], 1) if one else np.argwhere(ok)
+        for p, q in some.tolist():
+            if one or min(of(i + p) & of(nx + q)) == bucket[i + p]:
                 a.append(node[i + p])
                 b.append(node[nx + q])
                 ca.append(comp[i + p])
@@ -125,12 +131,12 @@ def _cell_pairs(rows: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.nda
     return a, b, ca, cb
 
 
-def _cells(batches, alike):
+def _cells(batches, alike, one):
     """Pairs of rows sorted by (cell, side). A cell is held whole: at most some portions of PORTION rows."""
     held: list[pa.Table] = []
 
     def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in _cell_pairs(pa.concat_tables(held), alike)], names=["a", "b", "ca", "cb"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in _cell_pairs(pa.concat_tables(held), alike, one)], names=["a", "b", "ca", "cb"])
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -150,7 +156,8 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
                      alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """(node, component) of the links among nodes that share a bucket. ``sketch``: (node, sketch); two nodes are compared
     if ``passes`` holds for their sketches; ``confirm`` returns the linked ones of the pairs (a, b, and their components ca, cb) it gets. ``refine``
-    makes finer sketches (node, sketch array<long>) of some nodes (node), and ``alike`` compares two blocks of them.
+    makes finer sketches (node, sketch array<long>) of some nodes (node), and ``alike`` compares two blocks of them: 0 for
+    pairs that cannot be linked, and more the more alike they are.
 
     Every node is compared with the smallest of its buckets' hubs first, then, in rounds, with one pivot of a bucket in which
     its component is not the pivot's. Buckets whose nodes are then in one component are done. In the others every node outside the
@@ -176,23 +183,33 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
         if more.isEmpty():
             break
         comp = joined(comp, more)
-    # buckets of several components: the largest one's nodes are compared with the others only, in cells of bounded size
-    sizes = placed(comp).groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    # buckets of several components: the largest one's nodes are compared with the others only, in cells of bounded size. In
+    # the first rounds a node proposes one link in one of its buckets, to the node most like it, which joins most components; then all pairs left meet
     portions = lambda n: F.ceil(n / PORTION).cast("int")
-    several = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"),
-                                          portions(F.sum("n") - F.max("n")).alias("px"), portions(F.sum("n")).alias("py")).where("parts > 1")
-    open_ = stage(placed(comp).join(several, "bucket").select("bucket", "node", "component", (F.col("component") == F.col("top")).alias("main"), "px", "py"), "unresolved")
-    fine = stage(refine(open_.select("node").distinct()), "fine")
-    own = open_.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(fine.toDF("node", "sketch"), "node")
-
-    def side(k: int, rows: DataFrame, mine: str, other: str) -> DataFrame:
-        """A row's own portion, against every portion of the other side."""
-        part = F.pmod(F.xxhash64("node"), F.col(mine)).cast("int")
-        dealt = rows.withColumn("own", part).withColumn("met", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        px, py = ("own", "met") if k == 0 else ("met", "own")
-        return dealt.select(F.xxhash64("bucket", px, py).alias("cell"), F.lit(k).alias("side"), "bucket", "node", "component", "main")
-    dealt = side(0, open_.where("NOT main"), "px", "py").unionByName(side(1, open_, "py", "px"))
-    n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = dealt.join(own, "node").select("cell", "side", "bucket", "node", "component", "main", "sketch", "buckets").repartition(n, "cell").sortWithinPartitions("cell", "side")
-    more = stage(confirm(rows.mapInArrow(lambda it: _cells(it, alike), PAIR).distinct()), "links")
-    return comp if more.isEmpty() else joined(comp, more)
+    n, fine = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions")), None
+    for k in range(LINK_ROUNDS + 1):
+        one, rows = k < LINK_ROUNDS, placed(comp)
+        several = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket") \
+            .agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"),
+                 portions(F.sum("n") - F.max("n")).alias("px"), portions(F.sum("n")).alias("py")).where("parts > 1")
+        open_ = stage(rows.join(several, "bucket").select("bucket", "node", "component", (F.col("component") == F.col("top")).alias("main"), "px", "py"), "unresolved")
+        if fine is None:   # nodes that are open later are open now
+            fine = stage(refine(open_.select("node").distinct()), "fine")
+        own = open_.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(fine.toDF("node", "sketch"), "node")
+        asking = open_.where("NOT main")
+        if one:
+            asking = asking.groupBy("node").agg(F.min_by(F.struct("bucket", "component", "main", "px", "py"), F.xxhash64("bucket", "node", F.lit(k))).alias("v")).select("node", "v.*")
+        cells = _dealt(0, asking, "px", "py").unionByName(_dealt(1, open_, "py", "px")).join(own, "node") \
+            .select("cell", "side", "bucket", "node", "component", "main", "sketch", "buckets").repartition(n, "cell").sortWithinPartitions("cell", "side")
+        more = stage(confirm(cells.mapInArrow(lambda it, one=one: _cells(it, alike, one), PAIR).distinct()), "links")
+        if not more.isEmpty():
+            comp = joined(comp, more)
+    return comp
+
+
+def _dealt(k: int, rows: DataFrame, mine: str, other: str) -> DataFrame:
+    """Rows of side ``k`` in their own portion, against every portion of the other side."""
+    part = F.pmod(F.xxhash64("node"), F.col(mine)).cast("int")
+    dealt = rows.withColumn("own", part).withColumn("met", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+    px, py = ("own", "met") if k == 0 else ("met", "own")
+    return dealt.select(F.xxhash64("bucket", px, py).alias("cell"), F.lit(k).alias("side"), "bucket", "node", "component", "main")

@@ -93,10 +93,11 @@ def _fine(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def _alike(x: np.ndarray, y: np.ndarray, percent: int, most: int) -> np.ndarray:
-    """Which pairs of two blocks of finer sketches may be linked: by their sizes, then by the set bits of the XOR."""
+    """How alike the pairs of two blocks of finer sketches are, 0 where they cannot be linked: by their sizes, then by the
+    set bits of the XOR."""
     nx, ny = x[:, -1:].astype(np.int64), y[:, -1].astype(np.int64)[None]
     ok = 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
-    return ok & (np.bitwise_count(x[:, None, :-1] ^ y[None, :, :-1]).sum(axis=2, dtype=np.int32) <= most)
+    return ok * np.maximum(most + 1 - np.bitwise_count(x[:, None, :-1] ^ y[None, :, :-1]).sum(axis=2, dtype=np.int32), 0)
 
 
 SIG = "row long, doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>, odd array<long>"
