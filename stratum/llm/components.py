@@ -193,6 +193,8 @@ def group_by_buckets(shared: DataFrame, sketch: DataFrame, passes: Callable[[Col
             .agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"),
                  portions(F.sum("n") - F.max("n")).alias("px"), portions(F.sum("n")).alias("py")).where("parts > 1")
         open_ = stage(rows.join(several, "bucket").select("bucket", "node", "component", (F.col("component") == F.col("top")).alias("main"), "px", "py"), "unresolved")
+        if open_.isEmpty():
+            break
         if fine is None:   # nodes that are open later are open now
             fine = stage(refine(open_.select("node").distinct()), "fine")
         own = open_.groupBy("node").agg(F.collect_list("bucket").alias("buckets")).join(fine.toDF("node", "sketch"), "node")
