@@ -25,7 +25,7 @@ MODULES = {
     "C6": "plans/star.py", "C7": "plans/star.py relationship(role)", "C8": "operators/running.py",
     "C9": "operators/intervals.py active_by_sweep / distinct_active", "D1": "operators/calendar.py",
     "D2": "operators/hierarchy.py level_columns / pivot_levels_grouped", "D3": "operators/pivot.py",
-    "D4": "plans/star.py count_rows(zero_fill)", "D5": "plans/star.py distinct_count", "D6": "plans/silver.py bronze_to_silver",
+    "D4": "plans/star.py count_rows(zero_fill)", "D5": "plans/star.py distinct_count", "D6": "operators/distinct.py; plans/silver.py bronze_to_silver",
     "D7": "sources/jdbc.py select_lists (array_join of sorted collect_list)", "D8": "plans/summarize.py",
     "D9": "DataFrame count", "D10": "plans/measures.py", "E1": "operators/hierarchy.py explode_levels",
     "E2": "operators/sequence.py with_successor; operators/scd2.py", "E3": "operators/running.py running_count / carry_forward",
