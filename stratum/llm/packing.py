@@ -94,41 +94,63 @@ def token_pieces(docs: DataFrame, limit: int = LIMIT, end_id: int = END_ID, make
 
 
 class _Bins:
-    """Bins by free space; a bit mask of the free spaces in use makes 'smallest that still fits' one bit operation."""
+    """Bins by free space; a bit mask of the free spaces in use makes 'smallest that still fits' one bit operation. Per free
+    space another mask has the item sizes that its bins hold, so that every partner of a swap is found without a look at each bin."""
 
     def __init__(self, limit: int):
-        self.limit, self.items, self.free, self.mask = limit, [], [], 0
+        self.limit, self.free, self.mask = limit, [], 0
+        self.items: list[dict[int, list[int]] | None] = []   # per bin its items by size
         self.by_free: list[set[int]] = [set() for _ in range(limit + 1)]
+        self.sizes = [0] * (limit + 1)
+        self.holders: list[dict[int, set[int]]] = [{} for _ in range(limit + 1)]
 
     def _enter(self, b: int):
-        self.by_free[self.free[b]].add(b)
-        self.mask |= 1 << self.free[b]
+        f = self.free[b]
+        self.by_free[f].add(b)
+        self.mask |= 1 << f
+        if f:   # nothing more goes into a full bin
+            for size in self.items[b]:
+                self.holders[f].setdefault(size, set()).add(b)
+                self.sizes[f] |= 1 << size
 
     def _leave(self, b: int):
-        s = self.by_free[self.free[b]]
+        f = self.free[b]
+        s = self.by_free[f]
         s.discard(b)
         if not s:
-            self.mask &= ~(1 << self.free[b])
+            self.mask &= ~(1 << f)
+        if f:
+            for size in self.items[b]:
+                s = self.holders[f][size]
+                s.discard(b)
+                if not s:
+                    del self.holders[f][size]
+                    self.sizes[f] &= ~(1 << size)
 
     def best(self, size: int) -> int | None:
         """Some bin with the least free space that is at least ``size``."""
         m = self.mask >> size
         return None if not m else next(iter(self.by_free[size + (m & -m).bit_length() - 1]))
 
-    def put(self, b: int, item: tuple[int, int]):
+    def change(self, b: int, out: list[int] = (), new: list[tuple[int, int]] = ()) -> list[tuple[int, int]]:
+        """Take one item of each size in ``out`` from a bin and put the ``new`` ones in; returns those taken."""
         self._leave(b)
-        self.items[b].append(item)
-        self.free[b] -= item[0]
+        held, taken = self.items[b], []
+        for size in out:
+            taken.append((size, held[size].pop()))
+            if not held[size]:
+                del held[size]
+        for size, i in new:
+            held.setdefault(size, []).append(i)
+        self.free[b] += sum(out) - sum(size for size, _ in new)
         self._enter(b)
+        return taken
 
-    def take(self, b: int, item: tuple[int, int]):
-        self._leave(b)
-        self.items[b].remove(item)
-        self.free[b] += item[0]
-        self._enter(b)
+    def put(self, b: int, item: tuple[int, int]):
+        self.change(b, new=[item])
 
     def open(self) -> int:
-        self.items.append([])
+        self.items.append({})
         self.free.append(self.limit)
         self._enter(len(self.items) - 1)
         return len(self.items) - 1
@@ -142,8 +164,8 @@ class _Bins:
 def pack(sizes: list[int], limit: int = LIMIT) -> list[tuple[int, int]]:
     """(bin, offset) per item. Best fit, largest first, then local search between underfull bins: a move, a swap of one
     item for one or of two for one is made when the sum of squared fills rises, so that lightly filled bins drain into
-    fuller ones until they are empty and go. Stops at the lower bound, or when a pass changes nothing: squared fills only
-    rise, so it ends."""
+    fuller ones until they are empty and go. Stops at the lower bound, or when no move and no swap between any two bins
+    raises the sum: squared fills only rise, so it ends."""
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     bins = _Bins(limit)
     for i in order:
@@ -164,12 +186,13 @@ def pack(sizes: list[int], limit: int = LIMIT) -> list[tuple[int, int]]:
                 bins.drop(src)
                 live -= 1
     place, n = [None] * len(sizes), 0
-    for items in bins.items:
-        if items:
+    for held in bins.items:
+        if held:
             at = 0
-            for size, i in items:
-                place[i] = (n, at)
-                at += size
+            for size, some in held.items():
+                for i in some:
+                    place[i] = (n, at)
+                    at += size
             n += 1
     return place
 
@@ -180,13 +203,12 @@ def _drain(bins: _Bins, src: int) -> bool:
     while bins.items[src]:
         done = False
         fill = bins.limit - bins.free[src]
-        for item in sorted(bins.items[src], reverse=True):
+        for size in sorted(bins.items[src], reverse=True):
             bins._leave(src)   # not its own target
-            dst = bins.best(item[0])
+            dst = bins.best(size)
             bins._enter(src)
-            if dst is not None and 2 * item[0] * (bins.limit - bins.free[dst] - fill + item[0]) > 0:
-                bins.take(src, item)
-                bins.put(dst, item)
+            if dst is not None and 2 * size * (bins.limit - bins.free[dst] - fill + size) > 0:
+                bins.change(dst, new=bins.change(src, [size]))
                 done = True
                 break
         if not done:
@@ -197,36 +219,61 @@ def _drain(bins: _Bins, src: int) -> bool:
     return moved
 
 
+def _below(offers: int, limit: int) -> list[int]:
+    """Masks of the numbers that lie 1 to 2**k below some number of a mask, by k, as far as ``limit``."""
+    out = [offers >> 1]
+    while len(out) < limit.bit_length():
+        out.append(out[-1] | out[-1] >> (1 << len(out) - 1))
+    return out
+
+
 def _swap(bins: _Bins, src: int, fill: int) -> bool:
-    """One swap with a fuller bin: one or two items of ``src`` for one smaller item there, so that bin's free space shrinks."""
-    two: dict[int, list] = {}   # items of one size are alike, so two of each stand for all
-    for a in sorted(bins.items[src]):
-        if len(same := two.setdefault(a[0], [])) < 2:
-            same.append(a)
-    mine = [a for same in two.values() for a in same]
-    offers = {a[0] + c[0]: (a, c) for k, a in enumerate(mine) for c in mine[k + 1:]} | {a[0]: (a,) for a in mine}
-    sizes = sorted(offers)
-    m, seen = bins.mask, 0
-    while m and seen < 64:
-        free = (m & -m).bit_length() - 1
-        m &= m - 1
-        if not free:
-            continue
-        for dst in list(bins.by_free[free])[:4]:
-            if dst == src or bins.limit - free <= fill:
+    """One swap with any other bin: one or two items of ``src`` for one smaller item there, so that what the other bin then
+    holds is more than ``src`` holds now, which is when squared fills rise. The fullest bins that offer one come first, and
+    of them the swap that fills most. False only if no bin at all offers one."""
+    mine = sorted(bins.items[src])
+    offers: dict[int, list[int]] = {}   # tokens to give: the sizes that make them up
+    for k, a in enumerate(mine):
+        for c in mine[k if len(bins.items[src][a]) > 1 else k + 1:]:
+            offers[a + c] = [a, c]
+    offers |= {a: [a] for a in mine}
+    below = _below(sum(1 << s for s in offers), bins.limit)
+    own = bins.limit - fill
+    bins._leave(src)
+    try:
+        m = bins.mask & ~1
+        while m:
+            free = (m & -m).bit_length() - 1
+            m &= m - 1
+            # the other bin gains between ``least + 1`` and ``free`` tokens
+            least = max(0, free - own)
+            width = free - least
+            if not width:
                 continue
-            seen += 1
-            for other in set(bins.items[dst]):
-                k = bisect.bisect_right(sizes, other[0] + free) - 1   # the most tokens that can go to the fuller bin
-                if k >= 0 and sizes[k] > other[0]:
-                    for it in offers[sizes[k]]:
-                        bins.take(src, it)
-                    bins.take(dst, other)
-                    for it in offers[sizes[k]]:
-                        bins.put(dst, it)
-                    bins.put(src, other)
-                    return True
-    return False
+            k = width.bit_length() - 1
+            hits = (below[k] | below[k] >> (width - (1 << k))) >> least & bins.sizes[free]
+            if hits:
+                give, other = _most(sorted(offers), hits, free)
+                dst = next(iter(bins.holders[free][other]))
+                break
+        else:
+            return False
+    finally:
+        bins._enter(src)
+    back = bins.change(dst, [other])
+    bins.change(dst, new=bins.change(src, offers[give], back))
+    return True
+
+
+def _most(offers: list[int], hits: int, free: int) -> tuple[int, int]:
+    """The offer and the item given back for it that fill a bin most."""
+    best = (0, 0, 0)
+    while hits:
+        other = hits.bit_length() - 1
+        hits ^= 1 << other
+        s = offers[bisect.bisect_right(offers, other + free) - 1]
+        best = max(best, (s - other, s, other))
+    return best[1:]
 
 
 def _pack_group(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -330,6 +330,45 @@ def test_local_search_empties_a_bin_of_many_tiny_items():
     assert max(fill.values()) <= 1024 and sum(fill.values()) == sum(sizes) and len(fill) == 200
 
 
+def test_a_swap_is_found_in_whichever_bin_it_lies():
+    """Neither behind other bins of one free space, nor behind many fuller bins, nor in a bin that is only as full."""
+    def filled(*bins):
+        b = packing._Bins(packing.LIMIT)
+        for items in bins:
+            at = b.open()
+            for size in items:
+                b.put(at, (size, 100 * at + len(b.items[at])))
+        return b
+    for others in ([(1000, 23)] * 20 + [(600, 423)], [(1000, 24 - k) for k in range(1, 24)] * 20 + [(600, 300)], [(600, 1)]):
+        bins = filled(*others, (601,))
+        assert packing._swap(bins, len(others), 601)
+        assert list(bins.items[len(others)]) == [600] and 601 in bins.items[len(others) - 1]
+        assert not packing._swap(bins, len(others), 600)
+
+
+def test_local_search_leaves_no_move_and_no_swap():
+    rng = random.Random(11)
+    ended_early = 0
+    for _ in range(30):
+        sizes = [rng.choice((rng.randint(250, 700), rng.randint(500, 530), 1024)) for _ in range(rng.randint(2, 150))]
+        bins = {}
+        for (b, _), s in zip(packing.pack(sizes), sizes):
+            bins.setdefault(b, []).append(s)
+        assert max(map(sum, bins.values())) <= 1024
+        if len(bins) == -(-sum(sizes) // 1024):
+            continue
+        ended_early += 1
+        for a, mine in bins.items():
+            gifts = {s: 1 for s in mine} | {s + t: 2 for k, s in enumerate(mine) for t in mine[k + 1:]}
+            for b, theirs in bins.items():
+                if a != b:
+                    for s in gifts:
+                        for o in [*theirs, *[0] * (s in mine)]:
+                            gain = s - o
+                            assert not (gain > 0 and sum(theirs) + gain <= 1024 and sum(theirs) + gain > sum(mine))
+    assert ended_early > 5
+
+
 def test_toxicity(spark, vocabulary):
     rng = random.Random(9)
     bad = ["vilex", "vilor", "scumm", "trashy"]
