@@ -62,6 +62,42 @@ def test_small_source_moves_no_target_row(spark):
     assert up.snapshot().count() == 20_001
 
 
+def joins_of_rows(text):
+    """Sort-merge joins of a plan, and exchanges that carry the wide column."""
+    return text.count("SortMergeJoin"), sum("Exchange hashpartitioning" in line for line in text.split("\n"))
+
+
+def test_large_source_of_few_keys_is_not_dealt_out(spark, monkeypatch):
+    """A source too wide for a broadcast, with keys that are not: new rows come from one join, without an exchange."""
+    monkeypatch.setattr(upsert.Staged, "small", lambda self: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = tb.Target(name("wide"))
+        tb.load(spark, spark.range(200).selectExpr("id", "repeat('x', 50) AS wide", "id % 7 AS v"), t, "merge", keys="id", run_ts=T1)
+        up = tb.start_merge(spark, spark.range(150, 300).selectExpr("id", "repeat('x', 50) AS wide", "id % 3 AS v"), t, "id", T2)
+        for part in (up.snapshot(), up.changes()):
+            assert joins_of_rows(plan_of(part)) == (0, 0)
+        assert up.snapshot().count() == 300 and up.changes().filter("_change_type = 'insert'").count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_places_travel_as_bits(spark, monkeypatch):
+    """Places too many for a broadcast are 64 to a number; kept rows and rows as they were are still told by them."""
+    monkeypatch.setattr(upsert, "broadcast_bounded", lambda df: df if "__r" in df.columns else F.broadcast(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = tb.Target(name("bits"))
+        tb.load(spark, spark.range(0, 1000, 1, 3).selectExpr("id", "id % 7 AS v"), t, "merge", keys="id", run_ts=T1)
+        up = tb.start_merge(spark, spark.range(0, 1000, 2).selectExpr("id", "id % 3 AS v"), t, "id", T2)
+        gone = {i for i in range(0, 1000, 2) if i % 7 != i % 3}
+        assert "SortMergeJoin" not in plan_of(up.kept()) and "SortMergeJoin" not in plan_of(up.before())
+        assert sorted(r["id"] for r in up.before().collect()) == sorted(gone)
+        assert sorted(r["id"] for r in up.kept().collect()) == sorted(set(range(1000)) - gone)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_large_source_meets_narrow_columns(spark, monkeypatch):
     """The exchanged side of the target holds keys, hash, dates and places; the wide column is read for kept rows alone."""
     monkeypatch.setattr(upsert.Staged, "small", lambda self: False)
