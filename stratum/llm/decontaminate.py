@@ -159,10 +159,8 @@ def _frequencies(batches, n_words: int) -> Iterator[pa.RecordBatch]:
     for _, pos, num in _together(batches):
         cell = pos // PASSAGE
         row = np.cumsum(np.diff(cell, prepend=cell[0]) > 0)
-        has = np.zeros((row[-1] + 1, n_words), bool)
-        has[row, num] = True
-        df += has.sum(0)
-        total += len(has)
+        df += np.bincount(np.unique(row.astype(np.int64) * n_words + num) % n_words, minlength=n_words)   # once a passage
+        total += int(row[-1]) + 1
     at = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(df[at], total), pa.int64())], names=["word", "n"])
 
@@ -239,21 +237,24 @@ def _candidates(pos: np.ndarray, num: np.ndarray, block: Block) -> Iterator[tupl
         mass = w[np.searchsorted(at, starts + scale)] - w[np.searchsorted(at, starts)]
         lo, hi = np.searchsorted(rpos, starts), np.searchsorted(rpos, starts + scale)   # never empty: starts come from rpos
         # items in groups of like need, so that most windows meet the few items of little need only
-        for some in np.array_split(members[np.argsort(block.need[members])], 6):
-            if len(some):
-                heavy = np.flatnonzero(mass >= block.need[some[0]])
-                for i in range(0, len(heavy), 8192):
-                    yield from _near(pos, num, rnum, block, some, scale, *(x[heavy[i:i + 8192]] for x in (starts, mass, lo, hi)))
-
-
-def _near(pos, num, rnum, block: Block, members, scale: int, starts, mass, lo, hi) -> Iterator[tuple[int, int, float]]:
+        groups = [g for g in np.array_split(members[np.argsort(block.need[members])], 6) if len(g)]
+        heavy = np.flatnonzero(mass >= block.need[groups[0][0]]) if groups else []
+        for i in range(0, len(heavy), 8192):
+            part = [x[heavy[i:i + 8192]] for x in (starts, mass, lo, hi)]
+            folded = _directions(block.folded, rnum, *part[2:])   # once a window, for all groups that it meets
+            for some in groups:
+                meets = np.flatnonzero(part[1] >= block.need[some[0]])
+                if len(meets):
+                    yield from _near(pos, num, rnum, block, some, scale, folded[meets], *(x[meets] for x in part))
+
+
+def _near(pos, num, rnum, block: Block, members, scale: int, folded, starts, mass, lo, hi) -> Iterator[tuple[int, int, float]]:
     """The pairs of these windows and items that are near each other and have enough words in common for a leak."""
-    cos = _cosines(block.folded, block.near[members], rnum, lo, hi)
-    r, m = np.nonzero((cos >= COSINE - SLACK) & (mass[:, None] >= block.need[members]))
+    r, m = np.nonzero((folded @ block.near[members].T >= COSINE - SLACK) & (mass[:, None] >= block.need[members]))
     if not len(r):
         return
     used, back = np.unique(r, return_inverse=True)
-    exact = _cosines(block.latent, block.unit[members], rnum, lo[used], hi[used])[back, m]
+    exact = (_directions(block.latent, rnum, lo[used], hi[used]) @ block.unit[members].T)[back, m]
     ok = exact >= COSINE
     r, m, exact = r[ok], members[m[ok]], exact[ok]
     if not len(r):
@@ -272,13 +273,13 @@ def _region(pos: np.ndarray, start, scale: int):
     return np.searchsorted(pos, start - scale // 2), np.searchsorted(pos, start + scale + scale // 2)
 
 
-def _cosines(vectors: np.ndarray, items: np.ndarray, num: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Cosines of the windows num[lo:hi] (not empty), as sums of their words' vectors, with the items' directions."""
+def _directions(vectors: np.ndarray, num: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Directions of the windows num[lo:hi] (not empty): sums of their words' vectors, of length 1."""
     size = hi - lo
     end = np.cumsum(size)
     at = np.repeat(lo - end + size, size) + np.arange(end[-1])
     v = np.add.reduceat(vectors[num[at]], end - size, axis=0)
-    return (v @ items.T) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
 def _verified(block: Block, m: int, region: np.ndarray) -> tuple[float, float]:

@@ -369,6 +369,26 @@ def test_local_search_leaves_no_move_and_no_swap():
     assert ended_early > 5
 
 
+def test_each_window_is_summed_once(monkeypatch):
+    """However many groups of items a window is heavy enough for; and words are counted once a passage."""
+    rng, n = np.random.default_rng(5), 60
+    items = [(i, rng.integers(0, n, 30), np.array([0])) for i in range(12)]
+    has = np.array([np.isin(np.arange(n), w) for _, w, _ in items])
+    vectors = rng.standard_normal((n, 8)).astype(np.float32)
+    block = decontaminate.Block(items, weight=np.ones(n), rare=np.ones(n, bool), bound=np.ones(n, bool), folded=vectors[:, :4].copy(), near=np.eye(12, 4, dtype=np.float32),
+                                latent=vectors, unit=np.eye(12, 8, dtype=np.float32), mass=np.full(12, 30.0), need=np.linspace(1, 15, 12), window=np.full(12, 32), has=has)
+    seen, real = [], decontaminate._directions
+    monkeypatch.setattr(decontaminate, "_directions", lambda v, num, lo, hi: (seen.extend(lo) if v is block.folded else None, real(v, num, lo, hi))[1])
+    pos, num = np.arange(128, 728), rng.integers(0, n, 600).astype(np.int32)
+    list(decontaminate._candidates(pos, num, block))
+    # the first window may begin where the second does: before the first word
+    assert len(seen) - len(set(seen)) <= 1 and len(seen) >= 600 // 16
+    monkeypatch.setattr(decontaminate, "_together", lambda batches: iter([([], pos, num)]))
+    counted = dict(zip(*(c.to_pylist() for c in next(decontaminate._frequencies([], n)).columns)))
+    cells = [set(num[pos // 64 == c].tolist()) for c in sorted(set(pos // 64))]
+    assert counted.pop(-1) == len(cells) and counted == {w: sum(w in c for c in cells) for w in set(num.tolist())}
+
+
 def test_toxicity(spark, vocabulary):
     rng = random.Random(9)
     bad = ["vilex", "vilor", "scumm", "trashy"]
