@@ -3,8 +3,10 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,6 +266,49 @@ def test_counts_pass_over_no_similar_pair():
         assert fuzzy_lines.may_link(fuzzy_lines.counts(a)[None], fuzzy_lines.counts(b)[None], percent).all()
 
 
+def test_edits_within_a_limit():
+    rng = random.Random(23)
+    pairs = []
+    for _ in range(900):
+        a = "".join(rng.choice("abcdé\U0001f600 ") for _ in range(rng.choice([1, 2, 5, 20, 63, 64, 65, 70])))
+        b = list(a)
+        for _ in range(rng.randint(0, max(1, len(a) // 3))):
+            k = rng.randrange(len(b))
+            b[k:k + 1] = rng.choice([["x"], ["y", b[k]], [] if len(b) > 1 else ["z"]])
+        pairs.append((a, "".join(b)))
+    want = [5 * plain_edits(a, b) <= max(len(a), len(b)) for a, b in pairs]
+    got = fuzzy_lines.edits_within([a for a, _ in pairs], [b for _, b in pairs], np.array([max(len(a), len(b)) // 5 for a, b in pairs]))
+    assert got.tolist() == want and 200 < sum(want) < 800
+    for (a, b), w in zip(pairs, want):
+        assert (fuzzy_lines.edits(a, b, max(len(a), len(b)) // 5) <= max(len(a), len(b)) // 5) == w
+
+
+def test_rows_without_a_partner_of_their_size_are_left_out():
+    rng = random.Random(24)
+    rows = sorted((rng.randrange(40), rng.choice([10, 12, 14, 40, 45, 80, 200, 241, 300]), k) for k in range(120))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 7])], names=["bucket", "size", "node"]) for i in range(0, 120, 7)]
+    got = {n for b in fuzzy_lines._not_alone(iter(batches), 80) for n in b.column("node").to_pylist()}
+    want = {n for k, s, n in rows if any(k == j and n != m and 5 * abs(s - t) <= max(s, t) for j, t, m in rows)}
+    assert want <= got and len(got - want) <= len([1 for r in rows if r[0] in (rows[0][0], rows[-1][0])]) and len(got) < 120
+
+
+def test_fuzzy_lines_leave_no_keys_behind_and_compare_large_buckets(spark, vocabulary, monkeypatch):
+    """One bucket in portions of three lines; of a round's keys and shared buckets nothing stays on disk."""
+    from stratum.session import shared_dir
+    monkeypatch.setattr(fuzzy_lines, "PORTION", 3)
+    rng = random.Random(25)
+    bases = [" ".join(rng.choice(vocabulary) for _ in range(20)) for _ in range(3)]
+    rows = [(k, bases[k % 3][:-4] + format(k, "04d") + ("\n" + bases[0] + bases[1] if k == 9 else "")) for k in range(30)]
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "stratum" / "llm"
+
+    def left():
+        return {f for name in ("keys", "buckets", "shared") for f in folder.glob(f"{name}/*")}
+    before = left()
+    got = {r["doc_id"]: r["n_dropped"] for r in fuzzy_lines.fuzzy_line_report(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), bits=None).collect()}
+    assert got == {k: int(k > 2) for k in range(30)}
+    assert left() == before
+
+
 def plain_edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
