@@ -185,3 +185,47 @@ def test_swap_has_a_way_back(spark):
     with pytest.raises(Exception):
         tb._swap(spark, t.name + "__new_missing", t)
     assert spark.table(t.name).count() == 3
+
+
+def staged_folders(spark, t):
+    import glob
+    import os
+    return sorted(os.path.basename(p).rsplit("-", 1)[0] for p in glob.glob(tb._root(spark, t).removeprefix("file://").removeprefix("file:") + "/staging-*"))
+
+
+def test_rows_that_change_nothing_are_staged_by_their_keys(spark):
+    """Of a source row without a change only the key is written; rows that meet several target rows or none stay whole."""
+    t = tb.Target(name("lean"))
+    tb.load(spark, spark.createDataFrame([(1, "a"), (1, "b"), (None, "x"), (2, "c"), (3, "d")], "id int, v string"), t, "append", run_ts=T1)
+    src = spark.createDataFrame([(1, "b"), (2, "c"), (3, "e"), (4, None)], "id int, v string")
+    up = tb.start_merge(spark, src, t, "id", T2)
+    staged = sorted(((r["id"], r["v"], r["hash_row"] is None) for r in up.source.frame.collect()), key=str)
+    assert staged == sorted([(1, "b", False), (1, None, True), (2, None, True), (3, "e", False), (4, None, False)], key=str)
+    assert (up.source.rows, up.source.small()) == (4, True)
+    assert sorted(((r["id"], r["v"], r["_change_type"]) for r in up.changes().collect()), key=str) == sorted(
+        [(1, "a", "update_preimage"), (1, "b", "update_postimage"), (3, "d", "update_preimage"), (3, "e", "update_postimage"), (4, None, "insert")], key=str)
+    assert sorted((r["id"], r["_action"]) for r in up.actions().filter("id IS NOT NULL").collect()) == [(1, "noop"), (1, "update"), (2, "noop"), (3, "update"), (4, "insert")]
+    with pytest.raises(KeyViolation):
+        tb.start_merge(spark, src.unionByName(src.limit(1)), t, "id", T2)
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+@pytest.mark.parametrize("kind", ["external", "managed"])
+def test_staged_files_leave_as_the_new_rows_are_written(spark, monkeypatch, kind, bounded):
+    """New rows of a large source come in portions; a portion's files are gone before the next one, and all by the end."""
+    monkeypatch.setattr(upsert.Staged, "small", lambda self: False)
+    if not bounded:
+        monkeypatch.setattr(upsert, "broadcast_bounded", lambda df: df)
+    t = tb.Target(name("portions"), kind)
+    first, second = people(spark, range(60), "a"), people(spark, range(40, 100), "b").repartition(10, "id")
+    tb.load(spark, first.repartition(3), t, "merge", keys="id", run_ts=T1)
+    before = spark.createDataFrame(spark.table(t.name).collect(), spark.table(t.name).schema)
+    expected, gone, discard = merge_frames(before, second, "id", T2), [], tb._discard
+
+    def watched(spark, paths):
+        discard(spark, paths)
+        gone.append(len(paths))
+    monkeypatch.setattr(tb, "_discard", watched)
+    out = tb.load(spark, second, t, "merge", keys="id", run_ts=T2)
+    assert sorted(map(tuple, out.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
+    assert len(gone) > 3 and not staged_folders(spark, t)
