@@ -229,3 +229,13 @@ def test_staged_files_leave_as_the_new_rows_are_written(spark, monkeypatch, kind
     out = tb.load(spark, second, t, "merge", keys="id", run_ts=T2)
     assert sorted(map(tuple, out.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
     assert len(gone) > 3 and not staged_folders(spark, t)
+
+
+def test_row_groups_of_wide_rows_stay_small(spark):
+    """A reader's batch ends with its row group, so texts that fill one bound what a task holds."""
+    import pyarrow.parquet as pq
+    t = tb.Target(name("groups"))
+    wide = spark.range(0, 4000, 1, 1).selectExpr("id", "concat_ws('', transform(sequence(1, 200), x -> sha2(concat(id, ' ', x), 512))) AS text")
+    out = tb.load(spark, wide, t, "merge", keys="id", run_ts=T1)
+    groups = [m.row_group(i).total_byte_size for f in out.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert sum(groups) > 100_000_000 and max(groups) < 80_000_000
